@@ -20,8 +20,7 @@ def col(name: str) -> Column:
 
 def num(name: str) -> Column:
     """The column as a double, with NaN read as missing and -0.0 as 0.0."""
-    value = col(name).cast("double")
-    return F.when(~F.isnan(value), value + F.lit(0.0))
+    return F.nanvl(col(name).cast("double"), F.lit(None).cast("double")) + F.lit(0.0)
 
 
 def is_numeric(df: DataFrame, name: str) -> bool:

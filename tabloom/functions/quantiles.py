@@ -8,14 +8,16 @@ few values left in the interval are fetched with their counts at the end.
 
 import math
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabloom.functions.expressions import num
 
 COUNTER_BOUND = 4_000_000   # distinct values over all columns that one percentile job may count
+LOOKUP_BOUND = 40_000_000   # distinct values times fractions of one column: each fraction walks the counters
 FETCH_BOUND = 50_000        # values of one interval that may come to the driver
-GRID = 500                  # points of the sketch per pass
+GRID = 200                  # points of the sketch per pass
 ACCURACY = 10_000
 
 
@@ -35,7 +37,7 @@ def exact_quantiles(df: DataFrame, wanted: dict[str, list[float]], rows: int | N
     wanted = {c: sorted(set(float(p) for p in ps)) for c, ps in wanted.items() if ps}
     if not wanted:
         return {}
-    countable, large = split_by_size(df, list(wanted), rows, bound)
+    countable, large = split_by_size(df, list(wanted), rows, bound, {c: len(f) for c, f in wanted.items()})
     found = {}
     if countable:
         row = df.agg(*[percentile_column(c, wanted[c]).alias(f"q{i}") for i, c in enumerate(countable)]).first()
@@ -53,115 +55,138 @@ def read_percentiles(fractions, values):
     return dict(zip(fractions, values if values is not None else [None] * len(fractions)))
 
 
-def split_by_size(df: DataFrame, columns, rows=None, bound=COUNTER_BOUND):
-    """Columns whose distinct values fit one percentile job, and the rest."""
+def split_by_size(df: DataFrame, columns, rows=None, bound=COUNTER_BOUND, fractions=None):
+    """Columns whose distinct values fit one percentile job, and the rest.
+
+    Without a known row bound the rows are counted first; only if they exceed the bound are distinct values estimated.
+    """
+    columns = list(columns)
+    fractions = fractions or {}
     if rows is None:
         rows = df.count()
-    if rows * len(columns) <= bound:
-        return list(columns), []
+    if rows * len(columns) <= bound and all(rows * fractions.get(c, 1) <= LOOKUP_BOUND for c in columns):
+        return columns, []
     sizes = df.agg(*[F.approx_count_distinct(num(c), 0.05).alias(f"d{i}") for i, c in enumerate(columns)]).first()
-    countable, large, used = [], [], 0
-    for i, c in sorted(enumerate(columns), key=lambda ic: sizes[f"d{ic[0]}"]):
-        size = min(rows, int(sizes[f"d{i}"] * 1.3) + 1)
-        if used + size <= bound:
+    countable, used = [], 0
+    for c, size in sorted(zip(columns, sizes), key=lambda cs: cs[1]):
+        size = min(rows, int(size * 1.3) + 1)
+        if used + size <= bound and size * fractions.get(c, 1) <= LOOKUP_BOUND:
             countable.append(c)
             used += size
-        else:
-            large.append(c)
-    return countable, large
-
-
-class Interval:
-    """Closed interval known to hold the value of one rank; an end that is None is open to infinity."""
-
-    def __init__(self, column, rank):
-        self.column, self.rank = column, rank
-        self.low, self.high = None, None
-        self.value, self.offset = None, None
-
-    def interior(self):
-        x = num(self.column)
-        cond = x.isNotNull()
-        if self.low is not None:
-            cond = cond & (x > F.lit(self.low))
-        if self.high is not None:
-            cond = cond & (x < F.lit(self.high))
-        return cond
-
-    def measures(self, i):
-        x, interior = num(self.column), self.interior()
-        grid = F.array(*[F.lit(g / GRID) for g in range(GRID + 1)])
-        at_high = self.high is not None and self.high != self.low
-        return [
-            (F.count_if(x < F.lit(self.low)) if self.low is not None else F.count_if(F.lit(False))).alias(f"under{i}"),
-            (F.count_if(x == F.lit(self.low)) if self.low is not None else F.count_if(F.lit(False))).alias(f"low{i}"),
-            F.count_if(interior).alias(f"inside{i}"),
-            (F.count_if(x == F.lit(self.high)) if at_high else F.count_if(F.lit(False))).alias(f"high{i}"),
-            F.percentile_approx(F.when(interior, x), grid, ACCURACY).alias(f"grid{i}"),
-        ]
-
-    def advance(self, row, i):
-        """Settle the rank on an end, mark the interior for fetching, or move to the part that holds the rank."""
-        under = row[f"under{i}"]
-        start = under + row[f"low{i}"]
-        inside = row[f"inside{i}"]
-        if self.rank < under:
-            self.low, self.high = None, self.low
-        elif self.rank < start:
-            self.value = self.low
-        elif self.rank < start + inside:
-            if inside <= FETCH_BOUND:
-                self.offset = start
-            else:
-                grid, place = row[f"grid{i}"], (self.rank - start) / inside * GRID
-                self.low = grid[max(0, math.floor(place) - 2)]
-                self.high = grid[min(GRID, math.ceil(place) + 2)]
-        elif self.rank < start + inside + row[f"high{i}"]:
-            self.value = self.high
-        else:
-            self.low, self.high = self.high, None
-
-
-def narrowed_quantiles(df: DataFrame, wanted):
-    counts = df.agg(*[F.count(num(c)).alias(f"n{i}") for i, c in enumerate(wanted)]).first()
-    counts = {c: counts[f"n{i}"] for i, c in enumerate(wanted)}
-    ranks = {}
-    for c, fractions in wanted.items():
-        for p in fractions:
-            if counts[c]:
-                position = (counts[c] - 1) * p
-                for r in (math.floor(position), math.ceil(position)):
-                    ranks.setdefault((c, r), Interval(c, r))
-    open_ranks = list(ranks.values())
-    while open_ranks:
-        row = df.agg(*[m for i, iv in enumerate(open_ranks) for m in iv.measures(i)]).first()
-        for i, iv in enumerate(open_ranks):
-            iv.advance(row, i)
-        fetch_values(df, [iv for iv in open_ranks if iv.value is None and iv.offset is not None])
-        open_ranks = [iv for iv in open_ranks if iv.value is None]
+    return countable, [c for c in columns if c not in countable]
+
+
+def narrowed_quantiles(df: DataFrame, wanted) -> dict[str, dict[float, float | None]]:
+    """Exact quantiles of columns with any number of distinct values, all columns and fractions together.
+
+    Each pass cuts every column at the ends of the intervals that still hold a wanted rank and counts the rows between
+    the cuts, with a small sketch of each part. The counts are exact, the sketch only proposes the next, much narrower
+    cuts. Passes: about log of the row count to base 100.
+    """
+    names = list(wanted)
+    x = df.select(*[num(c).alias(f"x{i}") for i, c in enumerate(names)])
+    counts = x.agg(*[F.count(f"x{i}").alias(f"x{i}") for i in range(len(names))]).first()
+    pending, values, cuts = {}, {}, {}
+    for i, c in enumerate(names):
+        if counts[f"x{i}"]:
+            places = [(counts[f"x{i}"] - 1) * p for p in wanted[c]]
+            pending[i] = sorted({math.floor(q) for q in places} | {math.ceil(q) for q in places})
+            cuts[i] = []
+    while pending:
+        parts = count_parts(x, {i: cuts[i] for i in pending})
+        to_fetch = {}
+        for i in list(pending):
+            cuts[i] = settle(i, pending[i], cuts[i], parts[i], values, to_fetch)
+        if to_fetch:
+            fetch_parts(x, to_fetch, values)
+        for i in list(pending):
+            pending[i] = [r for r in pending[i] if (i, r) not in values]
+            if not pending[i]:
+                del pending[i]
     found = {}
-    for c, fractions in wanted.items():
+    for i, c in enumerate(names):
+        n = counts[f"x{i}"]
         found[c] = {}
-        for p in fractions:
-            position = (counts[c] - 1) * p
-            found[c][p] = None if not counts[c] else interpolate(
-                position, ranks[c, math.floor(position)].value, ranks[c, math.ceil(position)].value)
+        for p in wanted[c]:
+            place = (n - 1) * p
+            found[c][p] = None if not n else interpolate(
+                place, values[i, math.floor(place)], values[i, math.ceil(place)])
     return found
 
 
-def fetch_values(df: DataFrame, intervals):
-    """Bring the at most FETCH_BOUND values of each interval, with counts, and pick the rank."""
-    if not intervals:
-        return
-    tagged = F.array_compact(F.array(*[
-        F.when(iv.interior(), F.struct(F.lit(i).alias("i"), num(iv.column).alias("x")))
-        for i, iv in enumerate(intervals)
-    ]))
-    rows = (df.select(F.explode(tagged).alias("t")).groupBy("t.i", "t.x").count().collect())
-    for i, iv in enumerate(intervals):
-        left = iv.rank - iv.offset
-        for r in sorted((r for r in rows if r["i"] == i), key=lambda r: r["x"]):
-            if left < r["count"]:
-                iv.value = r["x"]
-                break
-            left -= r["count"]
+def parted(x: DataFrame, cuts) -> DataFrame:
+    """Long (i, part, x). Part 2j-1 is the value of cut j, part 2j lies between cut j and cut j+1 (cuts from 1)."""
+    cut = [i for i in cuts if cuts[i]]
+    tagged = x if not cut else Bucketizer(
+        splitsArray=[[float("-inf"), *cuts[i], float("inf")] for i in cut], inputCols=[f"x{i}" for i in cut],
+        outputCols=[f"b{i}" for i in cut], handleInvalid="keep").transform(x)
+    entries = []
+    for i in cuts:
+        value, part = F.col(f"x{i}"), F.lit(0)
+        if cuts[i]:
+            bucket = F.col(f"b{i}").cast("int")
+            lower = F.get(F.array(*[F.lit(e) for e in cuts[i]]), bucket - 1)
+            part = F.when(value == lower, bucket * 2 - 1).otherwise(bucket * 2)
+        entries.append(F.struct(F.lit(i).alias("i"), part.alias("part"), value.alias("x")).alias(f"s{i}"))
+    return (tagged.select(*entries).unpivot([], [f"s{i}" for i in cuts], "slot", "s")
+            .select("s.*").filter(F.col("x").isNotNull()))
+
+
+def count_parts(x, cuts):
+    many = sum(len(c) for c in cuts.values()) > 32
+    grid = F.array(*[F.lit(g / GRID) for g in range(GRID + 1)])
+    rows = (parted(x, cuts).groupBy("i", "part")
+            .agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("x", grid, ACCURACY // 5 if many else ACCURACY).alias("grid"))
+            .collect())
+    parts = {i: {} for i in cuts}
+    for r in rows:
+        parts[r["i"]][r["part"]] = (r["n"], r["grid"])
+    return parts
+
+
+def settle(i, ranks, cuts, parts, values, to_fetch):
+    """Settle ranks that fall on a cut, note small parts for fetching, and return the next cuts."""
+    limit = max(100, FETCH_BOUND // len(ranks))
+    start, bounds, following = 0, sorted(parts), set()
+    for part in bounds:
+        n, grid = parts[part]
+        held = [r for r in ranks if start <= r < start + n]
+        if held and part % 2:
+            values.update({(i, r): cuts[part // 2] for r in held})
+        elif held and n <= limit:
+            to_fetch[i, part] = (cuts, start, held)
+        else:
+            for r in held:
+                place = (r - start) / n * GRID
+                following |= {grid[max(0, math.floor(place) - 2)], grid[min(GRID, math.ceil(place) + 2)]}
+        start += n
+    # Cuts around parts that stay open keep them apart from their neighbours.
+    return sorted(following | set(cuts)) if following else cuts
+
+
+def fetch_parts(x, to_fetch, values):
+    """Bring the few distinct values of the noted parts, with counts, and read the ranks off."""
+    cuts = {i: c for (i, _), (c, _, _) in to_fetch.items()}
+    rows = (parted(x, cuts).filter(in_parts(to_fetch))
+            .groupBy("i", "part", "x").count().collect())
+    by_part = {}
+    for r in rows:
+        by_part.setdefault((r["i"], r["part"]), []).append((r["x"], r["count"]))
+    for key, (_, start, held) in to_fetch.items():
+        for rank in held:
+            left = rank - start
+            for value, n in sorted(by_part[key]):
+                if left < n:
+                    values[key[0], rank] = value
+                    break
+                left -= n
+
+
+def in_parts(to_fetch):
+    by_column = {}
+    for i, part in to_fetch:
+        by_column.setdefault(i, []).append(part)
+    keep = F.lit(False)
+    for i, parts in by_column.items():
+        keep = keep | ((F.col("i") == i) & F.col("part").isin(parts))
+    return keep

@@ -12,11 +12,13 @@ def range_edges(df: DataFrame, order_column: str, buckets: int) -> list[float]:
     return [float("-inf")] + sorted(set(inner)) + [float("inf")]
 
 
-def running_sums(df: DataFrame, group_columns, order_column: str, sums: dict[str, str], edges) -> DataFrame:
+def running_sums(df: DataFrame, group_columns, order_column: str, sums: dict[str, str], edges,
+                 small=True) -> DataFrame:
     """Sums of ``sums`` (new name -> column) over all rows of the group at or above the row's order value.
 
     ``df`` holds one row per group and order value. Rows are cut into ranges; each range is summed on its own task, and
-    the totals of the higher ranges, at most one row per range and group, are added through a broadcast join.
+    the totals of the higher ranges, one row per range and group, are added through a join. With ``small`` the caller
+    vouches for few groups, and those totals are broadcast.
     """
     group_columns = list(group_columns)
     ranged = Bucketizer(splits=edges, inputCol=order_column, outputCol="__range").transform(df)
@@ -27,5 +29,5 @@ def running_sums(df: DataFrame, group_columns, order_column: str, sums: dict[str
     inside = (Window.partitionBy(*group_columns, "__range").orderBy(F.desc(order_column))
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = ranged.select(*df.columns, "__range", *[F.sum(c).over(inside).alias(n) for n, c in sums.items()])
-    joined = local.join(F.broadcast(offsets), [*group_columns, "__range"])
+    joined = local.join(F.broadcast(offsets) if small else offsets, [*group_columns, "__range"])
     return joined.select(*df.columns, *[(F.col(n) + F.col(f"__{n}")).alias(n) for n in sums])

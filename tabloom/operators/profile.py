@@ -320,6 +320,12 @@ def profile(df: DataFrame, threshold=10) -> tuple[DataFrame, DataFrame]:
     return spark.createDataFrame([shape], lazy_shape.schema), spark.createDataFrame(rows, PROFILE_SCHEMA)
 
 
+def pearson(x, y):
+    """Correlation over the rows where both are present; null, not an error, when one of them is constant."""
+    spread = F.stddev_pop(F.when(y.isNotNull(), x)) * F.stddev_pop(F.when(x.isNotNull(), y))
+    return F.try_divide(F.covar_pop(x, y), spread)
+
+
 def correlation_matrix(df: DataFrame, target=None, check=True) -> DataFrame:
     """Long (row, col, r): Pearson correlation of the numeric columns but the target, from one aggregate.
 
@@ -343,7 +349,7 @@ def correlation_matrix(df: DataFrame, target=None, check=True) -> DataFrame:
     pairs = [(i, j) for i in range(len(names)) for j in range(i + 1, len(names))]
     if not pairs:
         return df.sparkSession.createDataFrame([(names[0], names[0], 1.0)], "row string, col string, r double")
-    wide = df.agg(*[F.corr(num(names[i]), num(names[j])).alias(f"r{i}_{j}") for i, j in pairs])
+    wide = df.agg(*[pearson(num(names[i]), num(names[j])).alias(f"r{i}_{j}") for i, j in pairs])
 
     def r(i, j):
         return F.lit(1.0) if i == j else F.col(f"r{min(i, j)}_{max(i, j)}")

@@ -35,7 +35,8 @@ class PipelineState:
         return merged
 
     def to_json(self) -> str:
-        return json.dumps([dataclasses.asdict(s) for s in self.steps], indent=2, ensure_ascii=False)
+        """The whole state on one line."""
+        return json.dumps([dataclasses.asdict(s) for s in self.steps])
 
     @classmethod
     def from_json(cls, text: str) -> "PipelineState":
@@ -55,8 +56,7 @@ def save_state(spark: SparkSession, state: PipelineState, directory: str) -> str
             learned[column] = entry
         moved.append(StepState(s.name, s.kind, learned))
     text = PipelineState(tuple(moved)).to_json()
-    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").option(
-        "lineSep", "\0").text(os.path.join(directory, "state"))
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(os.path.join(directory, "state"))
     return directory
 
 
@@ -68,5 +68,4 @@ def load_state(spark: SparkSession, directory: str, missing_ok=False) -> Pipelin
         if missing_ok:
             return None
         raise FileNotFoundError(f"no state in {directory}")
-    text = spark.read.option("wholetext", True).text(path).first()["value"]
-    return PipelineState.from_json(text.rstrip("\0"))
+    return PipelineState.from_json(spark.read.text(path).first()["value"])
