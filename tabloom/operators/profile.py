@@ -176,8 +176,10 @@ def distinct_count(df: DataFrame, columns=None, approx=False) -> DataFrame:
     """(column, n_distinct), null counted as one value; ``approx`` uses a bounded sketch and no shuffle."""
     names = columns or df.columns
     if approx:
-        wide = df.agg(*[(F.approx_count_distinct(col(c), 0.01) + F.max(col(c).isNull().cast("int"))).alias(f"d{i}")
-                        for i, c in enumerate(names)])
+        values = df.select(*[col(c).cast("string").alias(f"c{i}") for i, c in enumerate(names)])
+        wide = values.agg(*[
+            (F.coalesce(F.hll_sketch_estimate(F.hll_sketch_agg(f"c{i}", 14)), F.lit(0)) + F.max(F.col(f"c{i}").isNull().cast("int"))).alias(f"d{i}")
+            for i in range(len(names))])
         return tidy(wide, [[("column", F.lit(c)), ("n_distinct", F.col(f"d{i}"))] for i, c in enumerate(names)])
     return value_counts(df, names).groupBy("column").agg(F.count(F.lit(1)).alias("n_distinct"))
 
