@@ -82,11 +82,13 @@ def g06(spark, sf_dir):
     return rounded(G.overfit_probability(fx_scores(spark, sf_dir)))
 
 
-@query("g07_overfit_flags", f"""SELECT model, {r('overfit_accuracy')} AS overfit_accuracy, {r('overfit_f1')} AS overfit_f1,
-    CASE WHEN overfit_accuracy > 0.001 AND overfit_f1 > 0.001 THEN 'both' WHEN overfit_accuracy > 0.001 THEN 'accuracy' WHEN overfit_f1 > 0.001 THEN 'f1' ELSE 'none' END AS overfit_by,
-    overfit_accuracy > 0.001 OR overfit_f1 > 0.001 AS is_overfit FROM ({GAPS})""")
+FLAGS = """CASE WHEN round(accuracy_train - accuracy_test, 9) > 0.001 AND round(f1_train - f1_test, 9) > 0.001 THEN 'both'
+    WHEN round(accuracy_train - accuracy_test, 9) > 0.001 THEN 'accuracy' WHEN round(f1_train - f1_test, 9) > 0.001 THEN 'f1' ELSE 'none' END"""
+
+
+@query("g07_overfit_flags", f"SELECT *, overfit_by <> 'none' AS is_overfit FROM (SELECT *, {FLAGS} AS overfit_by FROM ({METRIC_SQL}))")
 def g07(spark, sf_dir):
-    return rounded(G.overfit_flags(G.overfit_probability(fx_scores(spark, sf_dir)), 0.001))
+    return G.overfit_flags(G.train_test_metrics(fx_scores(spark, sf_dir)), 0.001)
 
 
 @query("g09_append_metrics", METRIC_SQL)

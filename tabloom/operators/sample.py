@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tabloom.functions.expressions import col, hash_share, require_columns, row_hash
 from tabloom.functions.ranks import hash_cuts
 from tabloom.operators.steps import Step
+from tabloom.session import with_row_id
 
 
 def split(df: DataFrame, test_size: float, key_cols, seed=0) -> tuple[DataFrame, DataFrame]:
@@ -126,9 +127,10 @@ class Resample(Step):
 
     def fit_apply(self, df, action, full=None, rows=None):
         rule = self.rules(action)
-        keys = rule.get("key_columns") or df.columns
-        done = self.methods[rule["resampling_method"]](df, rule["target_column"], keys, rule["random_state"])
-        return done, {}
+        resample, keys = self.methods[rule["resampling_method"]], rule.get("key_columns")
+        if keys:
+            return resample(df, rule["target_column"], keys, rule["random_state"]), {}
+        return resample(with_row_id(df), rule["target_column"], ["__id"], rule["random_state"]).drop("__id"), {}
 
     def apply(self, df, action, learned):
         return df

@@ -11,7 +11,7 @@ from tabloom.operators.profile import correlation_matrix
 from tabloom.operators.sample import Resample, split, split_exact
 from tabloom.operators.transform import ConvertToNumber, Scale, Transform
 from tabloom.operators.validate import check_ready, check_same_columns, keep_columns, order_columns
-from tabloom.session import materialize
+from tabloom.session import materialize, with_row_id
 from tabloom.sources.state import PipelineState, StepState, save_state
 from tabloom.sources.tables import read_table, write_split
 
@@ -86,10 +86,12 @@ def apply_pipeline(df: DataFrame, config: dict, state: PipelineState, expect_tar
 
 
 def split_configured(data: DataFrame, config: dict) -> tuple[DataFrame, DataFrame]:
-    """Train and test by ``test_size``, ``random_state`` and ``key_columns`` (all columns if absent)."""
-    keys = config.get("key_columns") or data.columns
+    """Train and test by ``test_size``, ``random_state`` and ``key_columns``; without a key, rows are numbered first."""
     how = split_exact if config.get("exact_split") else split
-    return how(data, config["test_size"], keys, config["random_state"])
+    if config.get("key_columns"):
+        return how(data, config["test_size"], config["key_columns"], config["random_state"])
+    train, test = how(with_row_id(data), config["test_size"], ["__id"], config["random_state"])
+    return train.drop("__id"), test.drop("__id")
 
 
 def prepare(spark: SparkSession, config: dict, data: DataFrame | str, output: str | None = None, delimiter=",",

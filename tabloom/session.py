@@ -5,6 +5,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def local_session(cores="8", app="tabloom", driver_memory="8g", shuffle_partitions=None) -> SparkSession:
@@ -52,3 +53,8 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def with_row_id(df: DataFrame, name="__id") -> DataFrame:
+    """Rows with a number of their own, written once so that it never changes; for data without a key."""
+    return materialize(df.withColumn(name, F.monotonically_increasing_id()), "numbered")

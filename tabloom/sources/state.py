@@ -43,6 +43,21 @@ class PipelineState:
         return cls(tuple(StepState(**s) for s in json.loads(text)))
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
+def write_text(spark: SparkSession, path: str, value) -> str:
+    """A JSON value as a one-line text on the cluster's file system."""
+    spark.createDataFrame([(json.dumps(value),)], "value string").coalesce(1).write.mode("overwrite").text(path)
+    return path
+
+
+def read_text(spark: SparkSession, path: str):
+    return json.loads(spark.read.text(path).first()["value"])
+
+
 def save_state(spark: SparkSession, state: PipelineState, directory: str) -> str:
     """Write ``directory``: the state as one JSON text, each table-backed map as a Parquet table beside it."""
     moved = []
@@ -55,17 +70,15 @@ def save_state(spark: SparkSession, state: PipelineState, directory: str) -> str
                 entry = {**entry, "table": target}
             learned[column] = entry
         moved.append(StepState(s.name, s.kind, learned))
-    text = PipelineState(tuple(moved)).to_json()
-    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(os.path.join(directory, "state"))
+    write_text(spark, os.path.join(directory, "state"), [dataclasses.asdict(s) for s in moved])
     return directory
 
 
 def load_state(spark: SparkSession, directory: str, missing_ok=False) -> PipelineState | None:
     """Read what ``save_state`` wrote; with ``missing_ok`` an absent state gives None."""
     path = os.path.join(directory, "state")
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path):
+    if not path_exists(spark, path):
         if missing_ok:
             return None
         raise FileNotFoundError(f"no state in {directory}")
-    return PipelineState.from_json(spark.read.text(path).first()["value"])
+    return PipelineState(tuple(StepState(**s) for s in read_text(spark, path)))
