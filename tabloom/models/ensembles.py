@@ -120,11 +120,13 @@ class RidgeClassifier(BinaryEstimator, HasWeightCol):
     def _fit(self, df):
         weighted = self.isSet("weightCol")
         rows = df.withColumn("__sign", F.col(self.getLabelCol()) * 2.0 - 1.0)
-        size = rows.agg((F.sum(self.getWeightCol()) if weighted else F.count(F.lit(1))).cast("double").alias("n")).first()["n"]
-        # MLlib averages the squared errors and halves the penalty, hence alpha / n.
+        w = F.col(self.getWeightCol()) if weighted else F.lit(1.0)
+        sums = rows.agg(F.sum(w).alias("n"), F.sum(w * F.col("__sign")).alias("s")).first()
+        size, mean = sums["n"], sums["s"] / sums["n"]
+        # MLlib averages the squared errors and divides the penalty by the label's deviation, which undoes both factors.
         least_squares = LinearRegression(
             featuresCol=self.getFeaturesCol(), labelCol="__sign", predictionCol="__fitted", solver="normal", elasticNetParam=0.0,
-            regParam=self.getOrDefault("alpha") / size, standardization=False, fitIntercept=self.getOrDefault("fitIntercept"))
+            regParam=self.getOrDefault("alpha") / size * math.sqrt(1 - mean * mean), standardization=False, fitIntercept=self.getOrDefault("fitIntercept"))
         if weighted:
             least_squares.setWeightCol(self.getWeightCol())
         sign = SignModel()

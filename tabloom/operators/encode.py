@@ -37,6 +37,8 @@ class OneHot(Step):
     def fit(self, df, action, full=None, rows=None):
         full = df if full is None else full
         rules = self.rules(action)
+        if not rules:
+            return {}
         names = [r["column"] for r in rules]
         require_columns(full, names, "full data")
         widest = max([WIDEST_TABLE, *[r.get("max_categories", 0) for r in rules]])
@@ -178,6 +180,8 @@ class CategoryEncoder(Step):
 
     def fit(self, df, action, full=None, rows=None):
         rules = self.rules(action)
+        if not rules:
+            return {}
         require_columns(df, [c for r in rules for c in (r["column"], r["target_column"])])
         if len({r["column"] for r in rules}) < len(rules):
             raise ValueError(f"{self.kind}: a column is listed twice")
@@ -222,7 +226,7 @@ class CategoryEncoder(Step):
         learned = {}
         for i, r in enumerate(rules):
             mine = stats.filter(F.col("i") == i)
-            if totals[i]["groups"] <= INLINE_ROWS:
+            if totals[i]["groups"] <= INLINE_ROWS or r["column"] in bins:     # never more groups than configured bins
                 learned[r["column"]] = self.entry(spark, r, mine.collect(), bins.get(r["column"]))
                 continue
             encoded = mine.filter(F.col("key").isNotNull()).select("key", "n", self.value(r, totals[i]).alias("value"))
