@@ -1,5 +1,7 @@
 """Column expressions shared by the operators. None of them starts a job."""
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -86,22 +88,39 @@ def row_fingerprint(columns) -> list[Column]:
     return [F.xxhash64(F.lit(1), *parts), F.xxhash64(F.lit(2), *parts)]
 
 
-def bin_index(value: Column, edges) -> Column:
-    """Index of the right-closed interval holding ``value``; the first one also holds its lower edge.
+def double_text(value) -> str:
+    """A double as SQL text; long lists of literals are much faster to hand over as text than one by one."""
+    if value is None:
+        return "CAST(NULL AS DOUBLE)"
+    value = float(value)
+    if math.isfinite(value):
+        return f"{value!r}D"
+    return f"CAST('{'NaN' if value != value else 'Infinity' if value > 0 else '-Infinity'}' AS DOUBLE)"
+
+
+def double_array(values) -> Column:
+    """A literal array of doubles."""
+    return F.expr(f"array({', '.join(map(double_text, values))})")
+
+
+def bin_index(name: str, edges) -> Column:
+    """Index of the right-closed interval that holds the column's value; the first one also holds its lower edge.
 
     A balanced tree of comparisons: log2(bins) tests per row, inside generated code. Outside the edges: null.
     """
-    edges = [float(e) for e in edges]
+    x, edges = quoted(name), [double_text(e) for e in edges]
+    if not edges:
+        return F.lit(None).cast("int")
+    if len(edges) == 1:
+        return F.expr(f"IF({x} = {edges[0]}, 0, NULL)")
 
     def choose(first, last):
         if first == last:
-            return F.lit(first)
+            return str(first)
         middle = (first + last) // 2
-        return F.when(value <= F.lit(edges[middle + 1]), choose(first, middle)).otherwise(choose(middle + 1, last))
+        return f"IF({x} <= {edges[middle + 1]}, {choose(first, middle)}, {choose(middle + 1, last)})"
 
-    if len(edges) < 2:
-        return F.when(value == F.lit(edges[0]), F.lit(0)) if edges else F.lit(None).cast("int")
-    return F.when((value >= F.lit(edges[0])) & (value <= F.lit(edges[-1])), choose(0, len(edges) - 2))
+    return F.expr(f"IF({x} >= {edges[0]} AND {x} <= {edges[-1]}, {choose(0, len(edges) - 2)}, NULL)")
 
 
 def guarded(value: Column, bad: Column, message: str, *details: Column) -> Column:

@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabloom.functions.expressions import FRACTIONAL, col, guarded, num, replace_columns
+from tabloom.functions.expressions import FRACTIONAL, col, double_array, guarded, num, replace_columns
 from tabloom.session import scratch_path
 
 LITERAL_ROWS = 64        # entries of a map literal, which is searched entry by entry
@@ -80,8 +80,8 @@ def joined(df, name, table, on_unseen, hot=None) -> DataFrame:
 def replace_by_bin(name: str, index: Column, entry: dict, bins: int, on_unseen, outside_fails) -> Column:
     """Value of the bin a number falls into: one array access on a literal."""
     by_bin = {int(k): v for k, v in entry["rows"]}
-    value = F.get(F.array(*[F.lit(by_bin.get(b)).cast("double") for b in range(bins)]), index)
-    seen = F.get(F.array(*[F.lit(b in by_bin) for b in range(bins)]), index)
+    value = F.get(double_array([by_bin.get(b) for b in range(bins)]), index)
+    seen = F.get(double_array([float(b in by_bin) for b in range(bins)]), index) > 0
     x = col(name)
     if on_unseen == "null":
         return value

@@ -1,24 +1,28 @@
 """Exact, linearly interpolated quantiles that stay bounded in memory at any data size.
 
-Spark's ``percentile`` keeps one counter per distinct value. That is the fastest way while the number of distinct
-values is known to be small, and impossible for 10^9 of them. Beyond the bound each wanted rank is enclosed by an
-interval that ``percentile_approx`` narrows pass by pass; every pass is one aggregate without a data shuffle, and the
-few values left in the interval are fetched with their counts at the end.
+Spark's ``percentile`` keeps one counter per distinct value. That is the fastest way while the number of distinct values
+is known to be small, and impossible for 10^9 of them. Beyond the bound, ``percentile_approx`` proposes two close cuts
+around every wanted rank; one grouped count gives the exact number of rows between all cuts together with the few values
+that lie inside the pairs. Only when these would be too many, further sketches narrow the pairs first. Every pass is an
+aggregate that combines map-side; the column itself is never shuffled.
 """
 
+import bisect
+import itertools
 import math
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabloom.functions.expressions import num
+from tabloom.functions.expressions import double_array, num
 
-COUNTER_BOUND = 4_000_000   # distinct values over all columns that one percentile job may count
-LOOKUP_BOUND = 40_000_000   # distinct values times fractions of one column: each fraction walks the counters
-FETCH_BOUND = 50_000        # values of one interval that may come to the driver
-GRID = 200                  # points of the sketch per pass
-ACCURACY = 10_000
+COUNTER_BOUND = 500_000     # distinct values over all columns that one percentile job may count
+LOOKUP_BOUND = 10_000_000   # distinct values times fractions of one column: each fraction walks the counters
+FETCH_BOUND = 50_000        # values between cuts that may come to the driver
+ACCURACY = 10_000           # of the first sketch: its ranks are off by at most rows / ACCURACY
+FINE_ACCURACY = 100_000     # the same when many ranks are wanted
+GRID = 200                  # points of each later sketch
 
 
 def interpolate(position: float, low_value, high_value):
@@ -29,33 +33,43 @@ def interpolate(position: float, low_value, high_value):
 
 
 def exact_quantiles(df: DataFrame, wanted: dict[str, list[float]], rows: int | None = None,
-                    bound: int = COUNTER_BOUND) -> dict[str, dict[float, float | None]]:
+                    bound: int = COUNTER_BOUND, distinct: dict[str, int] | None = None) -> dict[str, dict[float, float | None]]:
     """``{column: {fraction: value}}``; null for a column without values.
 
-    ``rows`` is an upper bound of the row count, if the caller knows one; it saves the sizing job.
+    ``rows`` is an upper bound of the row count and ``distinct`` holds estimates of the distinct values, if the caller
+    knows them; they save the sizing jobs.
     """
     wanted = {c: sorted(set(float(p) for p in ps)) for c, ps in wanted.items() if ps}
     if not wanted:
         return {}
-    countable, large = split_by_size(df, list(wanted), rows, bound, {c: len(f) for c, f in wanted.items()})
+    countable, large = split_by_size(df, list(wanted), rows, bound, {c: len(f) for c, f in wanted.items()}, distinct)
     found = {}
     if countable:
-        row = df.agg(*[percentile_column(c, wanted[c]).alias(f"q{i}") for i, c in enumerate(countable)]).first()
-        found.update({c: read_percentiles(wanted[c], row[f"q{i}"]) for i, c in enumerate(countable)})
+        union = sorted({p for c in countable for p in wanted[c]})
+        rows = percentiles_long(df, countable, union).collect()
+        values = {r["slot"]: r["q"] for r in rows}
+        for i, c in enumerate(countable):
+            every = dict(zip(union, values.get(i) or [None] * len(union)))
+            found[c] = {p: every[p] for p in wanted[c]}
     if large:
         found.update(narrowed_quantiles(df, {c: wanted[c] for c in large}))
     return found
 
 
-def percentile_column(name, fractions):
-    return F.percentile(num(name), F.array(*[F.lit(p) for p in fractions]))
+def long_numbers(df: DataFrame, names) -> DataFrame:
+    """(slot, x): one row per value, slot being the column's place in ``names``.
+
+    Aggregates over this form keep the same small generated code for any number of columns.
+    """
+    return df.select(F.posexplode(F.array(*[num(c) for c in names])).alias("slot", "x"))
 
 
-def read_percentiles(fractions, values):
-    return dict(zip(fractions, values if values is not None else [None] * len(fractions)))
+def percentiles_long(df: DataFrame, names, fractions) -> DataFrame:
+    """(slot, q): counted percentiles; only for columns found small enough."""
+    return long_numbers(df, names).groupBy("slot").agg(F.percentile("x", double_array(fractions)).alias("q"))
 
 
-def split_by_size(df: DataFrame, columns, rows=None, bound=COUNTER_BOUND, fractions=None):
+def split_by_size(df: DataFrame, columns, rows=None, bound=COUNTER_BOUND, fractions=None, distinct=None):
     """Columns whose distinct values fit one percentile job, and the rest.
 
     Without a known row bound the rows are counted first; only if they exceed the bound are distinct values estimated.
@@ -66,7 +80,10 @@ def split_by_size(df: DataFrame, columns, rows=None, bound=COUNTER_BOUND, fracti
         rows = df.count()
     if rows * len(columns) <= bound and all(rows * fractions.get(c, 1) <= LOOKUP_BOUND for c in columns):
         return columns, []
-    sizes = df.agg(*[F.approx_count_distinct(num(c), 0.05).alias(f"d{i}") for i, c in enumerate(columns)]).first()
+    if distinct is None:
+        sizes = df.agg(*[F.approx_count_distinct(num(c), 0.05).alias(f"d{i}") for i, c in enumerate(columns)]).first()
+    else:
+        sizes = [distinct[c] for c in columns]
     countable, used = [], 0
     for c, size in sorted(zip(columns, sizes), key=lambda cs: cs[1]):
         size = min(rows, int(size * 1.3) + 1)
@@ -76,44 +93,132 @@ def split_by_size(df: DataFrame, columns, rows=None, bound=COUNTER_BOUND, fracti
     return countable, [c for c in columns if c not in countable]
 
 
+class Rank:
+    """One wanted rank of a column: its value lies in [low, high]; about ``size`` rows lie inside."""
+
+    def __init__(self, column, rank, low=None, high=None, size=math.inf):
+        self.column, self.rank, self.low, self.high, self.size = column, rank, low, high, size
+        self.value = None
+
+
 def narrowed_quantiles(df: DataFrame, wanted) -> dict[str, dict[float, float | None]]:
     """Exact quantiles of columns with any number of distinct values, all columns and fractions together.
 
-    Each pass cuts every column at the ends of the intervals that still hold a wanted rank and counts the rows between
-    the cuts, with a small sketch of each part. The counts are exact, the sketch only proposes the next, much narrower
-    cuts. Passes: about log of the row count to base 100.
+    Two jobs up to FETCH_BOUND * ACCURACY / 6 rows per wanted rank; each further one allows some 40 times as many.
     """
     names = list(wanted)
     x = df.select(*[num(c).alias(f"x{i}") for i, c in enumerate(names)])
-    counts = x.agg(*[F.count(f"x{i}").alias(f"x{i}") for i in range(len(names))]).first()
-    pending, values, cuts = {}, {}, {}
-    for i, c in enumerate(names):
-        if counts[f"x{i}"]:
-            places = [(counts[f"x{i}"] - 1) * p for p in wanted[c]]
-            pending[i] = sorted({math.floor(q) for q in places} | {math.ceil(q) for q in places})
-            cuts[i] = []
+    first, counts = first_cuts(x, [wanted[c] for c in names])
+    ranks = {(r.column, r.rank): r for r in first}
+    pending = list(first)
     while pending:
-        parts = count_parts(x, {i: cuts[i] for i in pending})
-        to_fetch = {}
-        for i in list(pending):
-            cuts[i] = settle(i, pending[i], cuts[i], parts[i], values, to_fetch)
-        if to_fetch:
-            fetch_parts(x, to_fetch, values)
-        for i in list(pending):
-            pending[i] = [r for r in pending[i] if (i, r) not in values]
-            if not pending[i]:
-                del pending[i]
+        if sum(r.size for r in pending) <= FETCH_BOUND:
+            read_off(x, pending)
+        else:
+            narrow(x, pending)
+        pending = [r for r in pending if r.value is None]
     found = {}
     for i, c in enumerate(names):
-        n = counts[f"x{i}"]
-        found[c] = {}
-        for p in wanted[c]:
-            place = (n - 1) * p
-            found[c][p] = None if not n else interpolate(
-                place, values[i, math.floor(place)], values[i, math.ceil(place)])
+        found[c] = dict.fromkeys(wanted[c])
+        for p in wanted[c] if counts[i] else ():
+            place = (counts[i] - 1) * p
+            found[c][p] = interpolate(place, ranks[i, math.floor(place)].value, ranks[i, math.ceil(place)].value)
     return found
 
 
+def first_cuts(x: DataFrame, wanted):
+    """Row counts and a pair of cuts around each wanted rank, from one sketch per column."""
+    accuracy = FINE_ACCURACY if sum(map(len, wanted)) > 32 else ACCURACY
+    margin = 2 / accuracy
+    aggregates = []
+    for i, fractions in enumerate(wanted):
+        points = double_array([min(max(p + side, 0.0), 1.0) for p in fractions for side in (-margin, margin)])
+        aggregates += [F.count(f"x{i}").alias(f"n{i}"), F.percentile_approx(f"x{i}", points, accuracy).alias(f"q{i}")]
+    row = x.agg(*aggregates).first()
+    ranks = {}
+    for i, fractions in enumerate(wanted):
+        n = row[f"n{i}"]
+        for j, p in enumerate(fractions if n else ()):
+            low = row[f"q{i}"][2 * j] if p > margin else None
+            high = row[f"q{i}"][2 * j + 1] if p < 1 - margin else None
+            place = (n - 1) * p
+            for k in {math.floor(place), math.ceil(place)}:
+                # The neighbouring rank may lie just beyond a pair of cuts when rows are few; then it is narrowed anew.
+                ranks.setdefault((i, k), Rank(i, k, low, high, 6 * n / accuracy + 2))
+    return list(ranks.values()), {i: row[f"n{i}"] for i in range(len(wanted))}
+
+
+def cuts_of(pending):
+    cuts = {}
+    for r in pending:
+        cuts.setdefault(r.column, set()).update(c for c in (r.low, r.high) if c is not None)
+    return {i: sorted(c) for i, c in cuts.items()}
+
+
+def place_ranks(pending, cuts, counts):
+    """Yield (rank, part, first rank of the part, rows of the part)."""
+    ends = {}
+    for i in cuts:
+        sizes = [counts.get((i, part), 0) for part in range(2 * len(cuts[i]) + 1)]
+        ends[i] = sizes, list(itertools.accumulate(sizes))
+    for r in pending:
+        sizes, upto = ends[r.column]
+        part = bisect.bisect_right(upto, r.rank)
+        yield r, part, upto[part] - sizes[part], sizes[part]
+
+
+def narrow(x: DataFrame, pending):
+    """Count the rows between the cuts, and propose closer cuts from a sketch of each part that holds a rank."""
+    cuts = cuts_of(pending)
+    grid = double_array([g / GRID for g in range(GRID + 1)])
+    rows = (parted(x, cuts).groupBy("i", "part")
+            .agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("x", grid, ACCURACY).alias("grid")).collect())
+    counts = {(r["i"], r["part"]): r["n"] for r in rows}
+    grids = {(r["i"], r["part"]): r["grid"] for r in rows}
+    for r, part, start, n in place_ranks(pending, cuts, counts):
+        if part % 2:
+            r.value = cuts[r.column][part // 2]
+            continue
+        points, place = grids[r.column, part], (r.rank - start) / n * GRID
+        r.low = points[max(0, math.floor(place) - 2)]
+        r.high = points[min(GRID, math.ceil(place) + 2)]
+        r.size = 6 * n / GRID + 2
+
+
+def read_off(x: DataFrame, pending):
+    """Count the rows between the cuts and bring the few values inside the ranks' pairs; read the ranks off."""
+    cuts = cuts_of(pending)
+    inside = {}
+    for r in pending:
+        ends = cuts[r.column]
+        low = ends.index(r.low) if r.low is not None else -1
+        high = ends.index(r.high) if r.high is not None else len(ends)
+        inside.setdefault(r.column, set()).update(2 * j for j in range(low + 1, high + 1))
+    wanted = " OR ".join(f"i = {i} AND part IN ({', '.join(map(str, sorted(parts)))})" for i, parts in inside.items() if parts)
+    rows = parted(x, cuts).groupBy("i", "part", F.when(F.expr(wanted or "false"), F.col("x")).alias("v")).count().collect()
+    counts, values = {}, {}
+    for row in rows:
+        key = (row["i"], row["part"])
+        counts[key] = counts.get(key, 0) + row["count"]
+        if row["v"] is not None:
+            values.setdefault(key, []).append((row["v"], row["count"]))
+    for r, part, start, _ in place_ranks(pending, cuts, counts):
+        if part % 2:
+            r.value = cuts[r.column][part // 2]
+        elif part in inside[r.column]:
+            left = r.rank - start
+            for value, n in sorted(values[r.column, part]):
+                if left < n:
+                    r.value = value
+                    break
+                left -= n
+        else:
+            ends = cuts[r.column]
+            r.low = ends[part // 2 - 1] if part else None
+            r.high = ends[part // 2] if part // 2 < len(ends) else None
+            r.size = math.inf
+
+
 def parted(x: DataFrame, cuts) -> DataFrame:
     """Long (i, part, x). Part 2j-1 is the value of cut j, part 2j lies between cut j and cut j+1 (cuts from 1)."""
     cut = [i for i in cuts if cuts[i]]
@@ -125,68 +230,8 @@ def parted(x: DataFrame, cuts) -> DataFrame:
         value, part = F.col(f"x{i}"), F.lit(0)
         if cuts[i]:
             bucket = F.col(f"b{i}").cast("int")
-            lower = F.get(F.array(*[F.lit(e) for e in cuts[i]]), bucket - 1)
+            lower = F.get(double_array(cuts[i]), bucket - 1)
             part = F.when(value == lower, bucket * 2 - 1).otherwise(bucket * 2)
         entries.append(F.struct(F.lit(i).alias("i"), part.alias("part"), value.alias("x")).alias(f"s{i}"))
     return (tagged.select(*entries).unpivot([], [f"s{i}" for i in cuts], "slot", "s")
             .select("s.*").filter(F.col("x").isNotNull()))
-
-
-def count_parts(x, cuts):
-    many = sum(len(c) for c in cuts.values()) > 32
-    grid = F.array(*[F.lit(g / GRID) for g in range(GRID + 1)])
-    rows = (parted(x, cuts).groupBy("i", "part")
-            .agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("x", grid, ACCURACY // 5 if many else ACCURACY).alias("grid"))
-            .collect())
-    parts = {i: {} for i in cuts}
-    for r in rows:
-        parts[r["i"]][r["part"]] = (r["n"], r["grid"])
-    return parts
-
-
-def settle(i, ranks, cuts, parts, values, to_fetch):
-    """Settle ranks that fall on a cut, note small parts for fetching, and return the next cuts."""
-    limit = max(100, FETCH_BOUND // len(ranks))
-    start, bounds, following = 0, sorted(parts), set()
-    for part in bounds:
-        n, grid = parts[part]
-        held = [r for r in ranks if start <= r < start + n]
-        if held and part % 2:
-            values.update({(i, r): cuts[part // 2] for r in held})
-        elif held and n <= limit:
-            to_fetch[i, part] = (cuts, start, held)
-        else:
-            for r in held:
-                place = (r - start) / n * GRID
-                following |= {grid[max(0, math.floor(place) - 2)], grid[min(GRID, math.ceil(place) + 2)]}
-        start += n
-    # Cuts around parts that stay open keep them apart from their neighbours.
-    return sorted(following | set(cuts)) if following else cuts
-
-
-def fetch_parts(x, to_fetch, values):
-    """Bring the few distinct values of the noted parts, with counts, and read the ranks off."""
-    cuts = {i: c for (i, _), (c, _, _) in to_fetch.items()}
-    rows = (parted(x, cuts).filter(in_parts(to_fetch))
-            .groupBy("i", "part", "x").count().collect())
-    by_part = {}
-    for r in rows:
-        by_part.setdefault((r["i"], r["part"]), []).append((r["x"], r["count"]))
-    for key, (_, start, held) in to_fetch.items():
-        for rank in held:
-            left = rank - start
-            for value, n in sorted(by_part[key]):
-                if left < n:
-                    values[key[0], rank] = value
-                    break
-                left -= n
-
-
-def in_parts(to_fetch):
-    by_column = {}
-    for i, part in to_fetch:
-        by_column.setdefault(i, []).append(part)
-    keep = F.lit(False)
-    for i, parts in by_column.items():
-        keep = keep | ((F.col("i") == i) & F.col("part").isin(parts))
-    return keep

@@ -4,10 +4,12 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tabloom.functions.expressions import double_array
+
 
 def range_edges(df: DataFrame, order_column: str, buckets: int) -> list[float]:
     """About equally filled ranges of a numeric column, from one bounded sketch."""
-    grid = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
+    grid = double_array([i / buckets for i in range(1, buckets)])
     inner = df.agg(F.percentile_approx(F.col(order_column), grid, 10_000).alias("e")).first()["e"] or []
     return [float("-inf")] + sorted(set(inner)) + [float("inf")]
 

@@ -61,10 +61,6 @@ class BinaryEstimator(Estimator, Columns, DefaultParamsReadable, DefaultParamsWr
                          vector_to_array(F.col(self.getFeaturesCol())).alias("x"))
 
 
-def literal_array(values):
-    return F.array(*[F.lit(float(v)) for v in values])
-
-
 def total(array):
     return F.aggregate(array, F.lit(0.0), lambda acc, v: acc + v)
 
@@ -75,5 +71,5 @@ def dot(a, b):
 
 __all__ = [
     "BinaryEstimator", "Columns", "MarginModel", "Param", "Params", "TypeConverters", "HasWeightCol", "assemble", "dot",
-    "keyword_only", "literal_array", "sigmoid", "total",
+    "keyword_only", "sigmoid", "total",
 ]

@@ -10,7 +10,8 @@ from pyspark.ml.regression import IsotonicRegression, LinearRegression
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import functions as F
 
-from tabloom.models.base import BinaryEstimator, Columns, HasWeightCol, keyword_only, literal_array, sigmoid, total
+from tabloom.functions.expressions import double_array
+from tabloom.models.base import BinaryEstimator, Columns, HasWeightCol, keyword_only, sigmoid, total
 from tabloom.session import materialize
 
 ROUNDS_PER_TABLE = 8    # boosting rounds between written tables, which keep the plan short
@@ -28,7 +29,7 @@ class VoteModel(Model, Columns, DefaultParamsReadable, DefaultParamsWritable):
         alphas = self.getOrDefault("alphas")
         names = [f"__tree{i}" for i in range(len(alphas))]
         votes = F.array(*[F.col(n) * 2 - 1 for n in names])
-        margin = total(F.zip_with(votes, literal_array(alphas), lambda v, a: v * a)) / F.lit(sum(alphas))
+        margin = total(F.zip_with(votes, double_array(alphas), lambda v, a: v * a)) / F.lit(sum(alphas))
         scored = df.withColumn("__margin", margin)
         p = sigmoid(F.col("__margin"))
         scored = scored.withColumns({

@@ -48,38 +48,45 @@ def importances(model):
 def explain_local(model, rows: DataFrame, reference: DataFrame, features, key, samples=500, seed=0) -> DataFrame:
     """(key, feature, weight, intercept, r2): a weighted linear model of class 1's probability around each row.
 
-    Every row becomes ``samples`` normal perturbations (the first is the row itself), seeded by its key; the model scores
-    them as one batch; then each row's samples, a bounded group, are fitted by ridge regression. Weights refer to
-    features in units of the reference data's standard deviation.
+    Every row becomes ``samples`` normal perturbations (the first is the row itself), seeded by its key, which the model
+    scores as ordinary rows. Each row's scores, a list of that fixed length, are then fitted by ridge regression on the
+    same perturbations, made again from the seed. Rows are spread by key once, before they are multiplied, and stay where
+    they are. Weights refer to features in units of the reference data's standard deviation.
     """
-    stats = column_stats(reference, {f: ["mean", "std_pop"] for f in features})
+    stats = column_stats(reference, {f: ["std_pop"] for f in features})
     spread = np.array([stats[f]["std_pop"] or 1.0 for f in features])
     d = len(features)
     width = KERNEL_SHARE * np.sqrt(d)
 
-    def perturb(batches):
+    def noise(mark):
+        z = np.random.default_rng(abs(int(mark))).normal(size=(samples, d))
+        z[0] = 0.0
+        return z
+
+    @F.pandas_udf("array<array<double>>")
+    def perturbed(mark: pd.Series, x: pd.Series) -> pd.Series:
+        return pd.Series([list(np.asarray(v) + noise(m) * spread) for m, v in zip(mark, x)])
+
+    def fit(batches):
         for batch in batches:
-            for k, mark, x in zip(batch["key"], batch["mark"], batch["x"]):
-                noise = np.random.default_rng(abs(int(mark))).normal(size=(samples, d))
-                noise[0] = 0.0
-                points = np.asarray(x, dtype="float64") + noise * spread
-                yield pd.DataFrame({"key": [k] * samples, "z": noise.tolist(), "x": points.tolist()})
+            out = []
+            for k, m, p in zip(batch["key"], batch["mark"], batch["p"]):
+                z = noise(m)
+                w = np.sqrt(np.exp(-(z ** 2).sum(axis=1) / width ** 2))
+                zm, pm = np.average(z, axis=0, weights=w), np.average(p, weights=w)
+                zc, pc = z - zm, np.asarray(p) - pm
+                weights = np.linalg.solve((zc * w[:, None]).T @ zc + RIDGE * np.eye(d), (zc * w[:, None]).T @ pc)
+                rest, whole = np.sum(w * (pc - zc @ weights) ** 2), np.sum(w * pc ** 2)
+                r2 = 1 - rest / whole if whole > 0 else 1.0
+                out += [(k, f, v, pm - zm @ weights, r2) for f, v in zip(features, weights)]
+            yield pd.DataFrame(out, columns=["key", "feature", "weight", "intercept", "r2"])
 
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keyed = rows.select(col(key).cast("string").alias("key"), F.xxhash64(col(key).cast("string"), F.lit(seed)).alias("mark"),
-                        F.array(*[col(f).cast("double") for f in features]).alias("x"))
-    points = keyed.mapInPandas(perturb, "key string, z array<double>, x array<double>")
+                        F.array(*[col(f).cast("double") for f in features]).alias("x")).repartition(tasks, "key", "mark")
+    points = keyed.select("key", "mark", F.posexplode(perturbed("mark", "x")).alias("place", "x"))
     scored = model.transform(points.withColumn("features", array_to_vector("x")))
-    scored = scored.select("key", "z", vector_to_array(F.col("probability"))[1].alias("p"))
-
-    def fit(group):
-        z = np.array(group["z"].tolist())
-        p = group["p"].to_numpy()
-        w = np.exp(-(z ** 2).sum(axis=1) / width ** 2) ** 0.5
-        zm, pm = np.average(z, axis=0, weights=w), np.average(p, weights=w)
-        zc, pc = z - zm, p - pm
-        weights = np.linalg.solve((zc * w[:, None]).T @ zc + RIDGE * np.eye(d), (zc * w[:, None]).T @ pc)
-        rest, whole = np.sum(w * (pc - zc @ weights) ** 2), np.sum(w * pc ** 2)
-        return pd.DataFrame({"key": group["key"].iloc[0], "feature": list(features), "weight": weights,
-                             "intercept": pm - zm @ weights, "r2": 1 - rest / whole if whole > 0 else 1.0})
-
-    return scored.groupBy("key").applyInPandas(fit, "key string, feature string, weight double, intercept double, r2 double")
+    scored = scored.select("key", "mark", "place", vector_to_array(F.col("probability"))[1].alias("p"))
+    lists = scored.groupBy("key", "mark").agg(F.array_sort(F.collect_list(F.struct("place", "p"))).alias("s"))
+    return lists.select("key", "mark", F.col("s.p").alias("p")).mapInPandas(
+        fit, "key string, feature string, weight double, intercept double, r2 double")

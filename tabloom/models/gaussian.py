@@ -10,8 +10,9 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import functions as F
 
+from tabloom.functions.expressions import double_array
 from tabloom.models.base import (
-    BinaryEstimator, MarginModel, Param, Params, TypeConverters, dot, keyword_only, literal_array, total,
+    BinaryEstimator, MarginModel, Param, Params, TypeConverters, dot, keyword_only, total,
 )
 
 
@@ -33,13 +34,13 @@ def class_covariances(rows, moments, with_fourth=False):
     Products of centered features are averaged as one long vector, so the plan does not grow with the number of
     features.
     """
-    means = F.when(F.col("y") == 1, literal_array(moments[1][1])).otherwise(literal_array(moments[0][1]))
+    means = F.when(F.col("y") == 1, double_array(moments[1][1])).otherwise(double_array(moments[0][1]))
     centered = rows.select("y", F.zip_with("x", means, lambda a, m: a - m).alias("z"))
     products = F.flatten(F.transform("z", lambda a: F.transform("z", lambda b: a * b)))
     aggregates = [Summarizer.mean(F.col("p")).alias("m")]
     if with_fourth:
         spread = [np.sqrt(np.where(moments[k][2] > 0, moments[k][2], 1.0)) for k in (0, 1)]
-        scale = F.when(F.col("y") == 1, literal_array(spread[1])).otherwise(literal_array(spread[0]))
+        scale = F.when(F.col("y") == 1, double_array(spread[1])).otherwise(double_array(spread[0]))
         centered = centered.withColumn("norm", total(F.zip_with("z", scale, lambda a, s: (a / s) * (a / s))))
         aggregates.append(F.sum(F.col("norm") * F.col("norm")).alias("fourth"))
     found = centered.withColumn("p", array_to_vector(products)).groupBy("y").agg(*aggregates).collect()
@@ -89,11 +90,11 @@ class QuadraticModel(MarginModel):
         super().__init__()
 
     def distance(self, x, means, weights):
-        z = F.zip_with(x, literal_array(means), lambda a, m: a - m)
+        z = F.zip_with(x, double_array(means), lambda a, m: a - m)
         if len(weights) == len(means):
-            return total(F.zip_with(z, literal_array(weights), lambda a, w: a * a * w))
+            return total(F.zip_with(z, double_array(weights), lambda a, w: a * a * w))
         d = len(means)
-        matrix = F.array(*[literal_array(weights[i * d:(i + 1) * d]) for i in range(d)])
+        matrix = F.array(*[double_array(weights[i * d:(i + 1) * d]) for i in range(d)])
         return dot(z, F.transform(matrix, lambda row: dot(row, z)))
 
     def margin(self, x):
@@ -109,7 +110,7 @@ class LinearMarginModel(MarginModel):
         super().__init__()
 
     def margin(self, x):
-        return F.lit(self.getOrDefault("intercept")) + dot(x, literal_array(self.getOrDefault("coefficients")))
+        return F.lit(self.getOrDefault("intercept")) + dot(x, double_array(self.getOrDefault("coefficients")))
 
 
 class LinearDiscriminant(BinaryEstimator):

@@ -16,6 +16,7 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tabloom.functions.expressions import double_array
 from tabloom.models.base import BinaryEstimator, Columns, Param, Params, TypeConverters, keyword_only
 from tabloom.session import materialize, scratch_path
 
@@ -50,7 +51,7 @@ def whitening(train: DataFrame, x: str):
     rows = train.select(F.col(x).alias("x"))
     first = rows.agg(Summarizer.metrics("mean", "count").summary(array_to_vector("x")).alias("s")).first()["s"]
     mean, n = first["mean"].toArray(), first["count"]
-    z = F.zip_with("x", F.array(*[F.lit(float(m)) for m in mean]), lambda a, m: a - m)
+    z = F.zip_with("x", double_array(mean), lambda a, m: a - m)
     product = rows.select(z.alias("z")).select(
         array_to_vector(F.flatten(F.transform("z", lambda a: F.transform("z", lambda b: a * b)))).alias("p"))
     covariance = product.agg(Summarizer.mean(F.col("p")).alias("m")).first()["m"].toArray().reshape(len(mean), -1) * n / (n - 1)

@@ -144,8 +144,8 @@ def best_quantiles(df: DataFrame, columns) -> dict[str, dict]:
     """Per column the largest number of quantile bins of which each holds enough rows (see ``bin_size_bounds``).
 
     One sizing job. Then for many candidates at once: one percentile job over their edges and one job counting the rows
-    between all these edges. Columns with few distinct values try all candidates together; others start with the two
-    largest and double the number of candidates, as most succeed at once.
+    between all these edges. Columns with few distinct values try all candidates together; others start with the largest
+    ones and double the number of candidates, as most succeed at once.
     """
     sizes = df.agg(F.count(F.lit(1)).alias("rows"), *[
         e for i, c in enumerate(columns)
@@ -158,8 +158,8 @@ def best_quantiles(df: DataFrame, columns) -> dict[str, dict]:
         start, capped = sizes["rows"] // wanted, False
         if start > WIDEST_SEARCH:
             start, capped = max(n // wanted, 1), True
-        search[c] = {"wanted": wanted, "next": max(start, 1), "batch": start if sizes[f"d{i}"] <= 5000 else 2,
-                     "capped": capped, "n": n}
+        search[c] = {"wanted": wanted, "next": max(start, 1), "batch": start if sizes[f"d{i}"] <= 5000 else 8,
+                     "capped": capped, "n": n, "distinct": sizes[f"d{i}"]}
     done = {c: {"bins": [], "quantiles": 1} for c, s in search.items() if not s["n"]}
     while len(done) < len(columns):
         batches = {}
@@ -168,7 +168,7 @@ def best_quantiles(df: DataFrame, columns) -> dict[str, dict]:
                 batches[c] = list(range(s["next"], max(0, s["next"] - max(1, s["batch"])), -1))
                 s["next"] -= len(batches[c])
                 s["batch"] *= 2
-        edges = candidate_edges(df, batches, sizes["rows"])
+        edges = candidate_edges(df, batches, sizes["rows"], {c: search[c]["distinct"] for c in batches})
         below = rows_up_to(df, {c: sorted({e for es in qs.values() for e in es}) for c, qs in edges.items()})
         for c, qs in edges.items():
             for q in batches[c]:
@@ -182,9 +182,9 @@ def best_quantiles(df: DataFrame, columns) -> dict[str, dict]:
     return done
 
 
-def candidate_edges(df, batches, rows):
+def candidate_edges(df, batches, rows, distinct):
     fractions = {c: [i / q for q in qs for i in range(q + 1)] for c, qs in batches.items()}
-    quantiles = exact_quantiles(df, fractions, rows)
+    quantiles = exact_quantiles(df, fractions, rows, distinct=distinct)
     return {c: {q: unique_edges(quantiles[c], q) for q in qs} for c, qs in batches.items()}
 
 
@@ -215,7 +215,7 @@ def smallest_bin(edges, below) -> int:
 def apply_bins(df: DataFrame, learned) -> DataFrame:
     """Replace each column by its bin number; values outside the edges become null."""
     numbers = replace_columns(df, {c: num(c) for c in learned})
-    return replace_columns(numbers, {c: bin_index(col(c), entry["bins"]) for c, entry in learned.items()})
+    return replace_columns(numbers, {c: bin_index(c, entry["bins"]) for c, entry in learned.items()})
 
 
 def bin_columns(df: DataFrame, rules, full=None, rows=None, check=True) -> tuple[DataFrame, dict]:

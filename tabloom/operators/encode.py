@@ -107,6 +107,11 @@ class Ordinal(Step):
         return result.otherwise(unmapped.cast(number))
 
 
+def category_key(df: DataFrame, name, bins):
+    """The category or bin number of a column, as text."""
+    return bin_index(name, bins[name]["bins"]).cast("string") if name in bins else text_key(df, name)
+
+
 def category_stats(df: DataFrame, pairs, quantiles=()) -> DataFrame:
     """(i, key, n, n_y, sum_y, pos, neg[, q25, q50, q75]) per category of each (key column, target column) pair.
 
@@ -189,11 +194,8 @@ class CategoryEncoder(Step):
             self.check(r)
         continuous = [r for r in rules if r["type"] == "continuous"]
         bins = fit_bins(df, continuous, full, rows) if continuous else {}
-        pairs = []
-        for r in rules:
-            c = r["column"]
-            key = bin_index(num(c), bins[c]["bins"]).cast("string") if c in bins else text_key(df, c)
-            pairs.append((key, r["target_column"]))
+        df = replace_columns(df, {c: num(c) for c in bins})
+        pairs = [(category_key(df, r["column"], bins), r["target_column"]) for r in rules]
         needed = [i for i, r in enumerate(rules) if r.get("encoding_method") in QUANTILE_ENCODINGS]
         stats = category_stats(df, pairs, needed)
         found = stats.take(INLINE_ROWS * len(rules) + 1)
@@ -245,7 +247,7 @@ class CategoryEncoder(Step):
         for r in rules:
             entry = learned[r["column"]]
             if entry.get("bins"):
-                index = bin_index(col(r["column"]), entry["bins"])
+                index = bin_index(r["column"], entry["bins"])
                 by_bin[r["column"]] = replace_by_bin(
                     r["column"], index, entry, max(1, len(entry["bins"]) - 1), r.get("on_unseen", "error"), self.outside_fails)
         df = replace_columns(df, by_bin) if by_bin else df
@@ -334,7 +336,8 @@ def information_value(df: DataFrame, columns, target, bins: dict[str, dict] | No
     The class totals are sums over the same grouped counts.
     """
     bins = bins or {}
-    pairs = [(bin_index(num(c), bins[c]["bins"]).cast("string") if c in bins else text_key(df, c), target) for c in columns]
+    df = replace_columns(df, {c: num(c) for c in columns if c in bins})
+    pairs = [(category_key(df, c, bins), target) for c in columns]
     stats = category_stats(df, pairs)
     totals = stats.groupBy("i").agg(F.sum("pos").alias("all_pos"), F.sum("neg").alias("all_neg"))
     both = stats.filter(F.col("key").isNotNull()).join(F.broadcast(totals), "i")

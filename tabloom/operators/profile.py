@@ -1,16 +1,19 @@
 """Dataset profile: one row per column from four jobs, whatever the number of columns."""
 
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.stat import Correlation
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabloom.functions.expressions import (
-    col, num, numeric_columns, require_numeric, row_fingerprint,
+    col, double_array, num, numeric_columns, require_numeric, row_fingerprint,
 )
 from tabloom.functions.frequencies import is_missing, mode_order, value_counts
 from tabloom.functions.quantiles import (
-    COUNTER_BOUND, exact_quantiles, narrowed_quantiles, percentile_column, read_percentiles, split_by_size,
+    COUNTER_BOUND, exact_quantiles, long_numbers, narrowed_quantiles, percentiles_long, split_by_size,
 )
+from tabloom.functions.stats import column_stats
 from tabloom.operators.validate import missing, tidy
 
 QUARTILES = [0.25, 0.5, 0.75]
@@ -32,18 +35,19 @@ def table_shape(df: DataFrame) -> DataFrame:
         F.try_divide(duplicates.cast("double") * 100, F.col("rows").cast("double")).alias("duplicate_pct"))
 
 
-def moments(names):
-    """Aggregates for P02, P03, P07 and P08 of the numeric columns."""
-    out = []
-    for i, c in enumerate(names):
-        x = num(c)
-        out += [
-            F.count(x).alias(f"n{i}"), F.min(x).alias(f"min{i}"), F.max(x).alias(f"max{i}"), F.avg(x).alias(f"mean{i}"),
-            F.stddev_samp(x).alias(f"std{i}"), F.stddev_pop(x).alias(f"rmsd{i}"),
-            F.skewness(x).alias(f"skew{i}"), F.kurtosis(x).alias(f"kurt{i}"),
-            F.count_if(x == 0).alias(f"zero{i}"), F.count_if(x < 0).alias(f"neg{i}"),
-        ]
-    return out
+def named(df: DataFrame, names, aggregated: DataFrame) -> DataFrame:
+    """One row per column name beside its aggregates; columns of an empty table have none."""
+    labels = df.sparkSession.createDataFrame(list(enumerate(names)), "slot int, `column` string")
+    return labels.join(F.broadcast(aggregated), "slot", "left")
+
+
+def moments(df: DataFrame, names) -> DataFrame:
+    """(slot, n, min, max, mean, std, rmsd, skew, kurt, zero, neg), all columns in one narrow aggregate."""
+    x = F.col("x")
+    return long_numbers(df, names).groupBy("slot").agg(
+        F.count(x).alias("n"), F.min(x).alias("min"), F.max(x).alias("max"), F.avg(x).alias("mean"),
+        F.stddev_samp(x).alias("std"), F.stddev_pop(x).alias("rmsd"), F.skewness(x).alias("skew"), F.kurtosis(x).alias("kurt"),
+        F.count_if(x == 0).alias("zero"), F.count_if(x < 0).alias("neg"))
 
 
 def corrected_skewness(n, g, constant):
@@ -58,68 +62,79 @@ def corrected_kurtosis(n, g, constant):
     return F.when(n >= 4, F.when(constant, F.lit(0.0)).otherwise(scale * ((n + 1) * g + 6)))
 
 
+def shape_columns():
+    n, same = F.col("n").cast("double"), F.col("min") == F.col("max")
+    return {"skewness": corrected_skewness(n, F.col("skew"), same), "kurtosis": corrected_kurtosis(n, F.col("kurt"), same)}
+
+
 def numeric_summary(df: DataFrame, columns=None, approx=False, rows=None) -> DataFrame:
-    """(column, n, min, max, range, mean, median, q1, q3, std): all columns from one aggregate.
+    """(column, n, min, max, range, mean, median, q1, q3, std).
 
-    ``approx`` reads the quartiles from Spark's bounded sketch. Otherwise they are exact, in the same aggregate for
-    columns whose distinct values can be counted, by narrowing for the others.
+    ``approx`` reads the quartiles from Spark's bounded sketch. Otherwise they are exact: counted for columns with few
+    enough distinct values, by narrowing for the others.
     """
     names = columns or numeric_columns(df)
     require_numeric(df, names)
+    x = F.col("x")
+    stats = long_numbers(df, names).groupBy("slot").agg(
+        F.count(x).alias("n"), F.min(x).alias("min"), F.max(x).alias("max"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"))
     if approx:
-        quartiles = [F.percentile_approx(num(c), QUARTILES).alias(f"q{i}") for i, c in enumerate(names)]
-        later = {}
+        q = long_numbers(df, names).groupBy("slot").agg(F.percentile_approx(x, QUARTILES).alias("q"))
     else:
         countable, large = split_by_size(df, names, rows)
-        quartiles = [percentile_column(c, QUARTILES).alias(f"q{i}") for i, c in enumerate(names) if c in countable]
-        later = narrowed_quantiles(df, {c: QUARTILES for c in large}) if large else {}
-    wide = df.agg(*moments(names), *quartiles)
-
-    def quartile(i, c, k):
-        return F.lit(later[c][QUARTILES[k]]) if c in later else F.col(f"q{i}")[k]
-
-    return tidy(wide, [
-        [("column", F.lit(c)), ("n", F.col(f"n{i}")), ("min", F.col(f"min{i}")), ("max", F.col(f"max{i}")),
-         ("range", F.col(f"max{i}") - F.col(f"min{i}")), ("mean", F.col(f"mean{i}")), ("median", quartile(i, c, 1)),
-         ("q1", quartile(i, c, 0)), ("q3", quartile(i, c, 2)), ("std", F.col(f"std{i}"))]
-        for i, c in enumerate(names)
-    ])
+        q = None
+        if countable:
+            places = F.array(*[F.lit(names.index(c)) for c in countable])
+            q = percentiles_long(df, countable, QUARTILES).select(F.get(places, F.col("slot")).alias("slot"), "q")
+        if large:
+            found = narrowed_quantiles(df, {c: QUARTILES for c in large})
+            more = df.sparkSession.createDataFrame(
+                [(names.index(c), [found[c][p] for p in QUARTILES]) for c in large], "slot int, q array<double>")
+            q = more if q is None else q.unionByName(more)
+    both = named(df, names, stats).join(F.broadcast(q), "slot", "left")
+    return both.select("column", F.coalesce("n", F.lit(0)).alias("n"), "min", "max", (F.col("max") - F.col("min")).alias("range"), "mean",
+                       F.get("q", 1).alias("median"), F.get("q", 0).alias("q1"), F.get("q", 2).alias("q3"), "std")
 
 
 def dispersion_shape(df: DataFrame, columns=None) -> DataFrame:
     """(column, rmsd, variation, kurtosis, skewness)."""
     names = columns or numeric_columns(df)
     require_numeric(df, names)
-    wide = df.agg(*moments(names))
-    return tidy(wide, [
-        [("column", F.lit(c)), ("rmsd", F.col(f"rmsd{i}")),
-         ("variation", F.try_divide(F.col(f"std{i}"), F.col(f"mean{i}"))),
-         ("kurtosis", corrected_kurtosis(F.col(f"n{i}").cast("double"), F.col(f"kurt{i}"), F.col(f"min{i}") == F.col(f"max{i}"))),
-         ("skewness", corrected_skewness(F.col(f"n{i}").cast("double"), F.col(f"skew{i}"), F.col(f"min{i}") == F.col(f"max{i}")))]
-        for i, c in enumerate(names)
-    ])
+    shape = shape_columns()
+    return named(df, names, moments(df, names)).select(
+        "column", "rmsd", F.try_divide("std", "mean").alias("variation"), shape["kurtosis"].alias("kurtosis"), shape["skewness"].alias("skewness"))
 
 
-def zscore_outlier_counts(df: DataFrame, columns=None, threshold=3.0) -> DataFrame:
-    """(column, n_outliers): |x - mean| / std above the threshold. Two aggregates, none holding rows."""
-    names = columns or numeric_columns(df)
-    require_numeric(df, names)
-    row = df.agg(*[e for i, c in enumerate(names) for e in (F.avg(num(c)).alias(f"m{i}"), F.stddev_samp(num(c)).alias(f"s{i}"))]).first()
-    wide = df.agg(*[zscore_count(c, row[f"m{i}"], row[f"s{i}"], threshold).alias(f"z{i}") for i, c in enumerate(names)])
-    return tidy(wide, [[("column", F.lit(c)), ("n_outliers", F.col(f"z{i}"))] for i, c in enumerate(names)])
+def literals_by_slot(values):
+    """The entry of a literal list at the row's slot."""
+    return F.get(double_array(values), F.col("slot"))
+
+
+def count_over(condition):
+    return F.count_if(F.coalesce(condition, F.lit(False)))
 
 
-def zscore_count(name, mean, std, threshold=3.0):
-    if mean is None or not std:
-        return F.count_if(F.lit(False))
-    return F.count_if(F.abs((num(name) - F.lit(mean)) / F.lit(std)) > F.lit(float(threshold)))
+def zscore_count(means, deviations, threshold=3.0):
+    """Aggregate counting |x - mean| / std above the threshold; a constant column has none."""
+    spread = F.when(literals_by_slot(deviations) > 0, literals_by_slot(deviations))
+    return count_over(F.abs((F.col("x") - literals_by_slot(means)) / spread) > F.lit(float(threshold)))
 
 
-def fence_counts(name, q1, q3, k):
-    if q1 is None:
-        return F.count_if(F.lit(False)), F.count_if(F.lit(False))
-    low, high = q1 - k * (q3 - q1), q3 + k * (q3 - q1)
-    return F.count_if(num(name) < F.lit(low)), F.count_if(num(name) > F.lit(high))
+def fence_counts(q1, q3, k):
+    """Aggregates counting values strictly below and above the fences."""
+    low = [None if a is None else a - k * (b - a) for a, b in zip(q1, q3)]
+    high = [None if a is None else b + k * (b - a) for a, b in zip(q1, q3)]
+    return count_over(F.col("x") < literals_by_slot(low)), count_over(F.col("x") > literals_by_slot(high))
+
+
+def zscore_outlier_counts(df: DataFrame, columns=None, threshold=3.0) -> DataFrame:
+    """(column, n_outliers): |x - mean| / std above the threshold. Two narrow aggregates."""
+    names = columns or numeric_columns(df)
+    require_numeric(df, names)
+    stats = column_stats(df, {c: ["mean", "std"] for c in names})
+    counted = long_numbers(df, names).groupBy("slot").agg(
+        zscore_count([stats[c]["mean"] for c in names], [stats[c]["std"] for c in names], threshold).alias("z"))
+    return named(df, names, counted).select("column", F.coalesce("z", F.lit(0)).alias("n_outliers"))
 
 
 def fence_outlier_counts(df: DataFrame, columns=None, k=1.5, rows=None) -> DataFrame:
@@ -127,14 +142,12 @@ def fence_outlier_counts(df: DataFrame, columns=None, k=1.5, rows=None) -> DataF
     names = columns or numeric_columns(df)
     require_numeric(df, names)
     q = exact_quantiles(df, {c: [0.25, 0.75] for c in names}, rows)
-    wide = df.agg(*[
-        e for i, c in enumerate(names)
-        for e in (lambda lo, hi: (lo.alias(f"lo{i}"), hi.alias(f"hi{i}")))(*fence_counts(c, q[c][0.25], q[c][0.75], k))
-    ])
-    return tidy(wide, [
-        [("column", F.lit(c)), ("n_outliers", F.col(f"lo{i}") + F.col(f"hi{i}")), ("n_below", F.col(f"lo{i}")),
-         ("n_above", F.col(f"hi{i}"))] for i, c in enumerate(names)
-    ])
+    below, above = fence_counts([q[c][0.25] for c in names], [q[c][0.75] for c in names], k)
+    counted = long_numbers(df, names).groupBy("slot").agg(below.alias("lo"), above.alias("hi"))
+    zero = F.lit(0)
+    return named(df, names, counted).select(
+        "column", F.coalesce(F.col("lo") + F.col("hi"), zero).alias("n_outliers"), F.coalesce("lo", zero).alias("n_below"),
+        F.coalesce("hi", zero).alias("n_above"))
 
 
 def percent(part, whole):
@@ -154,15 +167,12 @@ def zero_negative_profile(df: DataFrame, columns=None) -> DataFrame:
     """(column, n_zero, zero_pct, n_negative, negative_pct); percentages over all rows."""
     names = columns or numeric_columns(df)
     require_numeric(df, names)
-    wide = df.agg(F.count(F.lit(1)).alias("n"), *[
-        e for i, c in enumerate(names)
-        for e in (F.count_if(num(c) == 0).alias(f"z{i}"), F.count_if(num(c) < 0).alias(f"g{i}"))
-    ])
-    return tidy(wide, [
-        [("column", F.lit(c)), ("n_zero", F.col(f"z{i}")), ("zero_pct", percent(F.col(f"z{i}"), F.col("n"))),
-         ("n_negative", F.col(f"g{i}")), ("negative_pct", percent(F.col(f"g{i}"), F.col("n")))]
-        for i, c in enumerate(names)
-    ])
+    x = F.col("x")
+    counted = long_numbers(df, names).groupBy("slot").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(x == 0).alias("zero"), F.count_if(x < 0).alias("neg"))
+    return named(df, names, counted).select(
+        "column", F.coalesce("zero", F.lit(0)).alias("n_zero"), percent(F.col("zero"), F.col("rows")).alias("zero_pct"),
+        F.coalesce("neg", F.lit(0)).alias("n_negative"), percent(F.col("neg"), F.col("rows")).alias("negative_pct"))
 
 
 def mode(df: DataFrame, columns=None) -> DataFrame:
@@ -252,36 +262,42 @@ def quartile_plan(distinct: dict[str, int]) -> tuple[list[str], list[str]]:
 def numeric_facts(df: DataFrame, names, distinct) -> dict[str, dict]:
     """Moments, quartiles and outlier counts per numeric column. Two jobs, plus narrowing for large columns."""
     countable, large = quartile_plan(distinct)
-    place = {c: i for i, c in enumerate(names)}
-    wide = df.agg(*moments(names), *[percentile_column(c, QUARTILES).alias(f"q{place[c]}") for c in countable])
-    for i in place.values():
-        n, same = F.col(f"n{i}").cast("double"), F.col(f"min{i}") == F.col(f"max{i}")
-        wide = wide.withColumns({f"skew{i}": corrected_skewness(n, F.col(f"skew{i}"), same),
-                                 f"kurt{i}": corrected_kurtosis(n, F.col(f"kurt{i}"), same)})
-    first = wide.first()
-    quartiles = {c: read_percentiles(QUARTILES, first[f"q{place[c]}"]) for c in countable}
+    first = moments(df, names).withColumns(shape_columns())
+    if countable:
+        places = F.array(*[F.lit(names.index(c)) for c in countable])
+        counted = percentiles_long(df, countable, QUARTILES).select(F.get(places, F.col("slot")).alias("slot"), "q")
+        first = first.join(F.broadcast(counted), "slot", "left")
+    seen = {names[r["slot"]]: r.asDict() for r in first.collect()}
+    quartiles = {c: seen[c]["q"] for c in countable if c in seen}
     if large:
-        quartiles.update(narrowed_quantiles(df, {c: QUARTILES for c in large}))
-    counts = []
-    for c, i in place.items():
-        counts.append(zscore_count(c, first[f"mean{i}"], first[f"std{i}"]).alias(f"z{i}"))
-        for tag, k in (("iqr", 1.5), ("tukey", 3.0)):
-            low, high = fence_counts(c, quartiles[c][0.25], quartiles[c][0.75], k)
-            counts += [low.alias(f"{tag}_lo{i}"), high.alias(f"{tag}_hi{i}")]
-    second = df.agg(*counts).first()
+        found = narrowed_quantiles(df, {c: QUARTILES for c in large})
+        quartiles.update({c: [found[c][p] for p in QUARTILES] for c in large})
+
+    def listed(pick):
+        return [pick(c) for c in names]
+
+    def quartile(c, k):
+        return quartiles[c][k] if quartiles.get(c) else None
+
+    aggregates = [zscore_count(listed(lambda c: seen.get(c, {}).get("mean")), listed(lambda c: seen.get(c, {}).get("std"))).alias("z")]
+    for tag, k in (("iqr", 1.5), ("tukey", 3.0)):
+        below, above = fence_counts(listed(lambda c: quartile(c, 0)), listed(lambda c: quartile(c, 2)), k)
+        aggregates += [below.alias(f"{tag}_lo"), above.alias(f"{tag}_hi")]
+    outliers = {names[r["slot"]]: r for r in long_numbers(df, names).groupBy("slot").agg(*aggregates).collect()}
     facts = {}
-    for c, i in place.items():
-        mean, std, low, high = (first[f"{m}{i}"] for m in ("mean", "std", "min", "max"))
-        fact = {
-            "n_zero": first[f"zero{i}"], "n_negative": first[f"neg{i}"], "min": low, "max": high,
-            "range": None if low is None else high - low, "mean": mean, "median": quartiles[c][0.5],
-            "q1": quartiles[c][0.25], "q3": quartiles[c][0.75], "std": std, "rmsd": first[f"rmsd{i}"],
-            "variation": std / mean if mean and std is not None else None,
-            "kurtosis": first[f"kurt{i}"], "skewness": first[f"skew{i}"], "z_outliers": second[f"z{i}"],
-        }
-        for tag in ("iqr", "tukey"):
-            below, above = second[f"{tag}_lo{i}"], second[f"{tag}_hi{i}"]
-            fact.update({f"{tag}_outliers": below + above, f"{tag}_below": below, f"{tag}_above": above})
+    for c in names:
+        fact = {"n_zero": 0, "n_negative": 0, "z_outliers": 0, **{f"{t}_{n}": 0 for t in ("iqr", "tukey") for n in ("outliers", "below", "above")}}
+        if c in seen:
+            m, out = seen[c], outliers[c]
+            fact.update({
+                "n_zero": m["zero"], "n_negative": m["neg"], "min": m["min"], "max": m["max"],
+                "range": None if m["min"] is None else m["max"] - m["min"], "mean": m["mean"], "median": quartile(c, 1),
+                "q1": quartile(c, 0), "q3": quartile(c, 2), "std": m["std"], "rmsd": m["rmsd"],
+                "variation": m["std"] / m["mean"] if m["mean"] and m["std"] is not None else None,
+                "kurtosis": m["kurtosis"], "skewness": m["skewness"], "z_outliers": out["z"]})
+            for tag in ("iqr", "tukey"):
+                below, above = out[f"{tag}_lo"], out[f"{tag}_hi"]
+                fact.update({f"{tag}_outliers": below + above, f"{tag}_below": below, f"{tag}_above": above})
         facts[c] = fact
     return facts
 
@@ -329,9 +345,10 @@ def pearson(x, y):
 
 
 def correlation_matrix(df: DataFrame, target=None, check=True) -> DataFrame:
-    """Long (row, col, r): Pearson correlation of the numeric columns but the target, from one aggregate.
+    """Long (row, col, r): Pearson correlation of the numeric columns but the target.
 
-    Missing, infinite or constant columns are refused (one more aggregate over all columns).
+    Missing, infinite or constant columns are refused, by one aggregate over all columns. Without the check, pairs are
+    taken over the rows where both are present.
     """
     names = numeric_columns(df, leave_out=[target] if target else ())
     if not names:
@@ -348,10 +365,15 @@ def correlation_matrix(df: DataFrame, target=None, check=True) -> DataFrame:
         constant = [c for i, c in enumerate(names) if facts[f"lo{i}"] == facts[f"hi{i}"]]
         if constant:
             raise ValueError(f"constant columns: {constant}")
+    if check:
+        # No gaps: one pass over vectors of any width.
+        vectors = VectorAssembler(inputCols=[f"x{i}" for i in range(len(names))], outputCol="v").transform(
+            df.select(*[num(c).alias(f"x{i}") for i, c in enumerate(names)]))
+        matrix = Correlation.corr(vectors, "v").first()[0].toArray()
+        rows = [(a, b, float(matrix[i, j])) for i, a in enumerate(names) for j, b in enumerate(names)]
+        return df.sparkSession.createDataFrame(rows, "row string, col string, r double")
     pairs = [(i, j) for i in range(len(names)) for j in range(i + 1, len(names))]
-    if not pairs:
-        return df.sparkSession.createDataFrame([(names[0], names[0], 1.0)], "row string, col string, r double")
-    wide = df.agg(*[pearson(num(names[i]), num(names[j])).alias(f"r{i}_{j}") for i, j in pairs])
+    wide = df.agg(F.lit(1).alias("one"), *[pearson(num(names[i]), num(names[j])).alias(f"r{i}_{j}") for i, j in pairs])
 
     def r(i, j):
         return F.lit(1.0) if i == j else F.col(f"r{min(i, j)}_{max(i, j)}")
