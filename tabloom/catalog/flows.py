@@ -65,19 +65,19 @@ def parts(spark, sf_dir):
     return (data, *split(data, 0.3, ["o_orderkey"], 42))
 
 
-@query("l01_fit_pipeline", chain_sql("train"))
+@query("l01_fit_steps", chain_sql("train"))
 def l01(spark, sf_dir):
     data, train, _ = parts(spark, sf_dir)
     return numbered(fit_pipeline(train, CONFIG, data)[0])
 
 
-@query("l02_apply_pipeline", chain_sql("test"))
+@query("l02_apply_steps", chain_sql("test"))
 def l02(spark, sf_dir):
     data, train, test = parts(spark, sf_dir)
     return numbered(apply_pipeline(test, CONFIG, fit_pipeline(train, CONFIG, data)[1]))
 
 
-@query("l02_apply_pipeline_stream", chain_sql("test"))
+@query("l02_apply_steps_stream", chain_sql("test"))
 def l02_stream(spark, sf_dir):
     """The test part arrives as a stream of files and is prepared with the state learned from the train part."""
     data, train, test = parts(spark, sf_dir)

@@ -84,6 +84,8 @@ def row_fingerprint(columns) -> list[Column]:
         value = col(f.name)
         if isinstance(f.dataType, FRACTIONAL):
             value = value + F.lit(0.0).cast(f.dataType)
+        elif isinstance(f.dataType, (T.MapType, T.VariantType)):
+            value = F.to_json(F.struct(value))
         parts += [F.isnull(col(f.name)), value]
     return [F.xxhash64(F.lit(1), *parts), F.xxhash64(F.lit(2), *parts)]
 

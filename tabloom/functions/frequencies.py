@@ -39,8 +39,8 @@ def value_counts(df: DataFrame, columns) -> DataFrame:
     long = values.unpivot([], [f"c{i}" for i in range(len(columns))], "slot", "v")
     counted = (long.groupBy("slot", F.col("v.v_long").alias("v_long"), F.col("v.v_num").alias("v_num"),
                             F.col("v.v_str").alias("v_str")).agg(F.count(F.lit(1)).alias("n")))
-    names = F.create_map(*[F.lit(x) for i, c in enumerate(columns) for x in (f"c{i}", c)])
-    return counted.select(names[F.col("slot")].alias("column"), "v_long", "v_num", "v_str", "n")
+    name = F.get(F.array(*[F.lit(c) for c in columns]), F.substring("slot", 2, 10).cast("int"))
+    return counted.select(name.alias("column"), "v_long", "v_num", "v_str", "n")
 
 
 def is_missing():

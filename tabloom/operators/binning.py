@@ -241,7 +241,8 @@ def bin_count_report(df: DataFrame, column) -> DataFrame:
     bins = df.filter(col(column).isNotNull()).groupBy(col(column).alias("bin")).agg(F.count(F.lit(1)).alias("n"))
     bounds = bins.agg(half_even(F.sum("n") * F.lit(LOWER_SHARE), 0).cast("bigint").alias("lower_rows"),
                       half_even(F.sum("n") * F.lit(UPPER_SHARE), 0).cast("bigint").alias("upper_rows"))
-    return (bins.join(F.broadcast(bounds), (F.col("n") < F.col("lower_rows")) | (F.col("n") > F.col("upper_rows"))))
+    both = bins.withColumn("all", F.lit(1)).join(F.broadcast(bounds.withColumn("all", F.lit(1))), "all").drop("all")
+    return both.filter((F.col("n") < F.col("lower_rows")) | (F.col("n") > F.col("upper_rows")))
 
 
 def rare_category_report(df: DataFrame, column, threshold=20) -> DataFrame:

@@ -340,9 +340,10 @@ def information_value(df: DataFrame, columns, target, bins: dict[str, dict] | No
     pairs = [(category_key(df, c, bins), target) for c in columns]
     stats = category_stats(df, pairs)
     totals = stats.groupBy("i").agg(F.sum("pos").alias("all_pos"), F.sum("neg").alias("all_neg"))
-    both = stats.filter(F.col("key").isNotNull()).join(F.broadcast(totals), "i")
+    # Missing keys count for the totals only. They are left out inside the sum, so that both uses share one shuffle.
     p, n = (F.col("pos") + 1) / F.col("all_pos"), (F.col("neg") + 1) / F.col("all_neg")
-    iv = both.groupBy("i").agg(half_even(F.sum((p - n) * F.log(p / n)), 3).alias("iv"))
+    part = F.when(F.col("key").isNotNull(), (p - n) * F.log(p / n))
+    iv = stats.join(F.broadcast(totals), "i").groupBy("i").agg(half_even(F.sum(part), 3).alias("iv"))
     names = F.array(*[F.lit(c) for c in columns])
     band = (F.when(F.col("iv") < IV_NONE, "not informative").when(F.col("iv") <= IV_WEAK, "poorly informative")
             .when(F.col("iv") > IV_SUSPICIOUS, "suspiciously informative").otherwise("informative"))

@@ -48,13 +48,14 @@ def score_counts(df, label, score, by, rows=None):
 def cumulated(df: DataFrame, label, score, by, rows=None) -> DataFrame:
     """Per distinct score the positives and negatives at or above it, and the group's totals.
 
-    Rows are first combined per distinct score, so ties cost one row; the order is then walked in ranges, each on its
-    own task. The range edges come from one bounded sketch of the scores.
+    Rows are first combined per distinct score, so ties cost one row, and these counts are written down: the data is read
+    once. The order is then walked in ranges of about equally many scores, each on its own task; the range edges come
+    from one bounded sketch.
     """
     by = list(by)
-    counts = score_counts(df, label, score, by, rows)
+    counts = materialize(score_counts(df, label, score, by, rows), "scores")
     tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    edges = range_edges(df.select(col(score).cast("double").alias("s")), "s", max(2, min(tasks, 5000)))
+    edges = range_edges(counts, "threshold", max(2, min(tasks, 5000)))
     running = running_sums(counts, by, "threshold", {"tp": "pos", "fp": "neg"}, edges)
     totals = counts.groupBy(*by).agg(F.sum("pos").alias("all_pos"), F.sum("neg").alias("all_neg"))
     if by:

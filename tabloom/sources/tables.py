@@ -8,7 +8,7 @@ from tabloom.functions.expressions import col, nan_to_null
 
 # The text tokens the usual CSV readers take for a missing value.
 NA_TOKENS = [
-    "", " ", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>",
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>",
     "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 ]
 
