@@ -62,16 +62,16 @@ def learnable_sql():
         {share('o_orderkey', 42)} < 0.3 AS is_test FROM orders)"""
 
 
-def naive_bayes_sql():
+def naive_bayes_sql(rows="is_test", columns="o_orderkey, y, probability, prediction"):
     """Log-odds from class means and variances, written out."""
     stats = ", ".join(f"avg({f}) AS m_{f}, var_pop({f}) + max(extra) AS v_{f}" for f in FEATURES)
     parts = " + ".join(f"(ln(b.v_{f}) - ln(a.v_{f})) / 2 + pow({f} - b.m_{f}, 2) / (2 * b.v_{f}) - pow({f} - a.m_{f}, 2) / (2 * a.v_{f})" for f in FEATURES)
     return f"""WITH d AS (SELECT * FROM {learnable_sql()}), t AS (SELECT * FROM d WHERE NOT is_test),
         e AS (SELECT 1e-9 * greatest({', '.join(f'var_pop({f})' for f in FEATURES)}) AS extra FROM t),
         c AS (SELECT y, count(*) AS n, {stats} FROM t, e GROUP BY y)
-        SELECT o_orderkey, d.y AS y, round(1 / (1 + exp(-(ln(a.n / b.n::DOUBLE) + {parts}))), 5) AS probability,
-            CASE WHEN ln(a.n / b.n::DOUBLE) + {parts} > 0 THEN 1 ELSE 0 END AS prediction
-        FROM d, (SELECT * FROM c WHERE y = 1) a, (SELECT * FROM c WHERE y = 0) b WHERE is_test"""
+        SELECT {columns} FROM (SELECT o_orderkey, d.y AS y, round(1 / (1 + exp(-(ln(a.n / b.n::DOUBLE) + {parts}))), 5) AS probability,
+            CASE WHEN ln(a.n / b.n::DOUBLE) + {parts} > 0 THEN 1 ELSE 0 END AS prediction, CASE WHEN is_test THEN 'test' ELSE 'train' END AS part
+        FROM d, (SELECT * FROM c WHERE y = 1) a, (SELECT * FROM c WHERE y = 0) b WHERE {rows})"""
 
 
 @query("m02_gaussian_nb", naive_bayes_sql())
@@ -190,12 +190,13 @@ register_stack("m19_stack_fit_gbt", "gradient_boosting", maxIter=20)
 register_stack("m19_stack_fit_neural", "neural_network", maxIter=50)
 
 
-@query("m20_predict")
+@query("m20_predict", naive_bayes_sql("true", "o_orderkey, part, y, prediction, probability"))
 def m20(spark, sf_dir):
+    """Labels and probabilities for train and test, by a model whose scores SQL can state."""
     train, test = learning_parts(spark, sf_dir)
-    model = make_model("LogisticRegression", train.count()).fit(train)
+    model = GaussianNB().fit(train)
     both = predict(model, train).withColumn("part", F.lit("train")).unionByName(predict(model, test).withColumn("part", F.lit("test")))
-    return both.select("o_orderkey", "part", "y", "prediction", "probability")
+    return both.select("o_orderkey", "part", "y", "prediction", F.round("probability", 5).alias("probability"))
 
 
 @query("m21_feature_importance")
@@ -230,11 +231,12 @@ def m23(spark, sf_dir):
     return single["metrics"].unionByName(stacked["metrics"])
 
 
-@query("s05_save_load_models")
+@query("s05_save_load_models", naive_bayes_sql(columns="o_orderkey, probability AS before, probability AS after"))
 def s05(spark, sf_dir):
     """Predictions of a model read back from disk beside those of the model that was written."""
     train, test = learning_parts(spark, sf_dir)
     model = make_model("GaussianNB", 0).fit(train)
     back = load_model(save_model(model, scratch_path(spark, "model")))
-    before = predict(model, test).select("o_orderkey", F.col("probability").alias("before"))
-    return back.transform(test).select("o_orderkey", vector_to_array(F.col("probability"))[1].alias("after")).join(before, "o_orderkey")
+    before = predict(model, test).select("o_orderkey", F.round("probability", 5).alias("before"))
+    after = back.transform(test).select("o_orderkey", F.round(vector_to_array(F.col("probability"))[1], 5).alias("after"))
+    return after.join(before, "o_orderkey")

@@ -54,10 +54,10 @@ def logistic(rows, seed, C=1.0, **params):
     return LogisticRegression(elasticNetParam=ratio, regParam=strength, standardization=False, family="binomial", **params)
 
 
-def bagged(rows, seed, maxFeatures=1.0, maxSamples=1.0, numTrees=10, **params):
-    """Bootstrap of full-depth trees; the feature share is drawn per split."""
+def bagged(rows, seed, maxFeatures=1.0, maxSamples=1.0, numTrees=10, maxDepth=10, **params):
+    """Bootstrap of deep trees; the feature share is drawn per split."""
     share = "all" if maxFeatures == 1 else str(float(maxFeatures))
-    return RandomForestClassifier(numTrees=numTrees, featureSubsetStrategy=share, subsamplingRate=float(maxSamples), bootstrap=True, maxDepth=10, seed=seed, **params)
+    return RandomForestClassifier(numTrees=numTrees, featureSubsetStrategy=share, subsamplingRate=float(maxSamples), bootstrap=True, maxDepth=maxDepth, seed=seed, **params)
 
 
 def mlp(rows, seed, n_features=None, hidden=(100,), **params):

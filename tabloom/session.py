@@ -29,12 +29,15 @@ def local_session(cores="8", app="tabloom", driver_memory="8g", shuffle_partitio
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors see, as named by ``spark.checkpoint.dir``.
 
-    Only where that setting is absent (tests, single machine) a folder is made and set for this session.
+    Only where that setting is absent on a single machine (tests) a folder is made and set for this session; a cluster
+    must name one, as a folder on one machine would not be seen by the others.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
         named = spark.sparkContext.getCheckpointDir()
     if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors see")
         named = tempfile.mkdtemp(prefix="tabloom-")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(named)
