@@ -8,12 +8,11 @@ from tabloom.functions.expressions import FRACTIONAL, INTEGRAL, col, num
 
 
 def typed_value(df: DataFrame, name: str):
-    """A value as (v_long, v_num, v_str); integers stay exact, numbers order as numbers."""
+    """A value as (v_long, v_num, v_str); whole numbers only fill the first, to keep the grouping key narrow."""
     kind = df.schema[name].dataType
     whole, real, text = F.lit(None).cast("bigint"), F.lit(None).cast("double"), F.lit(None).cast("string")
     if isinstance(kind, INTEGRAL):
         whole = col(name).cast("bigint")
-        real = whole.cast("double")
     elif isinstance(kind, FRACTIONAL):
         real = num(name)
     elif isinstance(kind, T.DecimalType):
@@ -35,12 +34,13 @@ def value_counts(df: DataFrame, columns) -> DataFrame:
     row per task.
     """
     columns = list(columns)
-    values = df.select(*[typed_value(df, c).alias(f"c{i}") for i, c in enumerate(columns)])
-    long = values.unpivot([], [f"c{i}" for i in range(len(columns))], "slot", "v")
+    values = F.array(*[typed_value(df, c) for c in columns])
+    long = df.select(F.posexplode(values).alias("slot", "v"))
     counted = (long.groupBy("slot", F.col("v.v_long").alias("v_long"), F.col("v.v_num").alias("v_num"),
                             F.col("v.v_str").alias("v_str")).agg(F.count(F.lit(1)).alias("n")))
-    name = F.get(F.array(*[F.lit(c) for c in columns]), F.substring("slot", 2, 10).cast("int"))
-    return counted.select(name.alias("column"), "v_long", "v_num", "v_str", "n")
+    name = F.get(F.array(*[F.lit(c) for c in columns]), F.col("slot"))
+    number = F.coalesce(F.col("v_num"), F.col("v_long").cast("double"))
+    return counted.select(name.alias("column"), "v_long", number.alias("v_num"), "v_str", "n")
 
 
 def is_missing():
