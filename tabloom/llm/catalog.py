@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tabloom.llm import mixing
+from tabloom.llm import decontaminate, mixing, secrets
 
 QUERIES, ORACLES = {}, {}
 
@@ -20,6 +20,26 @@ def table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query("op3_decontaminate", decontaminate.SQL)
+def op3_decontaminate(spark, sf_dir):
+    marked = decontaminate.mark_contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), keep=["doc_id"])
+    return marked.select("doc_id", *[f"overlap.{c}" for c in ("n_words", "n_hit", "n_items", "items_sha256", "contaminated")])
+
+
+@query("op8_secret_ownership")
+def op8_secret_ownership(spark, sf_dir):
+    found = secrets.scan_secrets(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    finds = F.col("secrets")
+    base = F.filter(finds, lambda f: f["kind"] < 3)
+
+    def count(field, value):
+        return F.size(F.filter(finds, lambda f: f[field] == value)).cast("long")
+
+    of_kind = [count("kind", k).alias(f"n_{name}") for k, name in enumerate(secrets.KINDS[:3])]
+    of_verdict = [count("verdict", v).alias(f"n_{v}") for v in ("live", "example")]
+    return found.select("doc_id", *of_kind, F.sha2(secrets.listed(base), 256).alias("base_sha256"), secrets.listed(finds).alias("spans"), *of_verdict)
+
+
 @query("op10_mix_sources", mixing.SQL.format(documents="documents"))
 def op10_mix_sources(spark, sf_dir):
     mixed = mixing.mix_sources(table(spark, sf_dir, "documents"))
