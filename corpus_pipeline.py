@@ -1,8 +1,62 @@
-"""From documents to a training corpus, in the order of STAGES; each stage is written and read again by the next."""
+"""From documents to a training corpus, in the order of STAGES; each stage is written and read again by the next.
 
-STAGES = []
+Every stage works on the rows its predecessor kept and returns the columns of ``documents``, but the last, which returns the
+mixture: a row for each document with the number of times it is taken. Rows are known by doc_id; a null doc_id is not kept by near-dedup.
+"""
+
+from pyspark.sql import functions as F
+
+from tabloom.llm import decontaminate, language, mixing, near_dedup, secrets
+from tabloom.llm.catalog import remainder
+from tabloom.session import materialize
+
+
+def language_stage(spark, docs, sf_dir):
+    """Rejects texts without a language: null, empty, or without any letter."""
+    field = language.fit_languages(docs.filter(remainder("doc_id", 3) != 1))
+    found = language.label_languages(docs, field, into="__language")
+    return found.filter(F.col("__language.lang") != "und").drop("__language")
+
+
+def near_dedup_stage(spark, docs, sf_dir):
+    """Keeps one document of each group of near-duplicates of five-word shingles at a similarity of 0.8."""
+    kept = near_dedup.near_duplicates(docs, width=5, percent=80).filter("kept").select("doc_id")
+    return docs.join(kept, "doc_id", "left_semi")
+
+
+def decontaminate_stage(spark, docs, sf_dir):
+    """Rejects documents that the contamination rule marks."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    marked = decontaminate.mark_contaminated(docs, benchmark, into="__overlap")
+    return marked.filter(~F.col("__overlap.contaminated")).drop("__overlap")
+
+
+def secrets_stage(spark, docs, sf_dir):
+    """Blanks out owner-specific secrets; widely copied examples stay."""
+    found = secrets.scan_secrets(docs.select("doc_id", "text", "source"), into="__secrets")
+    found = found.filter(F.exists("__secrets", lambda f: f["verdict"] != "example")).select("doc_id", "__secrets")
+    text = F.when(F.col("__secrets").isNull(), F.col("text")).otherwise(secrets.redact(F.col("text"), F.col("__secrets")))
+    redacted = docs.join(found, "doc_id", "left").withColumn("text", text)
+    return redacted.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+
+
+def mix_stage(spark, docs, sf_dir):
+    """Takes each source's documents up to its target weight."""
+    return mixing.mix_sources(docs).filter("taken > 0").select("doc_id", "source", "size", "target", "taken", "copies")
+
+
+STAGES = [
+    ("language", language_stage),
+    ("near_dedup", near_dedup_stage),
+    ("decontaminate", decontaminate_stage),
+    ("secrets", secrets_stage),
+    ("mix", mix_stage),
+]
 ORACLE_SQL = None
 
 
 def run(spark, sf_dir):
-    raise NotImplementedError
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES:
+        docs = materialize(stage(spark, docs, sf_dir), name)
+    return docs

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tabloom.llm import decontaminate, mixing, secrets
+from tabloom.llm import decontaminate, language, mixing, near_dedup, secrets
 
 QUERIES, ORACLES = {}, {}
 
@@ -20,12 +20,31 @@ def table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def remainder(key, n):
+    """crc32 of the key as text, modulo n: the folds of the learned operators."""
+    return F.crc32(F.col(key).cast("string").cast("binary")) % n
+
+
+@query("op1_language_crf")
+def op1_language_crf(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    field = language.fit_languages(docs.filter(remainder("doc_id", 3) != 1))
+    found = language.label_languages(docs, field, keep=["doc_id"])
+    held_out = F.coalesce(remainder("doc_id", 3) == 1, F.lit(False)).alias("held_out")
+    return found.select("doc_id", held_out, F.col("language.lang").alias("lang_pred"), F.col("language.score").alias("score"))
+
+
 @query("op3_decontaminate", decontaminate.SQL)
 def op3_decontaminate(spark, sf_dir):
     marked = decontaminate.mark_contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), keep=["doc_id"])
     return marked.select("doc_id", *[f"overlap.{c}" for c in ("n_words", "n_hit", "n_items", "items_sha256", "contaminated")])
 
 
+@query("op6_near_duplicates", near_dedup.SQL)
+def op6_near_duplicates(spark, sf_dir):
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query("op8_secret_ownership")
 def op8_secret_ownership(spark, sf_dir):
     found = secrets.scan_secrets(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
