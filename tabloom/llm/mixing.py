@@ -61,7 +61,7 @@ def source_targets(sized: DataFrame, weights, share, most) -> DataFrame:
         "left_weight": F.sum("weight").over(every) - F.coalesce(F.sum("weight").over(filling), F.lit(0.0))})
     ranked = ranked.withColumn("level", F.col("left_words") / F.col("left_weight"))
     full = F.col("source_size") * most / F.col("weight") <= F.col("level")
-    ranked = ranked.withColumn("level", F.min(F.when(~full, F.col("level"))).over(every))
+    ranked = ranked.withColumn("level", F.max(F.when(~full, F.col("level"))).over(every))
     target = F.least(F.col("source_size") * F.lit(float(most)), F.coalesce(F.col("level") * F.col("weight"), F.lit(float("inf"))))
     return ranked.select("source", "rank", "weight", "source_size", target.alias("target"))
 
@@ -115,7 +115,7 @@ filled AS (
   FROM weighed),
 targets AS (
   SELECT source, rank, weight, source_size,
-         least(2.0::DOUBLE * source_size, coalesce((SELECT min(level) FROM filled WHERE 2 * source_size / weight > level) * weight, 'inf'::DOUBLE)) AS target
+         least(2.0::DOUBLE * source_size, coalesce((SELECT max(level) FROM filled WHERE 2 * source_size / weight > level) * weight, 'inf'::DOUBLE)) AS target
   FROM filled),
 queued AS (
   SELECT s.*, t.rank, t.weight, t.source_size, t.target,
