@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tabloom.llm import decontaminate, language, mixing, near_dedup, secrets
+from tabloom.llm import decontaminate, language, mixing, near_dedup, secrets, tokens, topk
 
 QUERIES, ORACLES = {}, {}
 
@@ -34,6 +34,11 @@ def op1_language_crf(spark, sf_dir):
     return found.select("doc_id", held_out, F.col("language.lang").alias("lang_pred"), F.col("language.score").alias("score"))
 
 
+@query("op2_top_k", topk.SQL)
+def op2_top_k(spark, sf_dir):
+    return topk.top_inner_products(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 @query("op3_decontaminate", decontaminate.SQL)
 def op3_decontaminate(spark, sf_dir):
     marked = decontaminate.mark_contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), keep=["doc_id"])
@@ -45,6 +50,12 @@ def op6_near_duplicates(spark, sf_dir):
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query("op7_token_counts")
+def op7_token_counts(spark, sf_dir):
+    counted = tokens.count_tokens(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return counted.select("doc_id", "tokens.n_words", "tokens.n_tokens", "tokens.n_unknown")
+
+
 @query("op8_secret_ownership")
 def op8_secret_ownership(spark, sf_dir):
     found = secrets.scan_secrets(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
