@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tabloom.llm import decontaminate, language, mixing, near_dedup, secrets, tokens, topk
+from tabloom.llm import decontaminate, language, mixing, near_dedup, quality, secrets, tokens, topk, toxicity
 
 QUERIES, ORACLES = {}, {}
 
@@ -45,6 +45,25 @@ def op3_decontaminate(spark, sf_dir):
     return marked.select("doc_id", *[f"overlap.{c}" for c in ("n_words", "n_hit", "n_items", "items_sha256", "contaminated")])
 
 
+@query("op4_quality_neighbours")
+def op4_quality_neighbours(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    voter = quality.fit_neighbours(docs.filter(remainder("doc_id", 5) != 0), table(spark, sf_dir, "labels"))
+    return judged(quality.score_quality(docs, voter, keep=["doc_id"]), "quality")
+
+
+@query("op5_toxicity_models")
+def op5_toxicity_models(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    models = toxicity.fit_models(docs.filter(remainder("doc_id", 5) != 0), table(spark, sf_dir, "labels"), remainder("doc_id", 5) == 1)
+    return judged(toxicity.score_toxicity(docs, models, keep=["doc_id"]), "toxicity")
+
+
+def judged(scored, into):
+    held_out = F.coalesce(remainder("doc_id", 5) == 0, F.lit(False)).alias("held_out")
+    return scored.select("doc_id", held_out, F.col(f"{into}.score").alias("score"), F.col(f"{into}.predicted").alias("predicted"))
+
+
 @query("op6_near_duplicates", near_dedup.SQL)
 def op6_near_duplicates(spark, sf_dir):
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
