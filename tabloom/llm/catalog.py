@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tabloom.llm import decontaminate, language, mixing, near_dedup, quality, secrets, tokens, topk, toxicity
+from tabloom.llm import decontaminate, language, mixing, near_dedup, quality, repeats, secrets, tokens, topk, toxicity
 
 QUERIES, ORACLES = {}, {}
 
@@ -89,6 +89,12 @@ def op8_secret_ownership(spark, sf_dir):
     return found.select("doc_id", *of_kind, F.sha2(secrets.listed(base), 256).alias("base_sha256"), secrets.listed(finds).alias("spans"), *of_verdict)
 
 
+@query("op9_remove_repeats")
+def op9_remove_repeats(spark, sf_dir):
+    found = repeats.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", F.size("removed").cast("long").alias("n_spans"), "kept_sha256")
+
+
 @query("op10_mix_sources", mixing.SQL.format(documents="documents"))
 def op10_mix_sources(spark, sf_dir):
     mixed = mixing.mix_sources(table(spark, sf_dir, "documents"))
