@@ -104,6 +104,8 @@ def fit(languages: list, texts: list, labels: list, rounds=4, batch=64, rate=0.3
     """The field by Adagrad on the log-likelihood of the labels of joined half texts."""
     field, k = Field(languages), len(languages)
     words = Words(pa.array(texts, pa.large_string()), LETTERS)
+    if not len(words.start):
+        return field
     label = np.array([languages.index(v) for v in labels], np.int64)
     field.learn_lexicon(words.hashes(), np.repeat(label, words.counts))
     word, slot, entry = field.features(words)
