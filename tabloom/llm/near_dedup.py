@@ -22,13 +22,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabloom.llm.annotate import annotate
-from tabloom.llm.rows import ROW, column
+from tabloom.llm.rows import ROW, column, numbered
 from tabloom.llm.text import BASE, SPACED, Words, mix, pieces, spread
 from tabloom.session import materialize
 
 HASHES, BITS, CHUNKS, MISSED = 32, 15, 5, 2e-5
 SALTS = 8
-FIELDS = "n long, digest binary, signature array<short>, items array<long>, keys array<long>"
+SKETCH = "n long, digest binary, signature array<short>"
 FACTORS = mix(np.arange(1, HASHES + 1, dtype=np.uint64)) | np.uint64(1)
 
 
@@ -68,61 +68,67 @@ def nested(values: np.ndarray, sizes: np.ndarray, kind) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, kind))
 
 
-def sketch(texts: pa.Array, width: int, picks: list):
-    parts = [[], [], [], [], []]
+def sketch(texts: pa.Array, width: int):
+    """Size, digest and signature of each text's set."""
+    parts = [[], [], []]
     for piece in pieces(pa.RecordBatch.from_arrays([texts], ["text"])):
         row, items = shingle_sets(Words(piece.column(0), SPACED), width)
         sizes = np.bincount(row, minlength=piece.num_rows)
         full = np.flatnonzero(sizes)
         first = (np.cumsum(sizes) - sizes)[full]
         minima = np.zeros((len(full), HASHES), np.uint64)
-        for k in range(HASHES if len(full) else 0):
-            minima[:, k] = np.minimum.reduceat(items * FACTORS[k], first)
-        signature = (mix(minima) & np.uint64((1 << BITS) - 1)).astype(np.int16)
-        keys = np.zeros((len(full), len(picks)), np.uint64)
-        for number, places in enumerate(picks if len(full) else []):
-            key = np.full(len(full), number + 1, np.uint64)
-            for place in places:
-                key = mix(key * BASE + signature[:, place].astype(np.uint64))
-            keys[:, number] = key
         sums = np.zeros((piece.num_rows, 2), np.uint64)
         if len(full):
+            for k in range(HASHES):
+                minima[:, k] = np.minimum.reduceat(items * FACTORS[k], first)
             sums[full, 0], sums[full, 1] = np.add.reduceat(items, first), np.add.reduceat(mix(items + BASE), first)
+        signature = (mix(minima) & np.uint64((1 << BITS) - 1)).astype(np.int16)
         parts[0].append(pa.array(sizes.astype(np.int64)))
         parts[1].append(pa.array([s.tobytes() for s in sums], pa.binary()))
         parts[2].append(nested(signature.ravel(), np.where(sizes > 0, HASHES, 0), pa.int16()))
-        parts[3].append(nested(items.view(np.int64), sizes, pa.int64()))
-        parts[4].append(nested(keys.ravel().view(np.int64), np.where(sizes > 0, len(picks), 0), pa.int64()))
     return [pa.concat_arrays(p) for p in parts]
 
 
+def full_sets(texts: pa.Array, width: int):
+    out = []
+    for piece in pieces(pa.RecordBatch.from_arrays([texts], ["text"])):
+        row, items = shingle_sets(Words(piece.column(0), SPACED), width)
+        out.append(nested(items.view(np.int64), np.bincount(row, minlength=piece.num_rows), pa.int64()))
+    return [pa.concat_arrays(out)]
+
+
 def near_duplicates(docs: DataFrame, key="doc_id", text="text", width=3, percent=85) -> DataFrame:
     """One row per document: key, n_shingles, component_id (smallest key reachable by links), kept.
 
     Two documents are linked where 100 * common shingles >= ``percent`` * all shingles of both.
     """
     distance = allowed_distance(percent)
-    picks = choices(distance)
-    rows = docs.select(F.monotonically_increasing_id().alias(ROW), column(docs, key).alias("key"), column(docs, text).alias("text"))
-    sets = annotate(rows, lambda: lambda texts: sketch(texts, width, picks), FIELDS, "s", keep=[ROW, "key"]).select(ROW, "key", "s.*")
-    sets = materialize(sets, "sets")
+    texts = numbered(docs, {"key": column(docs, key), "text": column(docs, text)}, "texts")
+    sets = materialize(annotate(texts, lambda: lambda batch: sketch(batch, width), SKETCH, "s", keep=[ROW, "key"]).select(ROW, "key", "s.*"), "sketches")
     full = sets.filter("n > 0")
-    classes = materialize(full.groupBy("digest").agg(F.min(ROW).alias("id"), F.min("key").alias("least"), F.count("*").alias("members")), "classes")
-    heads = full.join(classes.select(F.col("id").alias(ROW)), ROW, "left_semi")
-    keyed = heads.select(F.col(ROW).alias("id"), F.explode("keys").alias("bucket"))
+    classes = materialize(full.groupBy("digest").agg(
+        F.min(ROW).alias("id"), F.min("key").alias("least"), F.min_by(F.struct("signature", "n"), ROW).alias("s")), "classes")
+    keys = F.array(*[F.xxhash64(F.lit(number), *[F.col("s.signature")[int(place)] for place in places]) for number, places in enumerate(choices(distance))])
+    keyed = classes.select("id", F.explode(keys).alias("bucket"))
     shared = keyed.withColumn("size", F.count("*").over(Window.partitionBy("bucket"))).filter("size > 1").drop("size")
     shared = materialize(shared, "buckets")
+    # only texts that share a bucket are compared; the ids are written first, so that Spark knows their size when it joins
+    ids = materialize(shared.select(F.col("id").alias(ROW)).distinct(), "ids")
+    members = annotate(texts.join(ids, ROW, "left_semi"), lambda: lambda batch: full_sets(batch, width), "items array<long>", "s", keep=[ROW])
+    sizes = classes.select(F.col("id").alias(ROW), "s.signature", "s.n")
+    heads = materialize(members.select(ROW, "s.items"), "sets")
+    signed = sizes.join(ids, ROW, "left_semi")
     links, parts = None, None
     for turn in range(2):
         members = with_component(shared, parts)
         lead = F.min(F.struct(F.xxhash64("id", F.lit(turn)).alias("h"), "id", "part")).over(Window.partitionBy("bucket"))
         pairs = members.withColumn("lead", lead).filter(F.col("part") != F.col("lead.part")).select(
             F.least("id", "lead.id").alias("a"), F.greatest("id", "lead.id").alias("b"))
-        links, parts = grow(links, confirmed(pairs, heads, percent, distance))
+        links, parts = grow(links, confirmed(pairs, signed, heads, percent, distance))
     left = materialize(open_buckets(with_component(shared, parts)), "open")
     others = left.select("bucket", F.col("id").alias("b"), F.col("part").alias("other"))
     pairs = left.withColumnRenamed("id", "a").join(others, "bucket").filter("a < b AND part != other").select("a", "b")
-    links, parts = grow(links, confirmed(pairs, heads, percent, distance))
+    links, parts = grow(links, confirmed(pairs, signed, heads, percent, distance))
     labelled = classes.join(parts, "id", "left").withColumn("part", F.coalesce("part", "id"))
     least = labelled.groupBy("part").agg(F.min("least").alias("component"))
     labelled = labelled.select("digest", "part").join(least, "part").select("digest", "component")
@@ -147,14 +153,15 @@ def open_buckets(members: DataFrame) -> DataFrame:
     return spread_out.filter("low != high").drop("low", "high")
 
 
-def confirmed(pairs: DataFrame, heads: DataFrame, percent: int, distance: int) -> DataFrame:
+def confirmed(pairs: DataFrame, signed: DataFrame, heads: DataFrame, percent: int, distance: int) -> DataFrame:
     """The distinct pairs whose signatures are near and whose full sets are similar enough."""
-    signed = heads.select(F.col(ROW).alias("id"), "signature", "n")
+    signed = signed.withColumnRenamed(ROW, "id")
     pairs = pairs.distinct()
     for side in ("a", "b"):
         pairs = pairs.join(signed.select(F.col("id").alias(side), F.col("signature").alias(f"signature_{side}"), F.col("n").alias(f"n_{side}")), side)
     differing = F.aggregate(F.zip_with("signature_a", "signature_b", lambda x, y: (x != y).cast("int")), F.lit(0), lambda s, x: s + x)
     near = pairs.filter((differing <= distance) & (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))).select("a", "b", "n_a", "n_b")
+    near = materialize(near, "near")
     for side in ("a", "b"):
         near = near.join(heads.select(F.col(ROW).alias(side), F.col("items").alias(f"items_{side}")), side)
     common = F.size(F.array_intersect("items_a", "items_b"))
