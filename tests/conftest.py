@@ -50,13 +50,13 @@ def actions(spark):
 
 
 @pytest.fixture(scope="session")
-def passengers(spark):
-    """A small table of the kind the example configuration is written for."""
+def visits(spark):
+    """Visits of a shop: some devices and durations are unknown, a few sums are wild."""
     rows = []
     for i in range(400):
-        sex = "male" if i % 3 else "female"
-        age = None if i % 11 == 0 else float(1 + (i * 7) % 70)
-        port = None if i % 50 == 0 else "SCQ"[i % 3 if i % 4 else 0]
-        survived = int((sex == "female" and i % 5 != 0) or (i % 13 == 0))
-        rows.append((i, survived, 1 + i % 3, sex, age, i % 4, (i // 4) % 3, 5.0 + (i * 37) % 101 + i / 1000, port))
-    return spark.createDataFrame(rows, "id int, Survived int, Pclass int, Sex string, Age double, SibSp int, Parch int, Fare double, Embarked string")
+        branch = ("north", "south", "west")[i % 3]
+        device = None if i % 37 == 0 else ("phone", "desk", "kiosk")[(i // 2) % 3]
+        minutes = None if i % 9 == 0 else (i * 11 % 53) / 2
+        spend = 900.0 + i if i % 80 == 0 else 10.0 + (i * 29) % 97
+        rows.append((i, int(i % 7 < 2 or (branch == "west" and i % 4 == 0)), minutes, (i * 5) % 13, spend, device, branch))
+    return spark.createDataFrame(rows, "id int, booked int, minutes double, pages int, spend double, device string, branch string")
