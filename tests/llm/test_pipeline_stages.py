@@ -1,0 +1,61 @@
+"""The whole chain against plain Python on a small table, and secret spans against plain regular expressions."""
+
+import random
+import re
+
+import pytest
+
+import corpus_pipeline
+from tabloom.llm import secrets
+from tabloom.session import scratch_path
+
+WORDS = [f"{a}{b}" for a in ("lor", "tis", "vel", "ork", "dub", "wex", "pim") for b in ("na", "ka", "mo", "tu", "re", "si")]
+
+
+@pytest.fixture(scope="module")
+def made(spark):
+    random.seed(8)
+    text = {i: " ".join(random.choices(WORDS, k=60)) for i in range(24)}
+    test = " ".join(random.choices(WORDS, k=16))
+    docs = [(i, t) for i, t in text.items()]
+    docs += [(100 + i, text[i]) for i in range(5)] + [(200, text[6] + " tail")]
+    docs += [(300, text[7][:150] + " " + test + " kamo"), (400, None), (401, ""), (402, "12 34 !!")]
+    docs += [(500, " ".join(random.choices(WORDS, k=30)) + " password=Zx81qPl0vK"), (501, " ".join(random.choices(WORDS, k=30)) + " end")]
+    path = scratch_path(spark, "tables")
+    rows = [(k, t, "en", f"s{k % 3}", len(t or "")) for k, t in docs]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{path}/documents.parquet")
+    spark.createDataFrame([(1, test)], "item_id long, text string").write.parquet(f"{path}/benchmark.parquet")
+    return path, {k: (t, s, n) for k, t, _, s, n in rows}
+
+
+def test_stages(spark, made):
+    path, rows = made
+    docs, seen = spark.read.parquet(f"{path}/documents.parquet"), {}
+    columns = docs.columns
+    for name, stage in corpus_pipeline.STAGES:
+        docs = corpus_pipeline.materialize(stage(spark, docs, path), name)
+        assert name == "mix" or docs.columns == columns
+        seen[name] = {r.doc_id: r for r in docs.collect()}
+    left = set(rows) - {400, 401, 402}
+    assert set(seen["language"]) == left
+    left -= {100, 101, 102, 103, 104, 200}
+    assert set(seen["near_dedup"]) == left
+    left -= {300}
+    assert set(seen["decontaminate"]) == left == set(seen["secrets"])
+    for k, r in seen["secrets"].items():
+        assert r.text == (rows[k][0] if k != 500 else rows[k][0].replace("password=Zx81qPl0vK", "[secret]")) and r.n_chars == len(r.text)
+    total = sum(len(r.text.split()) for r in seen["secrets"].values())
+    taken = sum(r.taken for r in seen["mix"].values())
+    assert set(seen["mix"]) <= left and 1.5 * total - 62 < taken <= 1.5 * total
+
+
+def test_base_secrets_by_plain_expressions(spark):
+    random.seed(9)
+    parts = ["password=", "API_key: ", "'token' = '", "AKIA", "é ", "secret", "=", " ", "\n", "\"", "0123456789abcdef", "ABCDEFGH12345678", "abc.def-_", "xyz"]
+    texts = [None, ""] + ["".join(random.choices(parts, k=random.randint(1, 25))) for _ in range(150)]
+    kinds = [("assign", re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A), 2, 6),
+             ("access", re.compile(r"AKIA[A-Z0-9]+"), 0, 20), ("hex", re.compile(r"[0-9a-f]+"), 0, 24)]
+    docs = spark.createDataFrame([(i, t, "s") for i, t in enumerate(texts)], "doc_id long, text string, source string")
+    for r in secrets.scan_secrets(docs).collect():
+        want = sorted((m.start(), n, m.end()) for n, (_, e, group, least) in enumerate(kinds) for m in e.finditer(texts[r.doc_id] or "") if len(m[group]) >= least)
+        assert [(f.start, f.kind, f.end) for f in r.secrets if f.kind < 3] == want
