@@ -117,8 +117,14 @@ def order_bucket(length: int):
         number = np.repeat(np.arange(len(firsts)), lengths)
         differs = (row != row[firsts][number]) | (where != where[firsts][number])
         repeated = np.bincount(number, differs, len(firsts))[number] > 0
-        out = repeated | split
-        return result(hashes[out].view(np.int64), row[out], where[out], where[out] + length, repeated[out])
+        order = np.lexsort((where[repeated], row[repeated]))
+        own, at = row[repeated][order], where[repeated][order]
+        fresh = np.concatenate([[True], (own[1:] != own[:-1]) | (at[1:] > at[:-1] + length)]) if len(at) else np.zeros(0, bool)
+        first = np.flatnonzero(fresh)
+        last = np.concatenate([first[1:], [len(at)]])[:len(first)] - 1      # overlapping strings as one span
+        none = np.zeros(len(first), np.int64)
+        return result(np.concatenate([none, hashes[split].view(np.int64)]), np.concatenate([own[first], row[split]]), np.concatenate([at[first], where[split]]),
+                      np.concatenate([at[last], where[split]]) + length, np.concatenate([none == 0, np.zeros(int(split.sum()), bool)]))
     return run
 
 
@@ -198,7 +204,7 @@ def remove_repeats(docs: DataFrame, key="doc_id", text="text", length=200, bucke
     strings = cuts.groupBy(buckets.alias("b")).applyInArrow(order_bucket(length), "hash long, row long, start int, end int, repeated boolean")
     strings = materialize(strings, "strings")
     place = F.struct("row", "start")
-    across = strings.groupBy("hash").agg(F.min(place).alias("low"), F.max(place).alias("high")).filter("low != high").select("hash")
+    across = strings.filter("NOT repeated").groupBy("hash").agg(F.min(place).alias("low"), F.max(place).alias("high")).filter("low != high").select("hash")
     more = strings.filter("NOT repeated").join(across, "hash", "left_semi")
     spans = whole.union(strings.filter("repeated").select("row", "start", "end")).union(more.select("row", "start", "end")).distinct()
     spans = spans.groupBy("row").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
