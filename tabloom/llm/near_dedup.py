@@ -4,9 +4,10 @@ A text is its set of ``width``-word shingles. Texts with equal sets are one clas
 minima cut to ``BITS`` bits; the distance allowed is such that two sets just similar enough differ in more places with a
 chance below ``MISSED`` (14 of 32 places at 85 percent). Signatures are split into ``CHUNKS`` chunks: by the pigeonhole
 principle, two signatures within the distance have a chunk with at most distance // ``CHUNKS`` differing places, so the
-chunk with every choice of so many places left out is a key, and all pairs within the distance share one. Buckets are not expanded: members are compared with one representative,
-then with another, and only members still in different components are compared with each other. Links are confirmed on the
-full sets, and components come from alternating large and small stars on written tables.
+chunk with every choice of so many places left out is a key, and all pairs within the distance share one. Buckets are not
+expanded: in each of ``TURNS`` turns a text is compared with one representative of its buckets that is not in its component
+yet, so a turn makes at most one pair a text; after them, all pairs of members still in different components are compared.
+Links are confirmed on the full sets, and components come from alternating large and small stars on written tables.
 
 Defined results: null, empty and blank texts have an empty set and are components of their own; shorter texts are one
 shingle; a null key is left out of the smallest key of its component, and is not kept; repeated rows are members of one
@@ -28,6 +29,7 @@ from tabloom.session import materialize
 
 HASHES, BITS, CHUNKS, MISSED = 32, 15, 5, 2e-5
 SALTS = 8
+TURNS = 3
 SKETCH = "n long, digest binary, signature array<short>"
 FACTORS = mix(np.arange(1, HASHES + 1, dtype=np.uint64)) | np.uint64(1)
 
@@ -119,11 +121,11 @@ def near_duplicates(docs: DataFrame, key="doc_id", text="text", width=3, percent
     heads = materialize(members.select(ROW, "s.items"), "sets")
     signed = sizes.join(ids, ROW, "left_semi")
     links, parts = None, None
-    for turn in range(2):
-        members = with_component(shared, parts)
+    for turn in range(TURNS):
+        members = open_buckets(with_component(shared, parts))
         lead = F.min(F.struct(F.xxhash64("id", F.lit(turn)).alias("h"), "id", "part")).over(Window.partitionBy("bucket"))
-        pairs = members.withColumn("lead", lead).filter(F.col("part") != F.col("lead.part")).select(
-            F.least("id", "lead.id").alias("a"), F.greatest("id", "lead.id").alias("b"))
+        leads = members.withColumn("lead", lead).filter(F.col("part") != F.col("lead.part")).groupBy("id").agg(F.min("lead").alias("lead"))
+        pairs = leads.select(F.least("id", "lead.id").alias("a"), F.greatest("id", "lead.id").alias("b"))
         links, parts = grow(links, confirmed(pairs, signed, heads, percent, distance))
     left = materialize(open_buckets(with_component(shared, parts)), "open")
     others = left.select("bucket", F.col("id").alias("b"), F.col("part").alias("other"))
