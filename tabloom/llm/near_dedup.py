@@ -124,13 +124,17 @@ def near_duplicates(docs: DataFrame, key="doc_id", text="text", width=3, percent
     for turn in range(TURNS):
         members = open_buckets(with_component(shared, parts))
         lead = F.min(F.struct(F.xxhash64("id", F.lit(turn)).alias("h"), "id", "part")).over(Window.partitionBy("bucket"))
-        leads = members.withColumn("lead", lead).filter(F.col("part") != F.col("lead.part")).groupBy("id").agg(F.min("lead").alias("lead"))
+        leads = members.withColumn("lead", lead).filter(F.col("part") != F.col("lead.part")).groupBy("id", "lead").agg(F.count("*").alias("buckets"))
+        leads = leads.groupBy("id").agg(F.max_by("lead", F.struct("buckets", "lead.h")).alias("lead"))      # most buckets: likely the nearest
         pairs = leads.select(F.least("id", "lead.id").alias("a"), F.greatest("id", "lead.id").alias("b"))
-        links, parts = grow(links, confirmed(pairs, signed, heads, percent, distance))
-    left = materialize(open_buckets(with_component(shared, parts)), "open")
-    others = left.select("bucket", F.col("id").alias("b"), F.col("part").alias("other"))
-    pairs = left.withColumnRenamed("id", "a").join(others, "bucket").filter("a < b AND part != other").select("a", "b")
-    links, parts = grow(links, confirmed(pairs, signed, heads, percent, distance))
+        for side in ("a", "b"):
+            pairs = pairs.join(signed_as(signed, side), side)
+        links, parts = grow(links, confirmed(pairs.filter(close(percent, distance)), heads, percent))
+    left = open_buckets(with_component(shared, parts)).join(signed.withColumnRenamed(ROW, "id"), "id")
+    left = materialize(left, "open")
+    sides = [left.select("bucket", *[F.col(c).alias(f"{c}_{side}") for c in ("part", "signature", "n")], F.col("id").alias(side)) for side in ("a", "b")]
+    near = sides[0].join(sides[1], "bucket").filter((F.col("a") < F.col("b")) & (F.col("part_a") != F.col("part_b")) & close(percent, distance))
+    links, parts = grow(links, confirmed(near, heads, percent))
     labelled = classes.join(parts, "id", "left").withColumn("part", F.coalesce("part", "id"))
     least = labelled.groupBy("part").agg(F.min("least").alias("component"))
     labelled = labelled.select("digest", "part").join(least, "part").select("digest", "component")
@@ -155,15 +159,19 @@ def open_buckets(members: DataFrame) -> DataFrame:
     return spread_out.filter("low != high").drop("low", "high")
 
 
-def confirmed(pairs: DataFrame, signed: DataFrame, heads: DataFrame, percent: int, distance: int) -> DataFrame:
-    """The distinct pairs whose signatures are near and whose full sets are similar enough."""
-    signed = signed.withColumnRenamed(ROW, "id")
-    pairs = pairs.distinct()
-    for side in ("a", "b"):
-        pairs = pairs.join(signed.select(F.col("id").alias(side), F.col("signature").alias(f"signature_{side}"), F.col("n").alias(f"n_{side}")), side)
-    differing = F.aggregate(F.zip_with("signature_a", "signature_b", lambda x, y: (x != y).cast("int")), F.lit(0), lambda s, x: s + x)
-    near = pairs.filter((differing <= distance) & (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))).select("a", "b", "n_a", "n_b")
-    near = materialize(near, "near")
+def signed_as(signed: DataFrame, side: str) -> DataFrame:
+    return signed.select(F.col(ROW).alias(side), F.col("signature").alias(f"signature_{side}"), F.col("n").alias(f"n_{side}"))
+
+
+def close(percent: int, distance: int):
+    """Signatures within the distance and sizes that allow the similarity; compared place by place, in generated code."""
+    differing = sum((F.col("signature_a")[k] != F.col("signature_b")[k]).cast("int") for k in range(HASHES))
+    return (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")) & (differing <= distance)
+
+
+def confirmed(near: DataFrame, heads: DataFrame, percent: int) -> DataFrame:
+    """The distinct pairs whose full sets are similar enough."""
+    near = materialize(near.select("a", "b", "n_a", "n_b").distinct(), "near")
     for side in ("a", "b"):
         near = near.join(heads.select(F.col(ROW).alias(side), F.col("items").alias(f"items_{side}")), side)
     common = F.size(F.array_intersect("items_a", "items_b"))
