@@ -223,6 +223,51 @@ def test_toxicity_models_by_definition(spark):
     assert np.allclose(got, [ratio("vile"), ratio("kind"), ratio("common"), default, default])
 
 
+def test_toxicity_pairs_by_definition(spark):
+    """Pairs, continuations and estimated discounts against plain Python; rare words and toxic pairs of ordinary words speak."""
+    random.seed(12)
+    plain, seen = WORDS[:12], []
+    for i in range(60):
+        words = random.choices(plain, k=8)
+        seen.append((i, " ".join(words + (["go", "away"] if i % 2 else ["away", "go"]) + (["rare"] if i in (1, 3) else [])), i % 2))
+    docs = spark.createDataFrame([r[:2] for r in seen], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in seen] + [(None, 1)], "doc_id long, toxic int")
+    pairs = [Counter(p for _, t, y in seen if y == k for w in [t.split()] for p in set(zip(["^", *w], w))) for k in (0, 1)]
+    follows = [Counter(w for _, w in c) for c in pairs]
+    shared = Counter(w for _, w in set(pairs[0]) | set(pairs[1]))
+    ps = {w: n / sum(shared.values()) for w, n in shared.items()}
+
+    def discount(c):
+        n = Counter(c.values())
+        return n[1] / (n[1] + 2 * n[2]) if n[1] and n[2] else 0.75
+
+    def word(w):
+        if w not in ps:
+            return np.log(discount(follows[1]) * len(follows[1]) / sum(follows[1].values())) - np.log(discount(follows[0]) * len(follows[0]) / sum(follows[0].values()))
+        p = [(max(c[w] - discount(c), 0) + discount(c) * len(c) * ps[w]) / sum(c.values()) for c in follows]
+        return np.log(p[1] / p[0])
+
+    def pair(u, w):
+        p, base = [], ps.get(w, 1.0)
+        for c in pairs:
+            own = {x: n for (v, x), n in c.items() if v == u}
+            p.append((max(own.get(w, 0) - discount(c), 0) + discount(c) * len(own) * base) / sum(own.values()) if own else base)
+        return np.log(p[1] / p[0])
+
+    texts = ["go away w1 W2", "away go w1 w2", "rare", "unseen words here", "w3 unseen w4", None, "", "go away w1 W2"] + [t for _, t, _ in seen[:9]]
+    models = toxicity.fit_models(docs, labels, F.col("doc_id") % 5 == 9, part_rows=5)
+    asked = spark.createDataFrame([(t, "c") for t in texts], "text string, c0 string").repartition(3)
+    got = toxicity.score_toxicity(asked, models, into="t").collect()
+    assert len(got) == len(texts) and asked.columns == ["text", "c0"]
+    for r in got:
+        words = (r.text or "").lower().split()
+        assert np.isclose(r.t.evidence, max(map(word, words), default=word("unseen")))
+        assert np.isclose(r.t.likelihood, sum(map(pair, ["^", *words], words)) / max(1, len(words)))
+    value = {r.text: r.t for r in got}
+    assert value["go away w1 W2"].likelihood > value["away go w1 w2"].likelihood + 0.1      # the same ordinary words
+    assert value["rare"].evidence > value["unseen words here"].evidence + 0.1              # two documents in all
+
+
 def test_decontamination_mixing_and_secrets_on_edges(spark, docs):
     bench = spark.createDataFrame([(1, "w1 w2 W3"), (1, None), (None, ""), (2, "one two")], "item_id long, text string")
     marked = {r.doc_id: r.overlap for r in decontaminate.mark_contaminated(docs, bench).collect()}
