@@ -10,12 +10,13 @@ from tabloom.llm import decontaminate, language, mixing, near_dedup, secrets
 from tabloom.llm.catalog import remainder
 from tabloom.session import materialize
 
+CERTAIN = 0.75      # least mean probability of the words' likeliest languages: texts in languages or scripts not learned stay below
 
 def language_stage(spark, docs, sf_dir):
-    """Rejects texts without a language: null, empty, or without any letter."""
+    """Rejects texts without a language: null, empty, without any letter, or of words that the field cannot tell (``CERTAIN``)."""
     field = language.fit_languages(docs.filter(remainder("doc_id", 3) != 1))
     found = language.label_languages(docs, field, into="__language")
-    return found.filter(F.col("__language.lang") != "und").drop("__language")
+    return found.filter((F.col("__language.lang") != "und") & (F.col("__language.certainty") >= CERTAIN)).drop("__language")
 
 
 def near_dedup_stage(spark, docs, sf_dir):

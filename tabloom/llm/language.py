@@ -2,11 +2,13 @@
 
 Every word has affixes, letter n-grams, its own form and its lexicon entry as features; label-to-label weights are learned
 with them. Forward-backward gives each word's distribution over languages, so a text that switches languages is labelled
-word by word; the language of a text is the one with most expected words. The field is fitted by stochastic gradient on
+word by word; the language of a text is the one with most expected words. The certainty of a text is the mean, over its words, of
+the probability of each word's likeliest language: near 1 where every word is of some language learned, in a text of two as well,
+and low where the field has not seen the like. With one language learned it is 1 for any letters. The field is fitted by stochastic gradient on
 ``per_language`` labelled texts of each language (a bounded sample, in md5 order of the key, texts of at most ``longest``
 bytes); halves of different texts are joined so that switches are seen. Every whole text is then labelled.
 
-Defined results: null texts, empty texts and texts without a letter are ``und`` with score 0; without labelled texts
+Defined results: null texts, empty texts and texts without a letter are ``und`` with score and certainty 0; without labelled texts
 every text is; rows with a null language teach nothing; ties go to the smaller language; repeated rows are judged alike;
 other columns pass through, and one named like the new struct is replaced.
 """
@@ -22,7 +24,7 @@ from tabloom.llm.text import Words, byte_class, mix, pieces, prefix_hash, range_
 
 LETTERS = byte_class([*range(0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)])
 SLOTS = 1 << 16          # hashed weights per language
-FIELDS = "lang string, score double, spans array<struct<start:int,end:int,lang:string>>"
+FIELDS = "lang string, score double, spans array<struct<start:int,end:int,lang:string>>, certainty double"
 
 
 class Field:
@@ -142,20 +144,21 @@ def fit(languages: list, texts: list, labels: list, rounds=4, batch=64, rate=0.3
 
 
 def identify(field: Field, texts: pa.Array, with_spans: bool):
-    langs, scores, spans = [], [], []
+    langs, scores, spans, certainties = [], [], [], []
     for piece in pieces(pa.RecordBatch.from_arrays([texts], ["text"])):
         words = Words(piece.column(0), LETTERS)
         posterior, _ = field.posteriors(field.emissions(*field.features(words)), words.bounds) if len(words.start) and field.languages else (None, None)
         points = np.concatenate([[0], np.cumsum((words.data & 0xC0) != 0x80)]) if with_spans else None
         for row, (a, b) in enumerate(zip(words.bounds[:-1].tolist(), words.bounds[1:].tolist())):
             if posterior is None or a == b or not lettered(words, row, piece.column(0)):
-                langs.append("und"), scores.append(0.0), spans.append([])
+                langs.append("und"), scores.append(0.0), spans.append([]), certainties.append(0.0)
                 continue
             mean = posterior[a:b].mean(0)
             langs.append(field.languages[int(mean.argmax())])
             scores.append(min(1.0, max(0.0, float(mean.max()))))
+            certainties.append(min(1.0, float(posterior[a:b].max(1).mean())))
             spans.append(language_spans(field, words, posterior, points, row, a, b) if with_spans else [])
-    return langs, scores, spans
+    return langs, scores, spans, certainties
 
 
 def lettered(words: Words, row: int, texts: pa.Array) -> bool:
@@ -184,6 +187,6 @@ def fit_languages(docs: DataFrame, text="text", lang="lang", key="doc_id", per_l
 
 
 def label_languages(docs: DataFrame, field: Field, text="text", into="language", keep=None, with_spans=False) -> DataFrame:
-    """``docs`` with a struct ``into``: lang, score (mean probability of that language over the words), spans of one language."""
+    """``docs`` with a struct ``into``: lang, score (mean probability of that language over the words), spans of one language, certainty."""
     sent = docs.sparkSession.sparkContext.broadcast(field)
     return annotate(docs, lambda: lambda texts: identify(sent.value, texts, with_spans), FIELDS, into, text, keep)

@@ -49,6 +49,20 @@ def test_stages(spark, made):
     assert set(seen["mix"]) <= left and 1.5 * total - 62 < taken <= 1.5 * total
 
 
+def test_language_stage_rejects_what_was_not_learned(spark):
+    random.seed(10)
+    made = {"aa": "lorna tisk velm orka brint".split(), "bb": "dubi ñopa çelu wexi jafu".split(), "cc": "qizzo pagga motte hyrra sunno".split()}
+    rows = [(i, " ".join(random.choices(made[v], k=12)), v) for i, v in enumerate(["aa", "bb", "cc"] * 40)]
+    both = [(200, "lorna tisk velm orka brint dubi ñopa çelu wexi jafu", "aa")]
+    other = [(300 + i, " ".join("".join(random.choices(letters, k=random.randint(2, 9))) for _ in range(40)), lang)
+             for i, (letters, lang) in enumerate([("αβγδεζηθικλμ", None), ("абвгдежзиклм", "aa"), ("".join(map(chr, range(0x4E00, 0x4F00))), None)])]
+    docs = spark.createDataFrame(rows + both + other[:1] + other[2:], "doc_id long, text string, lang string").unionByName(
+        spark.createDataFrame([(None, *other[1][1:])], "doc_id long, text string, lang string"))
+    kept = corpus_pipeline.language_stage(spark, docs, None)
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id for r in kept.collect()) == [k for k, _, _ in rows + both]
+
+
 def test_base_secrets_by_plain_expressions(spark):
     random.seed(9)
     parts = ["password=", "API_key: ", "'token' = '", "AKIA", "é ", "secret", "=", " ", "\n", "\"", "0123456789abcdef", "ABCDEFGH12345678", "abc.def-_", "xyz"]
