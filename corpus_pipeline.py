@@ -1,14 +1,15 @@
 """From documents to a training corpus, in the order of STAGES; each stage is written and read again by the next.
 
 Every stage works on the rows its predecessor kept and returns the columns of ``documents``, but the last, which returns the
-mixture: a row for each document with the number of times it is taken. Rows are known by doc_id; a null doc_id is not kept by near-dedup.
+mixture: a row for each document with the number of times it is taken. Stages that carry decisions back to rows number them first, so null and
+repeated doc_ids are rows like others.
 """
 
 from pyspark.sql import functions as F
 
 from tabloom.llm import decontaminate, language, mixing, near_dedup, secrets
 from tabloom.llm.catalog import remainder
-from tabloom.session import materialize
+from tabloom.session import materialize, with_row_id
 
 CERTAIN = 0.75      # least mean probability of the words' likeliest languages: texts in languages or scripts not learned stay below
 
@@ -20,9 +21,11 @@ def language_stage(spark, docs, sf_dir):
 
 
 def near_dedup_stage(spark, docs, sf_dir):
-    """Keeps one document of each group of near-duplicates of five-word shingles at a similarity of 0.8."""
-    kept = near_dedup.near_duplicates(docs, width=5, percent=80).filter("kept").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi")
+    """Keeps one document of each group of near-duplicates of five-word shingles at a similarity of 0.8: the least doc_id, nulls last."""
+    rows = with_row_id(docs, "__id")
+    key = F.struct(F.col("doc_id").isNull().alias("missing"), F.col("doc_id"), F.col("__id"))
+    found = near_dedup.near_duplicates(rows.select("text", key.alias("key")), key="key", width=5, percent=80)
+    return rows.join(found.filter("kept").select("key.__id"), "__id", "left_semi").select(*docs.columns)
 
 
 def decontaminate_stage(spark, docs, sf_dir):
@@ -34,10 +37,11 @@ def decontaminate_stage(spark, docs, sf_dir):
 
 def secrets_stage(spark, docs, sf_dir):
     """Blanks out owner-specific secrets; widely copied examples stay."""
-    found = secrets.scan_secrets(docs.select("doc_id", "text", "source"), into="__secrets")
-    found = found.filter(F.exists("__secrets", lambda f: f["verdict"] != "example")).select("doc_id", "__secrets")
+    rows = with_row_id(docs, "__id")
+    found = secrets.scan_secrets(rows.select("__id", "doc_id", "text", "source"), into="__secrets")
+    found = found.filter(F.exists("__secrets", lambda f: f["verdict"] != "example")).select("__id", "__secrets")
     text = F.when(F.col("__secrets").isNull(), F.col("text")).otherwise(secrets.redact(F.col("text"), F.col("__secrets")))
-    redacted = docs.join(found, "doc_id", "left").withColumn("text", text)
+    redacted = rows.join(found, "__id", "left").withColumn("text", text)
     return redacted.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 

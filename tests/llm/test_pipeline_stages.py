@@ -49,6 +49,25 @@ def test_stages(spark, made):
     assert set(seen["mix"]) <= left and 1.5 * total - 62 < taken <= 1.5 * total
 
 
+def test_stages_know_rows_with_null_and_repeated_ids(spark):
+    random.seed(11)
+    text = [" ".join(random.choices(WORDS, k=30)) for _ in range(7)]
+    keys = ["password=Zx81qPl0vK", "token: Qw7Er5Ty3Uu9", "secret=Mn4Bv6Cx8Zl2"]
+    rows = [(None, text[0]), (None, text[1]), (None, text[1]), (5, text[1]), (5, text[1]), (6, text[2]), (6, text[3]),
+            (None, text[4] + " " + keys[0]), (8, keys[1] + " " + text[5]), (8, text[6] + " " + keys[2])]
+    columns = "doc_id long, text string, lang string, source string, n_chars long"
+    docs = spark.createDataFrame([(k, t, "en", f"s{i}", len(t)) for i, (k, t) in enumerate(rows)], columns).repartition(3)
+    order = lambda found: sorted((r.doc_id or 0, r.text) for r in found)
+    kept = corpus_pipeline.near_dedup_stage(spark, docs, None)
+    assert kept.columns == docs.columns
+    want = rows[:1] + rows[3:4] + rows[5:]
+    assert order(kept.collect()) == sorted((k or 0, t) for k, t in want)
+    done = corpus_pipeline.secrets_stage(spark, docs, None).collect()
+    for key in keys:
+        rows = [(k, t.replace(key, "[secret]")) for k, t in rows]
+    assert order(done) == sorted((k or 0, t) for k, t in rows) and all(r.n_chars == len(r.text) for r in done)
+
+
 def test_language_stage_rejects_what_was_not_learned(spark):
     random.seed(10)
     made = {"aa": "lorna tisk velm orka brint".split(), "bb": "dubi ñopa çelu wexi jafu".split(), "cc": "qizzo pagga motte hyrra sunno".split()}
