@@ -54,7 +54,14 @@ def scan(texts: pa.Array) -> list:
         def add(row, kind, start, end, value):
             spans.setdefault(row, []).append((start, kind, end, value))
 
-        rows_of = lambda hits: sorted({int(np.searchsorted(offsets, m.start(), "right")) - 1 for m in hits})
+        def rows_of(hits):
+            """Rows that any hit touches: one that crosses a boundary may hide the next row's own, which the search by row finds."""
+            touched = set()
+            for m in hits:
+                first, last = np.searchsorted(offsets, (m.start(), m.end() - 1), "right") - 1
+                touched.update(range(int(first), int(last) + 1))
+            return sorted(touched)
+
         for row in rows_of(KEYWORD.finditer(raw)):
             for m in ASSIGN.finditer(raw, offsets[row], offsets[row + 1]):
                 if len(m[2]) >= ASSIGN_LEAST:
