@@ -2,6 +2,7 @@
 
 import math
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,7 +11,8 @@ from tabloom.functions.quantiles import exact_quantiles, parted
 
 # Limits of a bin's share and the least bin size.
 LOWER_SHARE, UPPER_SHARE, LEAST_SIZE = 0.02, 0.1, 20
-WIDEST_SEARCH = 100     # most quantiles tried when missing values raise the start
+FRACTIONS = 20_000      # of one percentile job of the search, but for a single candidate
+FETCHED = 20_000        # distinct values of a column whose search runs on the driver
 
 
 def bin_size_bounds(n: int) -> tuple[int, int, int]:
@@ -145,7 +147,11 @@ def best_quantiles(df: DataFrame, columns) -> dict[str, dict]:
 
     One sizing job. Then for many candidates at once: one percentile job over their edges and one job counting the rows
     between all these edges. Columns with few distinct values try all candidates together; others start with the largest
-    ones and double the number of candidates, as most succeed at once.
+    ones and double the number of candidates, as most succeed at once; ``FRACTIONS`` bounds the edges of a job.
+
+    The search starts at all rows over the wanted size, so missing values raise the start beyond the bins that the values
+    could fill. There a column's counted values come to the driver, if few are distinct, and every candidate is tried on
+    them. Otherwise candidates are left out that cannot succeed (``highest_start``).
     """
     sizes = df.agg(F.count(F.lit(1)).alias("rows"), *[
         e for i, c in enumerate(columns)
@@ -155,17 +161,24 @@ def best_quantiles(df: DataFrame, columns) -> dict[str, dict]:
     for i, c in enumerate(columns):
         n = sizes[f"n{i}"]
         wanted = bin_size_bounds(n)[0]
-        start, capped = sizes["rows"] // wanted, False
-        if start > WIDEST_SEARCH:
-            start, capped = max(n // wanted, 1), True
+        start = sizes["rows"] // wanted
         search[c] = {"wanted": wanted, "next": max(start, 1), "batch": start if sizes[f"d{i}"] <= 5000 else 8,
-                     "capped": capped, "n": n, "distinct": sizes[f"d{i}"]}
+                     "n": n, "distinct": sizes[f"d{i}"]}
     done = {c: {"bins": [], "quantiles": 1} for c, s in search.items() if not s["n"]}
+    for c, s in search.items():
+        if s["n"] and s["next"] > 2 * max(s["n"] // s["wanted"], 1):
+            counted = df.select(num(c).alias("x")).filter("x IS NOT NULL").groupBy("x").count()
+            if s["distinct"] <= FETCHED:
+                found = sorted((r["x"], r["count"]) for r in counted.collect())
+                done[c] = widest_on_counts(np.array([x for x, _ in found], float), np.array([k for _, k in found]), s["next"], s["wanted"])
+            else:
+                s["next"] = highest_start(s["next"], s["wanted"], s["n"], counted.agg(F.max("count")).first()[0])
     while len(done) < len(columns):
         batches = {}
         for c, s in search.items():
             if c not in done:
-                batches[c] = list(range(s["next"], max(0, s["next"] - max(1, s["batch"])), -1))
+                size = max(1, min(s["batch"], FRACTIONS // (s["next"] + 1)))
+                batches[c] = list(range(s["next"], max(0, s["next"] - size), -1))
                 s["next"] -= len(batches[c])
                 s["batch"] *= 2
         edges = candidate_edges(df, batches, sizes["rows"], {c: search[c]["distinct"] for c in batches})
@@ -176,12 +189,50 @@ def best_quantiles(df: DataFrame, columns) -> dict[str, dict]:
                 if least >= search[c]["wanted"] or q == 1:
                     done[c] = {"bins": qs[q], "quantiles": q}
                     break
-        for c in done:
-            if search[c]["capped"]:
-                done[c]["search_start"] = "non-null rows"
     return done
 
 
+def highest_start(start: int, wanted: int, n: int, heaviest: int) -> int:
+    """The first candidate that can succeed, where no value occurs more than ``heaviest`` times.
+
+    Edges of neighbouring quantiles are (n - 1) / q places apart, so a bin after the first holds at most one value more
+    than that, and the further occurrences of its upper edge: fewer than (n - 1) / q + 1 + heaviest.
+    """
+    spare = wanted - 1 - heaviest
+    return max(1, min(start, (n - 1) // spare)) if spare > 0 and n >= 2 * wanted else start
+
+
+def widest_on_counts(values, counts, start: int, wanted: int) -> dict:
+    """The search over a column's distinct values in order and their counts; most candidates fail on their first edges.
+
+    From four edges on between two neighbouring values that are well apart, a bin there is empty: larger candidates are left out.
+    """
+    ends = np.concatenate([[0], np.cumsum(counts)])
+    n = int(ends[-1])
+    if n < wanted or len(values) == 1:
+        start = 1
+    elif np.isfinite(values).all() and (np.diff(values) > 1e-6 * np.maximum(abs(values[1:]), abs(values[:-1]))).any():
+        start = min(start, 4 * (n - 1))
+    for q in range(start, 0, -1):
+        for last in (min(q, 256), q):
+            place = (n - 1) * (np.arange(last + 1) / q)
+            floor, ceil = np.floor(place), np.ceil(place)
+            low, high = (values[np.searchsorted(ends[1:], at, "right")] for at in (floor, ceil))
+            with np.errstate(invalid="ignore"):
+                edges = np.unique(np.where(low == high, low, (floor + 1 - place) * low + (place - floor) * high))
+            below = ends[np.searchsorted(values, edges, "right")]
+            if len(edges) > 1:
+                sizes = np.diff(below)
+                sizes[0] = below[1]
+                if sizes.min() < wanted:
+                    break
+            elif last == q:
+                break       # no bin
+        else:
+            return {"bins": edges.tolist(), "quantiles": q}
+    return {"bins": edges.tolist(), "quantiles": 1}
+
+
 def candidate_edges(df, batches, rows, distinct):
     fractions = {c: [i / q for q in qs for i in range(q + 1)] for c, qs in batches.items()}
     quantiles = exact_quantiles(df, fractions, rows, distinct=distinct)
@@ -207,7 +258,7 @@ def rows_up_to(df, edges) -> dict[str, dict[float, int]]:
 
 def smallest_bin(edges, below) -> int:
     if len(edges) < 2:
-        return below[edges[0]]
+        return 0        # no bin, as every edge is the same value
     counts = [below[edges[1]]] + [below[b] - below[a] for a, b in zip(edges[1:], edges[2:])]
     return min(counts)
 

@@ -137,6 +137,23 @@ def test_largest_quantile_number_matches_definition(spark, kind):
     assert found["quantiles"] == reference_search(values)
 
 
+@pytest.mark.parametrize("kind", ["three", "one", "atoms", "continuous", "few"])
+def test_largest_quantile_number_of_mostly_null_columns(spark, monkeypatch, kind):
+    rng = np.random.default_rng(6)
+    rows, values = {"three": (40_000, np.repeat([0.0, 1.0, 2.0], [667, 666, 667])), "one": (9_000, np.repeat(4.0, 80)),
+                    "atoms": (8_000, np.concatenate([np.repeat([0.0, 3.0], [150, 130]), rng.random(3), 5 + rng.random(2)])),
+                    "continuous": (5_000, rng.random(300).round(6)), "few": (4_000, rng.random(12))}[kind]
+    every = np.concatenate([values, np.full(rows - len(values), np.nan)])
+    df = numbers(spark, [None if np.isnan(v) else float(v) for v in every])
+    want = reference_search(every)
+    assert kind != "three" or want > 100
+    edges = pd.qcut(pd.Series(every), want, retbins=True, duplicates="drop")[1] if kind != "one" else [4.0]
+    for fetched in (B.FETCHED, 0)[:1 if kind == "three" else 2]:
+        monkeypatch.setattr(B, "FETCHED", fetched)
+        found = B.best_quantiles(df, ["x"])["x"]
+        assert found["quantiles"] == want and np.allclose(found["bins"], edges) and set(found) == {"bins", "quantiles"}
+
+
 def test_quantile_search_takes_two_actions_after_sizing(spark, actions):
     df = numbers(spark, [i % 50 for i in range(2000)])
     with actions() as seen:
