@@ -2,8 +2,9 @@
 
 Every text is scanned for assignments of secrets, access keys, long hexadecimal runs and other long mixed tokens. Hashes of
 the values are counted over the whole corpus, first per (value, owner) and (value, repository), then per value, so that a
-value in a third of all documents costs one row per task. A value that ``shared_owners`` or more owners have is a copied
-example; a value of fewer owners that looks random is live; the rest is weak. Mixed tokens are reported only where live.
+value in a third of all documents costs one row per task. A value that ``shared_owners`` or more owners have, or that stands in
+``shared_repositories`` or more repositories whoever owns them, is a copied example; a value of fewer of both that looks random is live;
+the rest is weak. Mixed tokens are reported only where live.
 
 Defined results: null and empty texts hold nothing; null owners are one owner, null repositories one repository; repeated
 rows are rows of their own but add no owner; other columns are not read. Values leave the scan only as hashes.
@@ -96,7 +97,7 @@ def looks_random(value: bytes) -> bool:
     return bits >= RANDOM_BITS
 
 
-def scan_secrets(docs: DataFrame, text="text", owner="source", repository="doc_id", shared_owners=3, into="secrets") -> DataFrame:
+def scan_secrets(docs: DataFrame, text="text", owner="source", repository="doc_id", shared_owners=3, into="secrets", shared_repositories=100) -> DataFrame:
     """One row per document with all columns but the text, and the struct array ``into``: kind, start, end, owners, repositories, verdict.
 
     Spans are code point ranges, by start and kind.
@@ -107,7 +108,8 @@ def scan_secrets(docs: DataFrame, text="text", owner="source", repository="doc_i
                          F.explode(f"`{into}`.found").alias("f")).select(ROW, "owner", "repository", "f.*")
     shared = ownership(finds)
     judged = finds.select(ROW, "kind", "start", "end", "hash", "random").join(shared, "hash")
-    verdict = (F.when(F.col("owners") >= shared_owners, "example").when(F.col("random"), "live").otherwise("weak"))
+    copied = (F.col("owners") >= shared_owners) | (F.col("repositories") >= shared_repositories)
+    verdict = (F.when(copied, "example").when(F.col("random"), "live").otherwise("weak"))
     judged = judged.withColumn("verdict", verdict).filter((F.col("kind") < 3) | (F.col("verdict") == "live"))
     one = F.struct("start", "kind", "end", "owners", "repositories", "verdict")
     lists = judged.groupBy(ROW).agg(F.sort_array(F.collect_list(one)).alias("__finds"))
