@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tabloom.llm import chat, decontaminate, language, mixing, near_dedup, quality, repeats, secrets, tokens, topk, toxicity
+from tabloom.llm import chat, decontaminate, language, mixing, near_dedup, quality, repeats, runs, secrets, tokens, topk, toxicity
 
 QUERIES, ORACLES = {}, {}
 
@@ -113,3 +113,29 @@ def op11_chat_format(spark, sf_dir):
     return done.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(told, 256).alias("turns_sha256"),
                        F.length("learned").cast("long").alias("loss_chars"), F.sha2("learned", 256).alias("loss_sha256"),
                        F.length("formatted").cast("long").alias("formatted_chars"), "valid", "complete")
+
+
+WORD = r"[^\x20\x09-\x0D]+"
+
+
+def with_planted_period(docs):
+    """The contract's texts: where crc32 of the key ends in 0, the words from some place on repeat with some period."""
+    key = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.when(key % 10 == 0, F.regexp_extract_all("text", F.lit(WORD), F.lit(0)))
+    parts = docs.withColumn("__g", F.floor(key / 10)).withColumn("__words", words).withColumn("__n", F.coalesce(F.size("__words"), F.lit(0)))
+    parts = parts.withColumn("__a", F.when(F.col("__n") > 0, F.col("__g") % F.col("__n")).cast("int"))
+    left = F.col("__n") - F.col("__a")
+    period = (1 + F.floor(left / (3 + F.col("__g") % 8))).cast("int")
+    again = F.flatten(F.array_repeat(F.slice("__words", F.col("__a") + 1, period), F.ceil(left / period).cast("int")))
+    planted = F.array_join(F.concat(F.slice("__words", F.lit(1), F.col("__a")), F.slice(again, F.lit(1), left)), " ")
+    return parts.select("doc_id", F.when(F.col("__n") > 0, planted).otherwise(F.col("text")).alias("text"))
+
+
+@query("op12_periodic_runs")
+def op12_periodic_runs(spark, sf_dir):
+    docs = with_planted_period(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = runs.find_runs(docs, keep=["doc_id"])
+    longest = F.array_min(F.transform("periodic.runs", lambda r: F.struct((-r["length"]).alias("shorter"), r["start"].alias("start"), r["period"].alias("period"))))
+    found = found.withColumn("longest", longest).withColumn("length", -F.col("longest.shorter"))
+    return found.select("doc_id", F.size("periodic.runs").cast("long").alias("n_runs"), "longest.start", "length", "longest.period",
+                        F.expr("1000 * length div longest.period").alias("exponent_milli"), "periodic.runs_sha256", "periodic.collapsed_sha256")
