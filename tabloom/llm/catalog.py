@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tabloom.llm import chat, decontaminate, language, mixing, near_dedup, quality, repeats, runs, secrets, tokens, topk, toxicity
+from tabloom.llm import chat, decontaminate, language, mixing, near_dedup, negatives, quality, repeats, runs, secrets, tokens, topk, toxicity
 
 QUERIES, ORACLES = {}, {}
 
@@ -139,3 +139,10 @@ def op12_periodic_runs(spark, sf_dir):
     found = found.withColumn("longest", longest).withColumn("length", -F.col("longest.shorter"))
     return found.select("doc_id", F.size("periodic.runs").cast("long").alias("n_runs"), "longest.start", "length", "longest.period",
                         F.expr("1000 * length div longest.period").alias("exponent_milli"), "periodic.runs_sha256", "periodic.collapsed_sha256")
+
+
+@query("op13_hard_negatives", negatives.SQL)
+def op13_hard_negatives(spark, sf_dir):
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine_negatives(rows.withColumn("label", label), F.col("key") % 100 == 0)
