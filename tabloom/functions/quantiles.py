@@ -1,28 +1,25 @@
-"""Exact, linearly interpolated quantiles that stay bounded in memory at any data size.
+"""Exact, linearly interpolated quantiles by descent over the leading bits of the values, bounded at any data size.
 
-Spark's ``percentile`` keeps one counter per distinct value. That is the fastest way while the number of distinct values
-is known to be small, and impossible for 10^9 of them. Beyond the bound, ``percentile_approx`` proposes two close cuts
-around every wanted rank; one grouped count gives the exact number of rows between all cuts together with the few values
-that lie inside the pairs. Only when these would be too many, further sketches narrow the pairs first. Every pass is an
-aggregate that combines map-side; the column itself is never shuffled.
+A double has a 64-bit key in the same order: sign, exponent, fraction, with the infinities at the ends. A round counts the
+rows per column and leading bits of the key, which combines map-side and is dealt by both, so no task holds a column. The counts,
+at most ``GROUPS`` in all, tell which groups hold the wanted ranks; the next round counts the following bits of these groups only,
+starting at their least key and as fine as the bound allows. A rank is found when its group holds a single value. Where
+the number of rows or of distinct values is known to be small, the first round takes all 64 bits and is the only one.
 """
 
-import bisect
-import itertools
 import math
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabloom.functions.expressions import double_array, num
 
-COUNTER_BOUND = 500_000     # distinct values over all columns that one percentile job may count
-LOOKUP_BOUND = 10_000_000   # distinct values times fractions of one column: each fraction walks the counters
-FETCH_BOUND = 50_000        # values between cuts that may come to the driver
-ACCURACY = 10_000           # of the first sketch: its ranks are off by at most rows / ACCURACY
-FINE_ACCURACY = 100_000     # the same when many ranks are wanted
-GRID = 200                  # points of each later sketch
+GROUPS = 1 << 20            # counted groups of a round that come to the driver, 24 bytes each
+INFINITE = 2047 << 52       # key of the infinity
 
 
 def interpolate(position: float, low_value, high_value):
@@ -32,30 +29,6 @@ def interpolate(position: float, low_value, high_value):
     return (low + 1 - position) * low_value + (position - low) * high_value
 
 
-def exact_quantiles(df: DataFrame, wanted: dict[str, list[float]], rows: int | None = None,
-                    bound: int = COUNTER_BOUND, distinct: dict[str, int] | None = None) -> dict[str, dict[float, float | None]]:
-    """``{column: {fraction: value}}``; null for a column without values.
-
-    ``rows`` is an upper bound of the row count and ``distinct`` holds estimates of the distinct values, if the caller
-    knows them; they save the sizing jobs.
-    """
-    wanted = {c: sorted(set(float(p) for p in ps)) for c, ps in wanted.items() if ps}
-    if not wanted:
-        return {}
-    countable, large = split_by_size(df, list(wanted), rows, bound, {c: len(f) for c, f in wanted.items()}, distinct)
-    found = {}
-    if countable:
-        union = sorted({p for c in countable for p in wanted[c]})
-        rows = percentiles_long(df, countable, union).collect()
-        values = {r["slot"]: r["q"] for r in rows}
-        for i, c in enumerate(countable):
-            every = dict(zip(union, values.get(i) or [None] * len(union)))
-            found[c] = {p: every[p] for p in wanted[c]}
-    if large:
-        found.update(narrowed_quantiles(df, {c: wanted[c] for c in large}))
-    return found
-
-
 def long_numbers(df: DataFrame, names) -> DataFrame:
     """(slot, x): one row per value, slot being the column's place in ``names``.
 
@@ -64,159 +37,132 @@ def long_numbers(df: DataFrame, names) -> DataFrame:
     return df.select(F.posexplode(F.array(*[num(c) for c in names])).alias("slot", "x"))
 
 
-def percentiles_long(df: DataFrame, names, fractions) -> DataFrame:
-    """(slot, q): counted percentiles; only for columns found small enough."""
-    return long_numbers(df, names).groupBy("slot").agg(F.percentile("x", double_array(fractions)).alias("q"))
+def keyed_numbers(df: DataFrame, names) -> DataFrame:
+    """(slot, key): the values that are present, as integers in the order of the doubles; 0 is 0, and -x has the key of x negated.
 
+    The exponent is guessed by a logarithm and set right by comparison; all else is exact arithmetic with powers of two.
+    """
+    binary = " * ".join(f"IF(m & {1 << k} = 0, 1D, {2.0 ** (1 << k)!r}D)" for k in range(10))
+    binary += f" * IF(m & 1024 = 0, 1D, {2.0 ** 512!r}D) * IF(m & 1024 = 0, 1D, {2.0 ** 512!r}D)"
+    small, huge = f"{2.0 ** -1022!r}D", f"{2.0 ** 537!r}D"
+    x = long_numbers(df, names).filter("x IS NOT NULL").selectExpr("slot", "x", "abs(x) AS a")
+    guessed = x.selectExpr("slot", "x", "a", f"CASE WHEN a >= {small} AND a < double('Infinity') THEN greatest(0, least(2045, int(floor(log2(a))) + 1022)) ELSE 0 END AS m")
+    power = guessed.selectExpr("slot", "x", "a", "m", f"{small} * {binary} AS p")
+    right = power.selectExpr("slot", "x", "a", "CASE WHEN a < p THEN m ELSE m + IF(a >= 2 * p, 2, 1) END AS biased", "CASE WHEN a < p THEN p / 2 ELSE p * IF(a >= 2 * p, 2, 1) END AS p")
+    key = F.expr(f"""IF(x < 0, -1L, 1L) * CASE
+        WHEN a = double('Infinity') THEN {INFINITE}L WHEN a < {small} THEN bigint(a * {huge} * {huge})
+        ELSE biased * {1 << 52}L + bigint((a / p - 1) * {float(1 << 52)!r}D) END""")
+    return right.select("slot", F.explode(F.array(key)).alias("key"))       # computed here once, however often later expressions use it
+
+
+def values_of(keys: np.ndarray) -> np.ndarray:
+    """The doubles of keys."""
+    found = np.abs(keys).view(np.float64)
+    return np.where(keys < 0, -found, found)
+
+
+def counted(groups: DataFrame, *by) -> DataFrame:
+    """(by, n, lo, hi): the rows, the least and the greatest key of each group."""
+    return groups.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("lo"), F.max("key").alias("hi"))
+
+
+class Descent:
+    """Wanted ranks of several columns on their way to single values."""
+
+    def __init__(self, keyed: DataFrame, fractions: list[list[float]], bits: int):
+        self.keyed, self.fractions, self.shift = keyed, fractions, 64 - bits
+
+    def first_round(self) -> DataFrame:
+        return counted(self.keyed.select("slot", "key", F.expr(f"shiftright(key, {self.shift})").alias("part")), "slot", "part")
+
+    def run(self, first: pa.Table) -> list[dict[float, float | None]]:
+        """Values by fraction for each column, from the first round's counts on."""
+        slot, part, n, lo, hi = (first.column(c).to_numpy() for c in ("slot", "part", "n", "lo", "hi"))
+        order = np.lexsort((part, slot))
+        slot, part, n, lo, hi = slot[order], part[order], n[order], lo[order], hi[order]
+        ends = np.searchsorted(slot, np.arange(len(self.fractions) + 1))
+        upto = np.concatenate([[0], np.cumsum(n)])
+        totals = [int(upto[b] - upto[a]) for a, b in zip(ends, ends[1:])]
+        ranks = [sorted({k for p in ps for k in (math.floor((t - 1) * p), math.ceil((t - 1) * p))}) if t else [] for ps, t in zip(self.fractions, totals)]
+        place = np.concatenate([upto[ends[i]] + np.array(r, np.int64) for i, r in enumerate(ranks)]) if any(ranks) else np.zeros(0, np.int64)
+        group = np.searchsorted(upto[1:], place, "right")
+        keys = self.descend(place - upto[group], group, (slot, part), n, lo, hi)
+        values = iter(values_of(keys).tolist())
+        out = []
+        for ps, t, r in zip(self.fractions, totals, ranks):
+            by_rank = {k: next(values) for k in r}
+            at = {p: (t - 1) * p for p in ps}
+            out.append({p: interpolate(at[p], by_rank[math.floor(at[p])], by_rank[math.ceil(at[p])]) if t else None for p in ps})
+        return out
+
+    def descend(self, rank, group, names, n, lo, hi) -> np.ndarray:
+        """The key of each rank, given the group it is in and its rank there; ``names`` are the columns that tell groups apart."""
+        keys, rows, by = np.zeros(len(rank), np.int64), self.keyed.withColumn("part", F.expr(f"shiftright(key, {self.shift})")), ["slot", "part"]
+        left = np.arange(len(rank))
+        while True:
+            single = lo[group] == hi[group]
+            keys[left[single]] = lo[group[single]]
+            left, rank, group = left[~single], rank[~single], group[~single]
+            if not len(left):
+                return keys
+            chosen, group = np.unique(group, return_inverse=True)
+            width = hi[chosen] - lo[chosen]
+            bits = 64 if n[chosen].sum() <= GROUPS else max(1, (GROUPS // len(chosen)).bit_length() - 1)
+            shift = np.maximum(0, np.array([int(w).bit_length() for w in width]) - bits)
+            table = {c: pa.array(v[chosen]) for c, v in zip(by, names)}
+            table |= {"g": pa.array(np.arange(len(chosen), dtype=np.int64)), "base": pa.array(lo[chosen]), "shift": pa.array(shift, pa.int32())}
+            wanted = self.keyed.sparkSession.createDataFrame(pa.table(table))
+            rows = rows.join(F.broadcast(wanted), by).select("key", F.col("g").alias("slot"), F.expr("shiftright(key - base, shift)").alias("part"))
+            found = counted(rows, "slot", "part").toArrow()
+            slot, part, n, lo, hi = (found.column(c).to_numpy() for c in ("slot", "part", "n", "lo", "hi"))
+            order = np.lexsort((part, slot))
+            slot, part, n, lo, hi = slot[order], part[order], n[order], lo[order], hi[order]
+            upto = np.concatenate([[0], np.cumsum(n)])
+            place = upto[np.searchsorted(slot, group)] + rank
+            group = np.searchsorted(upto[1:], place, "right")
+            rank, names = place - upto[group], (slot, part)
+
+
+def first_bits(columns: int, rows=None, distinct=None) -> int:
+    """Leading bits of the first round: all, where the groups are known to be few enough; else as many as the bound allows."""
+    sizes = [d if rows is None else min(rows, d) for d in distinct] if distinct else [rows] * columns
+    if None not in sizes and sum(sizes) <= GROUPS:
+        return 64
+    return max(12, (GROUPS // columns).bit_length() - 1)
+
+
+def quantiles_and_more(df: DataFrame, wanted: dict[str, list[float]], also: DataFrame | None = None, rows: int | None = None,
+                       distinct: dict[str, int] | None = None):
+    """``({column: {fraction: value}}, {slot: values})``: quantiles as in ``exact_quantiles``, and the rows of ``also``.
+
+    ``also`` is a small aggregate (slot int, v array<double>); it is answered in the same job as the first round.
+    """
+    wanted = {c: sorted(set(float(p) for p in ps)) for c, ps in wanted.items() if ps}
+    if not wanted:
+        return {}, {r["slot"]: r["v"] for r in also.collect()} if also is not None else {}
+    sizes = [int(1.3 * distinct[c]) + 1 for c in wanted] if distinct else None
+    descent = Descent(keyed_numbers(df, list(wanted)), list(wanted.values()), first_bits(len(wanted), rows, sizes))
+    first = descent.first_round()
+    if also is not None:
+        nothing = [F.lit(None).cast("long").alias(c) for c in ("part", "n", "lo", "hi")]
+        first = first.withColumn("v", F.lit(None).cast("array<double>")).unionByName(also.select("slot", *nothing, "v"))
+    answer = first.toArrow()
+    more = {}
+    if also is not None:
+        extra = answer.filter(pc.is_null(answer.column("n")))
+        more = dict(zip(extra.column("slot").to_pylist(), extra.column("v").to_pylist()))
+        answer = answer.filter(pc.is_valid(answer.column("n")))
+    return dict(zip(wanted, descent.run(answer))), more
 
-def split_by_size(df: DataFrame, columns, rows=None, bound=COUNTER_BOUND, fractions=None, distinct=None):
-    """Columns whose distinct values fit one percentile job, and the rest.
 
-    Without a known row bound the rows are counted first; only if they exceed the bound are distinct values estimated.
-    """
-    columns = list(columns)
-    fractions = fractions or {}
-    if rows is None:
-        rows = df.count()
-    if rows * len(columns) <= bound and all(rows * fractions.get(c, 1) <= LOOKUP_BOUND for c in columns):
-        return columns, []
-    if distinct is None:
-        sizes = df.agg(*[F.approx_count_distinct(num(c), 0.05).alias(f"d{i}") for i, c in enumerate(columns)]).first()
-    else:
-        sizes = [distinct[c] for c in columns]
-    countable, used = [], 0
-    for c, size in sorted(zip(columns, sizes), key=lambda cs: cs[1]):
-        size = min(rows, int(size * 1.3) + 1)
-        if used + size <= bound and size * fractions.get(c, 1) <= LOOKUP_BOUND:
-            countable.append(c)
-            used += size
-    return countable, [c for c in columns if c not in countable]
-
-
-class Rank:
-    """One wanted rank of a column: its value lies in [low, high]; about ``size`` rows lie inside."""
-
-    def __init__(self, column, rank, low=None, high=None, size=math.inf):
-        self.column, self.rank, self.low, self.high, self.size = column, rank, low, high, size
-        self.value = None
-
-
-def narrowed_quantiles(df: DataFrame, wanted) -> dict[str, dict[float, float | None]]:
-    """Exact quantiles of columns with any number of distinct values, all columns and fractions together.
-
-    Two jobs up to FETCH_BOUND * ACCURACY / 6 rows per wanted rank; each further one allows some 40 times as many.
+def exact_quantiles(df: DataFrame, wanted: dict[str, list[float]], rows: int | None = None,
+                    distinct: dict[str, int] | None = None) -> dict[str, dict[float, float | None]]:
+    """``{column: {fraction: value}}``; null for a column without values. Infinite values take their places at the ends.
+
+    ``rows`` is an upper bound of the row count and ``distinct`` holds estimates of the distinct values, if the caller
+    knows them; they save rounds.
     """
-    names = list(wanted)
-    x = df.select(*[num(c).alias(f"x{i}") for i, c in enumerate(names)])
-    first, counts = first_cuts(x, [wanted[c] for c in names])
-    ranks = {(r.column, r.rank): r for r in first}
-    pending = list(first)
-    while pending:
-        if sum(r.size for r in pending) <= FETCH_BOUND:
-            read_off(x, pending)
-        else:
-            narrow(x, pending)
-        pending = [r for r in pending if r.value is None]
-    found = {}
-    for i, c in enumerate(names):
-        found[c] = dict.fromkeys(wanted[c])
-        for p in wanted[c] if counts[i] else ():
-            place = (counts[i] - 1) * p
-            found[c][p] = interpolate(place, ranks[i, math.floor(place)].value, ranks[i, math.ceil(place)].value)
-    return found
-
-
-def first_cuts(x: DataFrame, wanted):
-    """Row counts and a pair of cuts around each wanted rank, from one sketch per column."""
-    accuracy = FINE_ACCURACY if sum(map(len, wanted)) > 32 else ACCURACY
-    margin = 2 / accuracy
-    aggregates = []
-    for i, fractions in enumerate(wanted):
-        points = double_array([min(max(p + side, 0.0), 1.0) for p in fractions for side in (-margin, margin)])
-        aggregates += [F.count(f"x{i}").alias(f"n{i}"), F.percentile_approx(f"x{i}", points, accuracy).alias(f"q{i}")]
-    row = x.agg(*aggregates).first()
-    ranks = {}
-    for i, fractions in enumerate(wanted):
-        n = row[f"n{i}"]
-        for j, p in enumerate(fractions if n else ()):
-            low = row[f"q{i}"][2 * j] if p > margin else None
-            high = row[f"q{i}"][2 * j + 1] if p < 1 - margin else None
-            place = (n - 1) * p
-            for k in {math.floor(place), math.ceil(place)}:
-                # The neighbouring rank may lie just beyond a pair of cuts when rows are few; then it is narrowed anew.
-                ranks.setdefault((i, k), Rank(i, k, low, high, 6 * n / accuracy + 2))
-    return list(ranks.values()), {i: row[f"n{i}"] for i in range(len(wanted))}
-
-
-def cuts_of(pending):
-    cuts = {}
-    for r in pending:
-        cuts.setdefault(r.column, set()).update(c for c in (r.low, r.high) if c is not None)
-    return {i: sorted(c) for i, c in cuts.items()}
-
-
-def place_ranks(pending, cuts, counts):
-    """Yield (rank, part, first rank of the part, rows of the part)."""
-    ends = {}
-    for i in cuts:
-        sizes = [counts.get((i, part), 0) for part in range(2 * len(cuts[i]) + 1)]
-        ends[i] = sizes, list(itertools.accumulate(sizes))
-    for r in pending:
-        sizes, upto = ends[r.column]
-        part = bisect.bisect_right(upto, r.rank)
-        yield r, part, upto[part] - sizes[part], sizes[part]
-
-
-def narrow(x: DataFrame, pending):
-    """Count the rows between the cuts, and propose closer cuts from a sketch of each part that holds a rank."""
-    cuts = cuts_of(pending)
-    grid = double_array([g / GRID for g in range(GRID + 1)])
-    rows = (parted(x, cuts).groupBy("i", "part")
-            .agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("x", grid, ACCURACY).alias("grid")).collect())
-    counts = {(r["i"], r["part"]): r["n"] for r in rows}
-    grids = {(r["i"], r["part"]): r["grid"] for r in rows}
-    for r, part, start, n in place_ranks(pending, cuts, counts):
-        if part % 2:
-            r.value = cuts[r.column][part // 2]
-            continue
-        points, place = grids[r.column, part], (r.rank - start) / n * GRID
-        r.low = points[max(0, math.floor(place) - 2)]
-        r.high = points[min(GRID, math.ceil(place) + 2)]
-        r.size = 6 * n / GRID + 2
-
-
-def read_off(x: DataFrame, pending):
-    """Count the rows between the cuts and bring the few values inside the ranks' pairs; read the ranks off."""
-    cuts = cuts_of(pending)
-    inside = {}
-    for r in pending:
-        ends = cuts[r.column]
-        low = ends.index(r.low) if r.low is not None else -1
-        high = ends.index(r.high) if r.high is not None else len(ends)
-        inside.setdefault(r.column, set()).update(2 * j for j in range(low + 1, high + 1))
-    wanted = " OR ".join(f"i = {i} AND part IN ({', '.join(map(str, sorted(parts)))})" for i, parts in inside.items() if parts)
-    rows = parted(x, cuts).groupBy("i", "part", F.when(F.expr(wanted or "false"), F.col("x")).alias("v")).count().collect()
-    counts, values = {}, {}
-    for row in rows:
-        key = (row["i"], row["part"])
-        counts[key] = counts.get(key, 0) + row["count"]
-        if row["v"] is not None:
-            values.setdefault(key, []).append((row["v"], row["count"]))
-    for r, part, start, _ in place_ranks(pending, cuts, counts):
-        if part % 2:
-            r.value = cuts[r.column][part // 2]
-        elif part in inside[r.column]:
-            left = r.rank - start
-            for value, n in sorted(values[r.column, part]):
-                if left < n:
-                    r.value = value
-                    break
-                left -= n
-        else:
-            ends = cuts[r.column]
-            r.low = ends[part // 2 - 1] if part else None
-            r.high = ends[part // 2] if part // 2 < len(ends) else None
-            r.size = math.inf
+    return quantiles_and_more(df, wanted, None, rows, distinct)[0]
 
 
 def parted(x: DataFrame, cuts) -> DataFrame:

@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabloom.functions.frequencies import modes
-from tabloom.functions.quantiles import long_numbers, narrowed_quantiles, percentiles_long, split_by_size
+from tabloom.functions.quantiles import long_numbers, quantiles_and_more
 
 MOMENTS = {
     "n": F.count, "mean": F.avg, "std": F.stddev_samp, "std_pop": F.stddev_pop, "min": F.min, "max": F.max,
@@ -14,29 +14,25 @@ MOMENTS = {
 def column_stats(df: DataFrame, wanted: dict[str, list], rows=None) -> dict[str, dict]:
     """``{column: {name: value}}`` for names in MOMENTS, 'mode', or a fraction for a quantile.
 
-    Moments and counted quantiles come from one job, each from an aggregate of its own kind; modes need the frequency
-    job, and quantiles of columns with very many values the narrowing jobs.
+    Moments come with the first round of the quantiles, in one job, each from an aggregate of its own kind; modes need the
+    frequency job, and quantiles of columns with very many values further rounds.
     """
     columns = list(wanted)
     moments = sorted({w for ws in wanted.values() for w in ws if w in MOMENTS})
     with_moments = [c for c in columns if any(w in MOMENTS for w in wanted[c])]
-    fractions = {c: f for c in columns if (f := sorted({w for w in wanted[c] if not isinstance(w, str)}))}
-    countable, large = split_by_size(df, list(fractions), rows, fractions={c: len(f) for c, f in fractions.items()}) if fractions else ([], [])
-    union = sorted({p for c in countable for p in fractions[c]})
+    fractions = {c: [w for w in wanted[c] if not isinstance(w, str)] for c in columns}
     found = {c: {w: 0 if w == "n" else None for w in wanted[c]} for c in columns}
-    parts = []
+    also = None
     if with_moments:
         grouped = long_numbers(df, with_moments).groupBy("slot").agg(*[MOMENTS[m]("x").cast("double").alias(m) for m in moments])
-        parts.append(grouped.select(F.lit("m").alias("kind"), "slot", F.array(*moments).alias("v")))
-    if countable:
-        parts.append(percentiles_long(df, countable, union).select(F.lit("q").alias("kind"), "slot", F.col("q").alias("v")))
-    for r in (parts[0].unionByName(parts[1]) if len(parts) == 2 else parts[0]).collect() if parts else ():
-        c = with_moments[r["slot"]] if r["kind"] == "m" else countable[r["slot"]]
-        values = dict(zip(moments if r["kind"] == "m" else union, r["v"] or [None] * len(union)))
+        also = grouped.select("slot", F.array(*moments).alias("v"))
+    quantiles, more = quantiles_and_more(df, fractions, also, rows)
+    for slot, v in more.items():
+        c = with_moments[slot]
+        values = dict(zip(moments, v))
         found[c].update({w: values[w] for w in wanted[c] if w in values})
-    if large:
-        for c, quantiles in narrowed_quantiles(df, {c: fractions[c] for c in large}).items():
-            found[c].update(quantiles)
+    for c, values in quantiles.items():
+        found[c].update(values)
     for c, value in modes(df, [c for c in columns if "mode" in wanted[c]]).items():
         found[c]["mode"] = value
     return found

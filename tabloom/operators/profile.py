@@ -10,9 +10,7 @@ from tabloom.functions.expressions import (
     col, double_array, num, numeric_columns, require_numeric, row_fingerprint,
 )
 from tabloom.functions.frequencies import is_missing, mode_order, value_counts
-from tabloom.functions.quantiles import (
-    COUNTER_BOUND, exact_quantiles, long_numbers, narrowed_quantiles, percentiles_long, split_by_size,
-)
+from tabloom.functions.quantiles import exact_quantiles, long_numbers, quantiles_and_more
 from tabloom.functions.stats import column_stats
 from tabloom.operators.validate import missing, tidy
 
@@ -70,8 +68,7 @@ def shape_columns():
 def numeric_summary(df: DataFrame, columns=None, approx=False, rows=None) -> DataFrame:
     """(column, n, min, max, range, mean, median, q1, q3, std).
 
-    ``approx`` reads the quartiles from Spark's bounded sketch. Otherwise they are exact: counted for columns with few
-    enough distinct values, by narrowing for the others.
+    ``approx`` reads the quartiles from Spark's bounded sketch. Otherwise they are exact, counted bit by bit.
     """
     names = columns or numeric_columns(df)
     require_numeric(df, names)
@@ -81,16 +78,8 @@ def numeric_summary(df: DataFrame, columns=None, approx=False, rows=None) -> Dat
     if approx:
         q = long_numbers(df, names).groupBy("slot").agg(F.percentile_approx(x, QUARTILES).alias("q"))
     else:
-        countable, large = split_by_size(df, names, rows)
-        q = None
-        if countable:
-            places = F.array(*[F.lit(names.index(c)) for c in countable])
-            q = percentiles_long(df, countable, QUARTILES).select(F.get(places, F.col("slot")).alias("slot"), "q")
-        if large:
-            found = narrowed_quantiles(df, {c: QUARTILES for c in large})
-            more = df.sparkSession.createDataFrame(
-                [(names.index(c), [found[c][p] for p in QUARTILES]) for c in large], "slot int, q array<double>")
-            q = more if q is None else q.unionByName(more)
+        found = exact_quantiles(df, {c: QUARTILES for c in names}, rows)
+        q = df.sparkSession.createDataFrame([(i, [found[c][p] for p in QUARTILES]) for i, c in enumerate(names)], "slot int, q array<double>")
     both = named(df, names, stats).join(F.broadcast(q), "slot", "left")
     return both.select("column", F.coalesce("n", F.lit(0)).alias("n"), "min", "max", (F.col("max") - F.col("min")).alias("range"), "mean",
                        F.get("q", 1).alias("median"), F.get("q", 0).alias("q1"), F.get("q", 2).alias("q3"), "std")
@@ -249,35 +238,20 @@ def frequency_facts(df: DataFrame, threshold) -> dict:
     return {r["column"]: r for r in per.join(F.broadcast(lists), "column", "left").collect()}
 
 
-def quartile_plan(distinct: dict[str, int]) -> tuple[list[str], list[str]]:
-    """Columns one percentile job may count, and those to narrow, by their exact numbers of distinct values."""
-    countable, used = [], 0
-    for c, k in sorted(distinct.items(), key=lambda ck: ck[1]):
-        if used + k <= COUNTER_BOUND:
-            countable.append(c)
-            used += k
-    return countable, [c for c in distinct if c not in countable]
-
-
 def numeric_facts(df: DataFrame, names, distinct) -> dict[str, dict]:
-    """Moments, quartiles and outlier counts per numeric column. Two jobs, plus narrowing for large columns."""
-    countable, large = quartile_plan(distinct)
+    """Moments, quartiles and outlier counts per numeric column. Two jobs, and further rounds for columns of very many values."""
+    counts = ("n", "zero", "neg")
     first = moments(df, names).withColumns(shape_columns())
-    if countable:
-        places = F.array(*[F.lit(names.index(c)) for c in countable])
-        counted = percentiles_long(df, countable, QUARTILES).select(F.get(places, F.col("slot")).alias("slot"), "q")
-        first = first.join(F.broadcast(counted), "slot", "left")
-    seen = {names[r["slot"]]: r.asDict() for r in first.collect()}
-    quartiles = {c: seen[c]["q"] for c in countable if c in seen}
-    if large:
-        found = narrowed_quantiles(df, {c: QUARTILES for c in large})
-        quartiles.update({c: [found[c][p] for p in QUARTILES] for c in large})
+    facts = [c for c in first.columns if c != "slot"]
+    also = first.select("slot", F.array(*[F.col(c).cast("double") for c in facts]).alias("v"))
+    quartiles, more = quantiles_and_more(df, {c: QUARTILES for c in names}, also, distinct=distinct)
+    seen = {names[slot]: {c: int(x) if c in counts else x for c, x in zip(facts, v)} for slot, v in more.items()}
 
     def listed(pick):
         return [pick(c) for c in names]
 
     def quartile(c, k):
-        return quartiles[c][k] if quartiles.get(c) else None
+        return quartiles[c][QUARTILES[k]]
 
     aggregates = [zscore_count(listed(lambda c: seen.get(c, {}).get("mean")), listed(lambda c: seen.get(c, {}).get("std"))).alias("z")]
     for tag, k in (("iqr", 1.5), ("tukey", 3.0)):
@@ -306,8 +280,8 @@ def profile(df: DataFrame, threshold=10) -> tuple[DataFrame, DataFrame]:
     """``(table, columns)``: the shape of the table and one row of facts per column.
 
     Four jobs: shape, frequencies, moments with quartiles, outlier counts. Columns with more distinct values than one
-    percentile job may count add a few narrowing passes, each an aggregate without a shuffle. What comes to the driver
-    is one row per column.
+    round of the quartiles may count add a few rounds, each an aggregate that combines map-side. What comes to the driver
+    is one row per column, and the rounds' counts.
     """
     spark = df.sparkSession
     lazy_shape = table_shape(df)

@@ -5,6 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from tabloom.functions import quantiles as Q
 from tabloom.operators import profile as P
 from tabloom.operators import validate as V
 
@@ -91,8 +92,8 @@ def test_profile_takes_four_actions_for_any_width(spark, actions):
         assert seen.count == 4
 
 
-def test_profile_uses_narrowing_for_many_values(spark, monkeypatch):
-    monkeypatch.setattr(P, "COUNTER_BOUND", 100)
+def test_profile_takes_more_rounds_for_many_values(spark, monkeypatch):
+    monkeypatch.setattr(Q, "GROUPS", 100)
     df = spark.range(1, 1001).select(F.col("id").cast("double").alias("x"), (F.col("id") % 3).alias("k"))
     rows = as_dict(P.profile(df)[1])
     assert (rows["x"]["q1"], rows["x"]["median"], rows["x"]["q3"]) == (250.75, 500.5, 750.25)

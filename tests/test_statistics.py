@@ -27,50 +27,79 @@ def check_quantiles(df, values, **bounds):
 @pytest.fixture
 def tight(monkeypatch):
     """Small bounds, so that small data takes the path of large data."""
-    monkeypatch.setattr(Q, "FETCH_BOUND", 10)
-    monkeypatch.setattr(Q, "GRID", 10)
-    monkeypatch.setattr(Q, "ACCURACY", 100)
+    monkeypatch.setattr(Q, "GROUPS", 10)
     monkeypatch.setattr(R, "FETCH_BOUND", 2)
 
 
-@pytest.mark.parametrize("kind", ["uniform", "heavy", "constant", "tiny", "two", "wide"])
-def test_narrowed_quantiles_are_exact(spark, tight, kind):
+@pytest.mark.parametrize("kind", ["uniform", "heavy", "constant", "tiny", "two", "wide", "signs"])
+def test_quantiles_of_many_rounds_are_exact(spark, tight, kind):
     rng = np.random.default_rng(1)
     values = {
         "uniform": rng.random(5000), "heavy": np.where(rng.random(5000) < 0.4, 7.0, rng.normal(size=5000) * 100),
         "constant": np.full(3000, 2.5), "tiny": np.array([4.0]), "two": np.array([1.0] * 700 + [2.0] * 1300),
-        "wide": np.exp(rng.normal(size=4000) * 20),
+        "wide": np.exp(rng.normal(size=4000) * 20), "signs": np.concatenate([-np.exp(rng.normal(size=900) * 9), np.zeros(300), rng.random(900) * 1e-300]),
     }[kind]
     df = spark.createDataFrame(pd.DataFrame({"x": values})).repartition(5)
-    check_quantiles(df, values, rows=10**9, bound=0)
     check_quantiles(df, values)
+    check_quantiles(df, values, rows=10**9)
 
 
 @settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.one_of(st.floats(-1e6, 1e6), st.sampled_from([0.0, 1.0, 1.0])), min_size=1, max_size=120))
-def test_both_quantile_paths_agree(spark, values):
+def test_one_round_and_many_rounds_agree(spark, values):
     df = spark.createDataFrame([(float(v),) for v in values], "x double")
     counted = Q.exact_quantiles(df, {"x": FRACTIONS}, rows=len(values))["x"]
-    old = Q.FETCH_BOUND, Q.GRID
-    Q.FETCH_BOUND, Q.GRID = 10, 8
+    check_quantiles(df, values, rows=len(values))
+    old, Q.GROUPS = Q.GROUPS, 8
     try:
-        narrowed = Q.narrowed_quantiles(df, {"x": FRACTIONS})["x"]
+        assert Q.exact_quantiles(df, {"x": FRACTIONS})["x"] == counted
     finally:
-        Q.FETCH_BOUND, Q.GRID = old
-    for p in FRACTIONS:
-        assert narrowed[p] == pytest.approx(counted[p], rel=1e-12, abs=1e-12)
+        Q.GROUPS = old
+
+
+def test_keys_are_in_the_order_of_the_values(spark):
+    """Every power of two and its neighbours, of either sign, to the least and the greatest double."""
+    powers = 2.0 ** np.arange(-1074, 1024)
+    values = np.concatenate([powers, np.nextafter(powers, 0), np.nextafter(powers, np.inf), [0.0, np.inf], np.random.default_rng(2).normal(size=500)])
+    values = np.concatenate([values, -values])
+    keys = Q.keyed_numbers(spark.createDataFrame([(float(v),) for v in values], "x double"), ["x"]).toArrow().column("key").to_numpy()
+    assert (keys == np.abs(values).view(np.int64) * np.where(values < 0, -1, 1)).all()
+    assert (Q.values_of(keys) == values).all()
+
+
+@pytest.mark.parametrize("groups", [4, 1 << 20])
+def test_infinite_values_take_their_places(spark, monkeypatch, groups):
+    monkeypatch.setattr(Q, "GROUPS", groups)
+    inf = float("inf")
+    df = spark.createDataFrame([(v,) for v in [-inf, 1.0, 2.0, 3.0, inf, inf, inf]], "x double")
+    for rows in (None, 7):
+        assert Q.exact_quantiles(df, {"x": [0, 1 / 6, 0.25, 0.5, 4 / 6, 1]}, rows)["x"] == {0.0: -inf, 1 / 6: 1.0, 0.25: 1.5, 0.5: 3.0, 4 / 6: inf, 1.0: inf}
+
+
+def test_many_columns_and_fractions_in_few_rounds(spark, actions):
+    """A thousand ranks of each of five columns: as many groups are counted as one round allows, and no plan deals by the column alone."""
+    df = spark.range(200_000).select(*[(F.xxhash64(F.col("id") + i) / 2.0 ** 40).alias(f"c{i}") for i in range(5)])
+    wanted = {f"c{i}": [k / 1000 for k in range(1001)] for i in range(5)}
+    with actions() as seen:
+        found = Q.exact_quantiles(df, wanted)
+    assert seen.count <= 4
+    frame = df.toPandas()
+    for c, values in found.items():
+        assert np.allclose([values[p] for p in wanted[c]], frame[c].quantile(wanted[c]), rtol=1e-12)
+    plan = Q.Descent(Q.keyed_numbers(df, list(wanted)), list(wanted.values()), 16).first_round()._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(slot#" in plan and ", part#" in plan.split("hashpartitioning(slot#", 1)[1][:30]
 
 
 def test_quantiles_of_nothing(spark):
     df = spark.createDataFrame([(None,)], "x double")
     assert Q.exact_quantiles(df, {"x": [0.5]}) == {"x": {0.5: None}}
-    assert Q.narrowed_quantiles(df, {"x": [0.5]}) == {"x": {0.5: None}}
+    assert Q.exact_quantiles(df.limit(0), {"x": [0.5]}, rows=0) == {"x": {0.5: None}}
+    assert Q.exact_quantiles(df.crossJoin(spark.createDataFrame([(1.0,), (4.0,)], "y double")), {"x": [0.5], "y": [0.5]}) == {"x": {0.5: None}, "y": {0.5: 2.5}}
 
 
 def test_nan_counts_as_missing(spark):
     df = spark.createDataFrame([(1.0,), (float("nan"),), (3.0,), (None,)], "x double")
     assert Q.exact_quantiles(df, {"x": [0.5]})["x"][0.5] == 2.0
-    assert Q.narrowed_quantiles(df, {"x": [0.5]})["x"][0.5] == 2.0
 
 
 def test_mode_takes_smallest_on_ties_and_keeps_large_integers(spark):
