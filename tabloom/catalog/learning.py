@@ -3,7 +3,7 @@
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from tabloom.catalog.registry import fx_events, fx_orders, query, rounded, share, table
+from tabloom.catalog.registry import fx_events, fx_orders, query, r, rounded, share, table
 from tabloom.models.base import assemble
 from tabloom.models.catalogue import class_weights, make_model
 from tabloom.models.ensembles import calibrate_isotonic
@@ -11,7 +11,7 @@ from tabloom.models.explain import explain_local, feature_importance
 from tabloom.models.gaussian import GaussianNB
 from tabloom.models.knn import knn_join, vote
 from tabloom.models.stacking import stack_features, stack_fit
-from tabloom.models.tuning import search
+from tabloom.models.tuning import SCORING, fold_rows, search, search_folded
 from tabloom.operators.sample import split
 from tabloom.plans.training import evaluate, predict, run_training
 from tabloom.session import scratch_path
@@ -154,6 +154,45 @@ def m15(spark, sf_dir):
     return searched(spark, sf_dir, "grid", "f1")
 
 
+SMOOTHINGS = (1e-9, 0.01, 0.5)
+
+
+def search_sql():
+    """Every fold's model written out: class means and variances of the other folds, then the metrics of the rows it has not seen."""
+    stats = ", ".join(f"avg({f}) AS m_{f}, var_pop({f}) AS v_{f}" for f in FEATURES)
+    extra = ", ".join(f"var_pop({f})" for f in FEATURES)
+    odds = " + ".join(f"(ln(b.v_{f} + extra) - ln(a.v_{f} + extra)) / 2 + pow({f} - b.m_{f}, 2) / (2 * (b.v_{f} + extra)) - pow({f} - a.m_{f}, 2) / (2 * (a.v_{f} + extra))"
+                      for f in FEATURES)
+    means = ", ".join(f"{r(f'avg({m})', 4)} AS {m}" for m in SCORING)
+    return f"""WITH t AS (SELECT * FROM {learnable_sql()} WHERE NOT is_test),
+        h AS (SELECT *, row_number() OVER (PARTITION BY y ORDER BY md5('42|' || o_orderkey)) AS place, count(*) OVER (PARTITION BY y) AS n FROM t),
+        d AS (SELECT *, CAST(place > n * 1 // 3 AS INT) + CAST(place > n * 2 // 3 AS INT) AS fold FROM h),
+        f AS (SELECT unnest([0, 1, 2]) AS left_out),
+        s AS (SELECT unnest([0, 1, 2]) AS setting, unnest([{', '.join(f'{x}::DOUBLE' for x in SMOOTHINGS)}]) AS smoothing),
+        e AS (SELECT left_out, greatest({extra}) AS widest FROM d JOIN f ON fold <> left_out GROUP BY left_out),
+        c AS (SELECT left_out, y, count(*) AS n, {stats} FROM d JOIN f ON fold <> left_out GROUP BY left_out, y),
+        scored AS (SELECT setting, smoothing, fold, d.y AS y, smoothing * widest AS extra, ln(a.n / b.n::DOUBLE) + {odds} AS odds
+            FROM d JOIN c a ON a.left_out = fold AND a.y = 1 JOIN c b ON b.left_out = fold AND b.y = 0 JOIN e ON e.left_out = fold, s),
+        ranked AS (SELECT *, rank() OVER (PARTITION BY setting, fold ORDER BY odds) + (count(*) OVER (PARTITION BY setting, fold, odds) - 1) / 2.0::DOUBLE AS place FROM scored),
+        counts AS (SELECT setting, smoothing, fold, count(*) AS n, sum(y) AS p, count(*) FILTER (odds > 0) AS said, count(*) FILTER (odds > 0 AND y = 1) AS tp,
+            sum(CASE WHEN y = 1 THEN place ELSE 0 END) AS places FROM ranked GROUP BY setting, smoothing, fold),
+        metrics AS (SELECT setting, smoothing, (n - said - p + 2 * tp) / n::DOUBLE AS accuracy, coalesce(tp / nullif(said, 0)::DOUBLE, 0) AS precision, tp / p::DOUBLE AS recall,
+            2 * tp / (said + p)::DOUBLE AS f1, (places - p * (p + 1) / 2.0::DOUBLE) / (p * (n - p)) AS roc_auc, 2 * (places - p * (p + 1) / 2.0::DOUBLE) / (p * (n - p)) - 1 AS gini FROM counts),
+        means AS (SELECT setting, smoothing, avg(f1) AS target, {means} FROM metrics GROUP BY setting, smoothing)
+        SELECT smoothing, {', '.join(SCORING)}, row_number() OVER (ORDER BY target DESC, setting) = 1 AS is_best FROM means"""
+
+
+@query("m15_search_all_scorers", search_sql())
+def m15_all_scorers(spark, sf_dir):
+    """Every metric of every setting from one table of cross-validated scores."""
+    train, _ = learning_parts(spark, sf_dir)
+    folded = fold_rows(train, 3, 42, ["o_orderkey"])
+    found = search_folded(folded, "GaussianNB", ["f1", *[m for m in SCORING if m != "f1"]], settings=[{"varSmoothing": v} for v in SMOOTHINGS])
+    rows = [(s["varSmoothing"], *[m[c] for c in SCORING], s == found.setting) for s, m in zip(found.settings, found.means)]
+    table = spark.createDataFrame(rows, f"smoothing double, {', '.join(f'{c} double' for c in SCORING)}, is_best boolean")
+    return table.select("smoothing", *[(F.round(c, 4) + F.lit(0.0)).alias(c) for c in SCORING], "is_best")
+
+
 @query("m16_randomized_search_cv")
 def m16(spark, sf_dir):
     return searched(spark, sf_dir, "randomized", "roc_auc")

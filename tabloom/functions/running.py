@@ -1,5 +1,7 @@
 """Running sums over an order of any length, spread over many tasks."""
 
+import math
+
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -8,10 +10,10 @@ from tabloom.functions.expressions import double_array
 
 
 def range_edges(df: DataFrame, order_column: str, buckets: int) -> list[float]:
-    """About equally filled ranges of a numeric column, from one bounded sketch."""
+    """About equally filled ranges of a numeric column, from one bounded sketch; infinite values belong to the outer ranges."""
     grid = double_array([i / buckets for i in range(1, buckets)])
     inner = df.agg(F.percentile_approx(F.col(order_column), grid, 10_000).alias("e")).first()["e"] or []
-    return [float("-inf")] + sorted(set(inner)) + [float("inf")]
+    return [float("-inf")] + sorted(e for e in set(inner) if math.isfinite(e)) + [float("inf")]
 
 
 def running_sums(df: DataFrame, group_columns, order_column: str, sums: dict[str, str], edges,
@@ -23,7 +25,10 @@ def running_sums(df: DataFrame, group_columns, order_column: str, sums: dict[str
     vouches for few groups, and those totals are broadcast.
     """
     group_columns = list(group_columns)
-    ranged = Bucketizer(splits=edges, inputCol=order_column, outputCol="__range").transform(df)
+    if len(edges) > 2:
+        ranged = Bucketizer(splits=edges, inputCol=order_column, outputCol="__range").transform(df)
+    else:
+        ranged = df.withColumn("__range", F.lit(0.0))
     totals = ranged.groupBy(*group_columns, "__range").agg(*[F.sum(c).alias(n) for n, c in sums.items()])
     above = Window.partitionBy(*group_columns).orderBy(F.desc("__range")).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*group_columns, "__range",

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabloom.functions.expressions import col, half_even
+from tabloom.functions.expressions import col, half_even, num
 from tabloom.functions.running import range_edges, running_sums
 from tabloom.session import materialize
 
@@ -40,7 +40,7 @@ def confusion_metrics(df: DataFrame, label="label", prediction="prediction", by=
 
 def score_counts(df, label, score, by, rows=None):
     y, n = col(label).cast("int"), col(rows) if rows else F.lit(1)
-    return (df.filter(col(score).isNotNull()).groupBy(*by, col(score).cast("double").alias("threshold"))
+    return (df.filter(num(score).isNotNull()).groupBy(*by, num(score).alias("threshold"))
             .agg(F.sum(F.when(y == 1, n).otherwise(0)).cast("bigint").alias("pos"),
                  F.sum(F.when(y == 0, n).otherwise(0)).cast("bigint").alias("neg")))
 
@@ -56,11 +56,11 @@ def cumulated(df: DataFrame, label, score, by, rows=None) -> DataFrame:
     counts = materialize(score_counts(df, label, score, by, rows), "scores")
     tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     edges = range_edges(counts, "threshold", max(2, min(tasks, 5000)))
-    running = running_sums(counts, by, "threshold", {"tp": "pos", "fp": "neg"}, edges)
+    running = running_sums(counts, by, "threshold", {"tp": "pos", "fp": "neg"}, edges, small=not by)
     totals = counts.groupBy(*by).agg(F.sum("pos").alias("all_pos"), F.sum("neg").alias("all_neg"))
     if by:
-        return running.join(F.broadcast(totals), by)
-    total = totals.first()
+        return running.join(totals, by)
+    total = totals.first() or {"all_pos": None, "all_neg": None}
     return running.withColumns({"all_pos": F.lit(total["all_pos"]).cast("long"), "all_neg": F.lit(total["all_neg"]).cast("long")})
 
 

@@ -1,6 +1,8 @@
 """Training runs described by one configuration: search, calibrate, evaluate, compare; or stack saved models."""
 
+import json
 import os
+from dataclasses import replace
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
@@ -11,7 +13,7 @@ from tabloom.models.catalogue import class_weights, kind_of, warn_unweighted
 from tabloom.models.ensembles import ScoreColumn, calibrate_isotonic
 from tabloom.models.explain import explain_local, feature_importance
 from tabloom.models.stacking import stack_fit
-from tabloom.models.tuning import search
+from tabloom.models.tuning import RANKED, SCORING, fold_rows, search_folded
 from tabloom.operators.metrics import append_metrics, overfit_flags, train_test_metrics
 from tabloom.operators.validate import class_ratio
 from tabloom.sources.models import load_models, save_metrics, save_model, save_models
@@ -44,7 +46,7 @@ def settled(metrics: DataFrame) -> DataFrame:
 
 def run_training(train: DataFrame, test: DataFrame, config: dict, output: str | None = None, key_cols=None, grids=None,
                  parallelism=4) -> dict:
-    """Train as ``config['training']`` says. Returns metrics with overfit flags, the models and what was written.
+    """Train as ``config['training']`` says. Returns metrics with overfit flags, the models, every setting's scores and what was written.
 
     ``grids`` may replace the catalogue's grids per model name.
     """
@@ -69,17 +71,21 @@ def train_individual(train, test, features, config, output, key_cols, grids, par
     names = training["base_model_names"]
     for name in names:
         kind_of(name)
-    metric = usable_metric(training["scoring"], names)
+    scoring = usable_metrics(training["scoring"], names)
     ratio = class_ratio(train, "label").first()["ratio"]
     weighted = not training["data_is_balanced"]
     if weighted:
         warn_unweighted(names)
-    metrics, models, importance, explanation, best, paths = None, {}, {}, {}, {}, {}
+    metrics, models, importance, explanation, best, paths, searched = None, {}, {}, {}, {}, {}, []
+    folded = fold_rows(train, training["num_cv_folds"], seed, key_cols)
     for i, name in enumerate(names):
-        rows = class_weights(train, "label", ratio if name in RATIO_WEIGHTED else None) if weighted else train
-        model, setting, _ = search(
-            rows, name, metric[name], training["cross_validation_search_type"], training["num_iter"], training["num_cv_folds"],
-            seed + i, key_cols, weighted, parallelism, grids=grids.get(name))
+        rows = folded
+        if weighted:
+            rows = replace(folded, rows=class_weights(folded.rows, "label", ratio if name in RATIO_WEIGHTED else None))
+        found = search_folded(rows, name, scoring[name], training["cross_validation_search_type"], training["num_iter"], seed + i, weighted,
+                              parallelism, grids=grids.get(name))
+        model, setting = found.model, found.setting
+        searched += [(name, json.dumps(s), s == setting, *[m.get(c) for c in SCORING]) for s, m in zip(found.settings, found.means)]
         calibrated = calibrate_isotonic(model, train)
         models[name], best[name] = calibrated, setting
         metrics = append_metrics(metrics, settled(evaluate(name, calibrated, train, test)))
@@ -90,26 +96,28 @@ def train_individual(train, test, features, config, output, key_cols, grids, par
             explanation[name] = explain_local(calibrated, first, train, features, key_cols[0], seed=seed)
         if output:
             paths[name] = save_models(train.sparkSession, output, name, tag, model, calibrated, setting, kind_of(name).probability)
+    scores = train.sparkSession.createDataFrame(searched, f"model string, setting string, is_best boolean, {', '.join(f'{m} double' for m in SCORING)}")
+    if output:
+        paths["search"] = f"{output}/search_{tag}"
+        scores.write.mode("overwrite").parquet(paths["search"])
     return {"metrics": metrics, "models": models, "best": best, "importance": importance, "explanation": explanation,
-            "class_ratio": ratio, "paths": paths}
+            "class_ratio": ratio, "search": scores, "paths": paths}
 
 
 # Boosters that take one weight for the positive class instead of balanced weights.
 RATIO_WEIGHTED = ("XGBClassifier", "CatBoostClassifier")
 
 
-def usable_metric(scoring, names):
-    """The first configured metric each model can be searched by: roc_auc and gini need probabilities."""
-    allowed = ("accuracy", "precision", "recall", "f1", "roc_auc", "gini")
-    wrong = [m for m in scoring if m not in allowed]
+def usable_metrics(scoring, names):
+    """The configured metrics each model can be searched by, the first of which chooses: roc_auc and gini need probabilities."""
+    wrong = [m for m in scoring if m not in SCORING]
     if wrong:
-        raise ValueError(f"unsupported metrics {wrong}: use {allowed}")
+        raise ValueError(f"unsupported metrics {wrong}: use {SCORING}")
     chosen = {}
     for name in names:
-        usable = [m for m in scoring if kind_of(name).probability or m not in ("roc_auc", "gini")]
-        if not usable:
+        chosen[name] = [m for m in scoring if kind_of(name).probability or m not in RANKED]
+        if not chosen[name]:
             raise ValueError(f"model {name} gives no probabilities: none of {scoring} can be used")
-        chosen[name] = usable[0]
     return chosen
 
 

@@ -3,6 +3,7 @@ import math
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from tabloom.operators import metrics as G
 
@@ -73,3 +74,15 @@ def test_append_metrics(scores):
     two = G.append_metrics(G.append_metrics(None, one), G.train_test_metrics(df.filter("model = 'n'")))
     assert sorted(r["model"] for r in two.collect()) == ["m", "n"]
     assert math.isclose(two.filter("model = 'm'").first()["auc_train"], one.first()["auc_train"])
+
+
+def test_curves_of_nothing_and_of_infinite_scores(spark):
+    empty = spark.createDataFrame([], "label int, score double")
+    assert G.roc_curve(empty).count() == 0 and G.roc_auc(empty).first()["auc"] is None
+    inf = float("inf")
+    df = spark.createDataFrame([(1, inf), (0, inf), (1, 0.5), (0, -inf), (0, 0.1), (1, None), (0, float("nan"))], "label int, score double")
+    assert G.roc_auc(df).first()["auc"] == pytest.approx((0.5 + 1 + 1 + 0 + 1 + 1) / 6)
+    points = {r["threshold"]: (r["fpr"], r["tpr"]) for r in G.roc_curve(df).collect()}
+    assert points == {inf: (1 / 3, 0.5), 0.5: (1 / 3, 1.0), 0.1: (2 / 3, 1.0), -inf: (1.0, 1.0)}
+    groups = df.withColumn("g", F.col("score") > 0.3).filter("g is not null")
+    assert G.roc_auc(groups, by=["g"]).count() == 2

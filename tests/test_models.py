@@ -13,8 +13,9 @@ from tabloom.models.ensembles import calibrate_isotonic, is_calibrated
 from tabloom.models.explain import explain_local, feature_importance
 from tabloom.models.gaussian import GaussianNB, LinearDiscriminant, QuadraticDiscriminant, ledoit_wolf
 from tabloom.models.stacking import stack_features, stack_fit
-from tabloom.models.tuning import evaluator_for, search
+from tabloom.models.tuning import evaluator_for, fold_rows, mean_metrics, search, search_folded
 from tabloom.operators.metrics import roc_auc
+from tabloom.plans import training
 from tabloom.plans.training import evaluate, predict, run_training, scored
 from tabloom.session import scratch_path
 from tabloom.sources.models import load_model, load_models, load_setting, save_model
@@ -312,3 +313,42 @@ def test_training_run_individual_then_stacking(spark, planted):
     config["training"]["approach_type"] = "other"
     with pytest.raises(ValueError, match="approach_type"):
         run_training(train, test, config)
+
+
+def test_search_scores_every_metric_on_unseen_folds(spark, ready):
+    folded = fold_rows(ready, 3, 1, ["id"])
+    found = search_folded(folded, "GaussianNB", ["roc_auc", "accuracy", "precision", "recall", "f1", "gini"], settings=[{"varSmoothing": 1e3}, {"varSmoothing": 1e-9}, {"varSmoothing": 1e-9}])
+    assert found.setting == {"varSmoothing": 1e-9} and found.means[1] == found.means[2]
+    by_hand = []
+    for fold in range(3):
+        model = make_model("GaussianNB", N, varSmoothing=1e-9).fit(folded.rows.filter(F.col("fold") != fold))
+        told = scored(model, folded.rows.filter(F.col("fold") == fold)).toPandas()
+        y, p, s = told["label"].to_numpy(), told["prediction"].to_numpy(), told["score"].to_numpy()
+        tp, precision, recall = (y & p).sum(), (y & p).sum() / p.sum(), (y & p).sum() / y.sum()
+        auc = np.mean([(a > b) + (a == b) / 2 for a in s[y == 1] for b in s[y == 0]])
+        by_hand.append([auc, (y == p).mean(), precision, recall, 2 * tp / (p.sum() + y.sum()), 2 * auc - 1])
+    assert np.allclose(list(found.means[1].values()), np.mean(by_hand, axis=0))
+
+
+def test_undefined_metrics_are_null(spark):
+    """A fold of one class has no AUC, and so no mean."""
+    scores = spark.createDataFrame([(0.4, 0, 1, 5, s, f) for s in range(2) for f in range(2)], "score double, prediction int, label int, rows long, setting int, fold int")
+    rows = mean_metrics(scores, ["roc_auc", "recall"], 2).collect()
+    assert [(r["roc_auc"], r["recall"]) for r in rows] == [(None, 0.0)] * 2
+    with pytest.raises(ValueError, match="unsupported metrics"):
+        mean_metrics(scores, ["loss"], 2)
+
+
+def test_run_writes_the_folds_once(spark, planted, monkeypatch):
+    calls = []
+    monkeypatch.setattr(training, "fold_rows", lambda *a: calls.append(a) or fold_rows(*a))
+    df = spark.createDataFrame(planted)
+    config = {"tag": "t", "target_column": "y", "random_state": 1, "key_columns": ["id"], "training": {
+        "data_is_balanced": True, "approach_type": "individual", "base_model_names": ["LogisticRegression", "GaussianNB", "SVC"], "base_model_files": [],
+        "stacking_model_type": "logistic_regression", "cross_validation_search_type": "grid", "num_cv_folds": 2, "num_iter": 2,
+        "scoring": ["gini", "f1", "recall"], "overfitting_threshold": 0.05}}
+    grids = {"LogisticRegression": [{"C": [1.0, 0.1], "penalty": ["l2"]}], "GaussianNB": [{"varSmoothing": [1e-9]}], "SVC": [{"C": [1.0]}]}
+    done = run_training(df.filter("id % 4 <> 0"), df.filter("id % 4 = 0"), config, grids=grids)
+    rows = done["search"].collect()
+    assert len(calls) == 1 and [r["model"] for r in rows] == ["LogisticRegression"] * 2 + ["GaussianNB", "SVC"]
+    assert sum(r["is_best"] for r in rows) == 3 and all((r["gini"] is None) == (r["model"] == "SVC") and r["accuracy"] is None and r["f1"] > 0.5 for r in rows)
