@@ -73,11 +73,17 @@ def counts_of(texts: pa.Array):
 
 
 def fit_neighbours(docs: DataFrame, labels: DataFrame, label="quality", key="doc_id", text="text", sample=4000) -> Neighbours:
-    """A voter from at most ``sample`` rows of ``docs`` that have a label; their features are counted by tasks, not by the driver."""
+    """A voter from at most ``sample`` rows of ``docs`` that have a label.
+
+    The rows are chosen by their keys alone; only the texts of the chosen keys, at most ``sample`` of which are sent to all tasks, are
+    read again, and their features are counted by tasks, not by the driver.
+    """
     marked = labels.select(column(labels, key).alias("k"), column(labels, label).cast("int").alias("label")).filter("label IS NOT NULL")
-    rows = docs.select(column(docs, key).alias("k"), column(docs, text).alias("text")).join(marked, "k")
-    some = rows.orderBy(F.md5(F.col("k").cast("string")), "k", "label").limit(sample)
-    found = annotate(some, lambda: counts_of, "counts array<float>", "f", keep=["k", "label"]).select("k", "label", "f.counts").toPandas()
+    order = [F.md5(F.col("k").cast("string")), F.col("k"), F.col("label")]
+    chosen = docs.select(column(docs, key).alias("k")).join(marked, "k").orderBy(*order).limit(sample).distinct()
+    some = docs.select(column(docs, key).alias("k"), column(docs, text).alias("text")).join(F.broadcast(chosen), "k")
+    found = annotate(some, lambda: counts_of, "counts array<float>", "f", keep=["k", "label"]).select("k", "label", "f.counts")
+    found = found.orderBy(*order).limit(sample).toPandas()          # keys may repeat
     found = found.sort_values(["k", "label"], kind="stable")
     counts = np.stack(found["counts"].to_list()) if len(found) else np.zeros((0, SLOTS), np.float32)
     return Neighbours(counts, found["label"].to_numpy())
