@@ -24,6 +24,7 @@ from tabloom.llm.text import Words, byte_class, mix, pieces, prefix_hash, range_
 
 LETTERS = byte_class([*range(0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)])
 SLOTS = 1 << 16          # hashed weights per language
+PIECE_BYTES = 1 << 20    # texts labelled side by side; a longer text is labelled by itself, with about 60 bytes of memory a byte
 FIELDS = "lang string, score double, spans array<struct<start:int,end:int,lang:string>>, certainty double"
 
 
@@ -45,32 +46,49 @@ class Field:
         clear = (counts.max(1) >= share * counts.sum(1)) & (counts.sum(1) >= least)
         self.lexicon, self.meant = self.lexicon[clear], counts.argmax(1)[clear]
 
-    def features(self, words: Words):
-        """(word numbers, weight slots) of all hashed features, and the lexicon entry of each word."""
-        prefix, start, end = prefix_hash(words.data), words.start, words.end
-        length, every = end - start, np.arange(len(start))
-        own = range_hash(prefix, start, end)
-        word, slot = [every], [own]
+    def kinds(self, words: Words, prefix):
+        """(word numbers, weight slots) of the hashed features, kind by kind."""
+        start, end = words.start, words.end
+        length, every = end - start, np.arange(len(start), dtype=np.int32)
+
+        def slots(hashes):
+            return (hashes & np.uint64(SLOTS - 1)).astype(np.int32)
+
+        yield every, slots(range_hash(prefix, start, end))
         for size in (1, 2, 3):
             fits = np.flatnonzero(length >= size)
             for kind, at in ((1, start[fits]), (2, end[fits] - size)):
-                word.append(fits)
-                slot.append(mix(range_hash(prefix, at, at + size) + np.uint64(kind)))
+                yield fits, slots(mix(range_hash(prefix, at, at + size) + np.uint64(kind)))
         for size in (2, 3):
             grams = np.maximum(length - size + 1, 0)
             at = spread(start, grams)
-            word.append(np.repeat(every, grams))
-            slot.append(mix(range_hash(prefix, at, at + size) + np.uint64(3)))
+            yield np.repeat(every, grams), slots(mix(range_hash(prefix, at, at + size) + np.uint64(3)))
+
+    def entry_of(self, words: Words, prefix):
+        """The lexicon entry of each word."""
+        own = range_hash(prefix, words.start, words.end)
         found = np.minimum(np.searchsorted(self.lexicon, own), max(0, len(self.lexicon) - 1))
-        entry = np.where(self.lexicon[found] == own, self.meant[found], len(self.languages)) if len(self.lexicon) else np.full(len(own), len(self.languages))
-        return np.concatenate(word), (np.concatenate(slot) & np.uint64(SLOTS - 1)).astype(np.int64), entry
+        return np.where(self.lexicon[found] == own, self.meant[found], len(self.languages)) if len(self.lexicon) else np.full(len(own), len(self.languages))
 
-    def emissions(self, word, slot, entry) -> np.ndarray:
+    def features(self, words: Words):
+        """(word numbers, weight slots) of all hashed features, and the lexicon entry of each word."""
+        prefix = prefix_hash(words.data)
+        word, slot = zip(*self.kinds(words, prefix))
+        return np.concatenate(word), np.concatenate(slot), self.entry_of(words, prefix)
+
+    def emissions(self, parts, entry) -> np.ndarray:
+        """Each word's score for each language: its lexicon entry's, and its features', which come in ``parts``."""
         out = self.entries[entry].astype(np.float64)
-        for k in range(out.shape[1]):
-            out[:, k] += np.bincount(word, self.weights[slot, k], len(entry))
+        for word, slot in parts:
+            for k in range(out.shape[1]):
+                out[:, k] += np.bincount(word, self.weights[slot, k], len(entry))
         return out
 
+    def emissions_of(self, words: Words) -> np.ndarray:
+        """The same for whole texts, with the features of one kind in memory at a time."""
+        prefix = prefix_hash(words.data)
+        return self.emissions(self.kinds(words, prefix), self.entry_of(words, prefix))
+
     def posteriors(self, scores: np.ndarray, bounds: np.ndarray):
         """(distribution of each word's label, sum of the distributions of neighbouring label pairs).
 
@@ -129,7 +147,7 @@ def fit(languages: list, texts: list, labels: list, rounds=4, batch=64, rate=0.3
             bounds = np.concatenate([[0], np.cumsum(sizes.reshape(-1, 2).sum(1))])
             grams = first[at + 1] - first[at]
             local_word, local_slot = np.repeat(np.arange(len(at)), grams), slot[spread(first[at], grams)]
-            posterior, expected = field.posteriors(field.emissions(local_word, local_slot, entry[at]), bounds)
+            posterior, expected = field.posteriors(field.emissions([(local_word, local_slot)], entry[at]), bounds)
             missing = np.eye(k)[gold] - posterior
             inner = np.ones(len(at), bool)
             inner[bounds[:-1][np.diff(bounds) > 0]] = False
@@ -145,9 +163,9 @@ def fit(languages: list, texts: list, labels: list, rounds=4, batch=64, rate=0.3
 
 def identify(field: Field, texts: pa.Array, with_spans: bool):
     langs, scores, spans, certainties = [], [], [], []
-    for piece in pieces(pa.RecordBatch.from_arrays([texts], ["text"])):
+    for piece in pieces(pa.RecordBatch.from_arrays([texts], ["text"]), size=PIECE_BYTES):
         words = Words(piece.column(0), LETTERS)
-        posterior, _ = field.posteriors(field.emissions(*field.features(words)), words.bounds) if len(words.start) and field.languages else (None, None)
+        posterior, _ = field.posteriors(field.emissions_of(words), words.bounds) if len(words.start) and field.languages else (None, None)
         points = np.concatenate([[0], np.cumsum((words.data & 0xC0) != 0x80)]) if with_spans else None
         for row, (a, b) in enumerate(zip(words.bounds[:-1].tolist(), words.bounds[1:].tolist())):
             if posterior is None or a == b or not lettered(words, row, piece.column(0)):
