@@ -194,12 +194,21 @@ def language_spans(field, words, posterior, points, row, a, b) -> list:
 
 
 def fit_languages(docs: DataFrame, text="text", lang="lang", key="doc_id", per_language=250, longest=1 << 16) -> Field:
-    """A field from at most ``per_language`` of the given rows for each language; the rest of the rows is not read into the driver."""
+    """A field from at most ``per_language`` of the given rows for each language; the rest of the rows is not read into the driver.
+
+    The rows are chosen without their texts, by the hashes that order them; the chosen texts are then read again. What is sent to all
+    tasks and what comes to the driver grows with the number of languages only.
+    """
     some = docs.select(column(docs, text).cast("string").alias("text"), column(docs, lang).cast("string").alias("lang"),
                        F.md5(F.coalesce(column(docs, key).cast("string"), F.lit(""))).alias("draw"))
-    some = some.filter((F.octet_length("text") <= longest) & F.col("lang").isNotNull())
-    order = Window.partitionBy("lang").orderBy("draw", F.md5("text"))
-    rows = some.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= per_language).select("lang", "text", "n").collect()
+    some = some.filter((F.octet_length("text") <= longest) & F.col("lang").isNotNull()).withColumn("same", F.md5("text"))
+    order = Window.partitionBy("lang").orderBy("draw", "same")
+
+    def first(rows):
+        return rows.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= per_language)
+
+    chosen = first(some.select("lang", "draw", "same")).select("lang", "draw", "same").distinct()
+    rows = first(some.join(F.broadcast(chosen), ["lang", "draw", "same"])).select("lang", "text", "n").collect()      # equal rows may be many
     rows = sorted(rows, key=lambda r: (r["lang"], r["n"]))
     return fit(sorted({r["lang"] for r in rows}), [r["text"] for r in rows], [r["lang"] for r in rows])
 
