@@ -5,7 +5,8 @@ among its grams. So every such string lies in the context of an anchor, a gram t
 Anchors that occur once in the corpus are dropped. Contexts that occur more than once are repeated as a whole. Of
 the others, one for each different context of an anchor, the suffixes are put in order by linear grouping (``suffix_order``); neighbours
 with the same first ``length`` bytes are repeated strings, if they stand at different places. An anchor with very many
-different contexts is cut into blocks, whose strings are compared once more by hash over all blocks. Documents are rewritten last.
+different contexts is cut into blocks, whose strings are compared once more by hash over all blocks. Before the order, contexts are cut down to
+the bytes that repeated strings can lie in, and of equal ones one is ordered. Documents are rewritten last.
 
 Defined results: null and empty texts have no bytes and keep the hash of nothing; texts shorter than ``length`` lose nothing; a repeat inside
 one text counts, overlapping itself too; repeated rows remove each other, as all occurrences go; null keys are keys like others;
@@ -27,6 +28,8 @@ from tabloom.session import materialize
 
 GRAM = 64
 BUCKET = 2048            # contexts whose suffixes are ordered together, on average; more of one anchor are cut into blocks
+PIECE_BYTES = 1 << 20    # texts searched for anchors together; a longer text by itself, with about 80 bytes of memory a byte
+STEP = 4                 # bytes by which the tests of a context's strings are apart
 LOW = np.uint64((1 << 32) - 1)
 ANCHORS = "anchors array<struct<anchor:long,context:long,pos:int>>"
 
@@ -45,7 +48,7 @@ def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
 def find_anchors(texts: pa.Array, length: int):
     """The anchors of each text: hash of the gram, hash of its context, first byte."""
     out = []
-    for piece in pieces(pa.RecordBatch.from_arrays([texts], ["text"])):
+    for piece in pieces(pa.RecordBatch.from_arrays([texts], ["text"]), size=PIECE_BYTES):
         data, offsets = flat(piece.column(0))
         starts, sizes = offsets[:-1], np.maximum(np.diff(offsets) - length + 1, 0)
         at = np.zeros(0, np.int64)
@@ -96,12 +99,18 @@ def order_bucket(length: int):
         anchor, split, row, start, at = (pick(c) for c in ("anchor", "split", "row", "start", "at"))
         data, offsets = flat_bytes(table.column("data"))
         prefix = prefix_hash(data)
-        hopeful = split | extended(prefix, offsets, at, anchor, length)
-        texts = [data[a:b] for a, b in zip(offsets[:-1][hopeful].tolist(), offsets[1:][hopeful].tolist())]
-        row, start, split = row[hopeful], start[hopeful], split[hopeful]
+        first, last = extents(prefix, offsets, at, anchor, length)
+        first, last = np.where(split, offsets[:-1], first), np.where(split, offsets[1:], last)
+        hopeful = last - first >= length
+        first, last, row, split = first[hopeful], last[hopeful], row[hopeful], split[hopeful]
+        start = start[hopeful] + first - offsets[:-1][hopeful]
+        same, alone = copies(data, first, last, row, start, split)
+        copied = result(np.zeros(len(same), np.int64), row[same], start[same], start[same] + (last - first)[same], np.ones(len(same), bool))
+        texts = [data[a:b] for a, b in zip(first[alone].tolist(), last[alone].tolist())]
+        row, start, split = row[alone], start[alone], split[alone]
         sizes = np.array([len(t) for t in texts], np.int64)
         if not len(texts):
-            return result(*[np.zeros(0, np.int64)] * 4, np.zeros(0, bool))
+            return copied
         symbols = np.zeros(int(sizes.sum()) + len(texts) + 1, np.int64)     # each context ends in a 1, the whole in a 0
         begin = np.cumsum(sizes + 1) - sizes - 1
         symbols[spread(begin, sizes)] = np.concatenate(texts).astype(np.int64) + 2
@@ -123,8 +132,9 @@ def order_bucket(length: int):
         first = np.flatnonzero(fresh)
         last = np.concatenate([first[1:], [len(at)]])[:len(first)] - 1      # overlapping strings as one span
         none = np.zeros(len(first), np.int64)
-        return result(np.concatenate([none, hashes[split].view(np.int64)]), np.concatenate([own[first], row[split]]), np.concatenate([at[first], where[split]]),
-                      np.concatenate([at[last], where[split]]) + length, np.concatenate([none == 0, np.zeros(int(split.sum()), bool)]))
+        ordered = result(np.concatenate([none, hashes[split].view(np.int64)]), np.concatenate([own[first], row[split]]), np.concatenate([at[first], where[split]]),
+                         np.concatenate([at[last], where[split]]) + length, np.concatenate([none == 0, np.zeros(int(split.sum()), bool)]))
+        return pa.concat_tables([copied, ordered])
     return run
 
 
@@ -135,18 +145,40 @@ def flat_bytes(chunked):
     return np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8), offsets
 
 
-def extended(prefix, offsets, at, anchor, length: int) -> np.ndarray:
-    """Contexts in which the gram with half of the missing bytes, on its left or on its right, occurs elsewhere in the bucket:
-    a repeated string reaches that far on one of the sides."""
-    half = -(-(length - GRAM) // 2)
-    gram = offsets[:-1] + at
-    out = np.zeros(len(at), bool)
-    for left, right in ((gram - half, gram + GRAM), (gram, gram + GRAM + half)):
+def extents(prefix, offsets, at, anchor, length: int):
+    """The range [first, last) of each context that its repeated strings can lie in; empty where it can have none.
+
+    A string with the gram ``o`` bytes after its start has, for the multiple ``k`` of ``STEP`` below ``o``, the gram with ``k`` bytes on its left and
+    all but ``STEP`` - 1 of the others on its right. If no other context of the anchor has the same, the string is not repeated.
+    """
+    spare, gram = length - GRAM, offsets[:-1] + at
+    first, last = gram + length, gram.copy()
+    for k in range(0, spare + 1, STEP):
+        most = min(k + STEP - 1, spare)
+        left, right = gram - k, gram + GRAM + spare - most
         fits = np.flatnonzero((left >= offsets[:-1]) & (right <= offsets[1:]))
         key = mix(range_hash(prefix, left[fits], right[fits]) + anchor[fits].view(np.uint64))
         _, code, count = np.unique(key, return_inverse=True, return_counts=True)
-        out[fits[count[code] > 1]] = True
-    return out
+        fits = fits[count[code] > 1]
+        first[fits] = np.minimum(first[fits], gram[fits] - most)
+        last[fits] = np.maximum(last[fits], gram[fits] + length - k)
+    return np.maximum(first, offsets[:-1]), np.minimum(last, offsets[1:])
+
+
+def copies(data, first, last, row, start, split):
+    """(ranges whose bytes stand at several places, ranges to put in order: one of each text of bytes, and all of split anchors)."""
+    alone, by_bytes, whole = [], {}, data.tobytes()
+    for i, (a, b, kept) in enumerate(zip(first.tolist(), last.tolist(), split.tolist())):
+        if kept:
+            alone.append(i)
+        else:
+            by_bytes.setdefault(whole[a:b], []).append(i)
+    same = []
+    for members in by_bytes.values():
+        alone.append(members[0])
+        if len({(row[i], start[i]) for i in members}) > 1:
+            same += members
+    return np.array(same, np.int64), np.array(sorted(alone), np.int64)
 
 
 def result(hashes, row, start, end, repeated) -> pa.Table:
