@@ -79,6 +79,9 @@ class Ordinal(Step):
     kind = "ordinal_encoding"
     required = ("column", "mapping")
 
+    def asks(self, action):
+        return {}
+
     def apply(self, df, action, learned=None):
         for rule in self.rules(action):
             require_columns(df, [rule["column"]])

@@ -25,6 +25,12 @@ class FillZero(Step):
     def rules(self, action):
         return [c for c in action[self.kind] if c]
 
+    def asks(self, action):
+        return {}
+
+    def changes(self, action):
+        return set(self.rules(action))
+
     def apply(self, df, action, learned=None):
         names = self.rules(action)
         require_columns(df, names)
@@ -43,15 +49,18 @@ class FillNumeric(Step):
         """Rules with a method; an empty method leaves the column alone, in fit and in apply."""
         return [r for r in self.rules(action) if r["fill_missing_values_method"]]
 
-    def fit(self, df, action, full=None, rows=None):
-        rules = self.active(action)
-        require_columns(df, [r["column"] for r in rules])
+    def asks(self, action):
         wanted = {}
-        for r in rules:
+        for r in self.active(action):
             if r["fill_missing_values_method"] not in self.methods:
                 raise ValueError(f"fill_missing_values_method must be one of {list(self.methods)}")
             wanted[r["column"]] = [self.methods[r["fill_missing_values_method"]]]
-        stats = column_stats(df, wanted, rows)
+        return wanted
+
+    def fit(self, df, action, full=None, rows=None, known=None):
+        wanted = self.asks(action)
+        require_columns(df, wanted)
+        stats = column_stats(df, wanted, rows) if known is None else known
         learned = {c: stats[c][names[0]] for c, names in wanted.items()}
         empty = [c for c, v in learned.items() if v is None and wanted[c] == ["mode"]]
         if empty:
@@ -69,7 +78,10 @@ class FillText(FillNumeric):
 
     kind = "filling_missing_text_values"
 
-    def fit(self, df, action, full=None, rows=None):
+    def asks(self, action):
+        return {r["column"]: ["mode"] for r in self.active(action) if r["fill_missing_values_method"] == "mode"}
+
+    def fit(self, df, action, full=None, rows=None, known=None):
         rules = self.active(action)
         require_columns(df, [r["column"] for r in rules])
         learned, by_mode = {}, []
@@ -83,7 +95,7 @@ class FillText(FillNumeric):
                 by_mode.append(c)
             else:
                 raise ValueError("fill_missing_values_method must be 'mode' or 'placeholder'")
-        found = column_stats(df, {c: ["mode"] for c in by_mode})
+        found = column_stats(df, {c: ["mode"] for c in by_mode}) if known is None else known
         for c in by_mode:
             if found[c]["mode"] is None:
                 raise ValueError(f"column '{c}' holds no value to take the mode of")

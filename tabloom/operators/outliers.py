@@ -79,17 +79,25 @@ class ReplaceOutliers(Step):
     values = {"mean": "mean", "median": 0.5, "mode": "mode", "quantile_25": 0.25, "quantile_75": 0.75}
     bounds = ("lower_bound", "upper_bound", "clip")
 
-    def fit(self, df, action, full=None, rows=None):
+    def wanted(self, rules):
+        wanted = {}
+        for r in rules:
+            how = r["replacement_method"]
+            if how not in self.values and how not in self.bounds:
+                raise ValueError(f"replacement_method must be one of {[*self.values, *self.bounds]}")
+            wanted[r["column"]] = search_stats(r) + ([self.values[how]] if how in self.values else [])
+        return wanted
+
+    def asks(self, action):
+        rules = self.rules(action)
+        return self.wanted(rules) if len(independent_batches(rules)) < 2 else None
+
+    def fit(self, df, action, full=None, rows=None, known=None):
         learned = {}
         for number, batch in enumerate(independent_batches(self.rules(action))):
             require_numeric(df, [r["column"] for r in batch])
-            wanted = {}
-            for r in batch:
-                how = r["replacement_method"]
-                if how not in self.values and how not in self.bounds:
-                    raise ValueError(f"replacement_method must be one of {[*self.values, *self.bounds]}")
-                wanted[r["column"]] = search_stats(r) + ([self.values[how]] if how in self.values else [])
-            stats = column_stats(df, wanted, rows)
+            wanted = self.wanted(batch)
+            stats = column_stats(df, wanted, rows) if known is None else known
             round_learned = {}
             for r in batch:
                 found, how = stats[r["column"]], r["replacement_method"]

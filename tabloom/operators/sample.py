@@ -125,7 +125,7 @@ class Resample(Step):
             raise ValueError("resampling_method must be 'oversample' or 'undersample'")
         return rule
 
-    def fit_apply(self, df, action, full=None, rows=None):
+    def fit_apply(self, df, action, full=None, rows=None, known=None):
         rule = self.rules(action)
         resample, keys = self.methods[rule["resampling_method"]], rule.get("key_columns")
         if keys:

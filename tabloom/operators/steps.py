@@ -23,12 +23,23 @@ class Step:
                 raise ValueError(f"{self.kind}: rule {r} lacks the keys {lacking}")
         return rules
 
-    def fit(self, df: DataFrame, action, full: DataFrame | None = None, rows: int | None = None) -> dict:
+    def fit(self, df: DataFrame, action, full: DataFrame | None = None, rows: int | None = None, known: dict | None = None) -> dict:
         return {}
 
+    def asks(self, action) -> dict[str, list] | None:
+        """Statistics by column that ``fit`` takes from ``column_stats``; None if it gathers what it needs in another way.
+
+        Steps that ask can learn together: ``fit`` takes their answers as ``known`` and starts no job of its own.
+        """
+        return None
+
+    def changes(self, action) -> set[str]:
+        """Columns whose values the step replaces; asked of steps that say what they ask."""
+        return {r["column"] for r in self.rules(action)}
+
     def apply(self, df: DataFrame, action, learned: dict) -> DataFrame:
         raise NotImplementedError
 
-    def fit_apply(self, df: DataFrame, action, full=None, rows=None) -> tuple[DataFrame, dict]:
-        learned = self.fit(df, action, full, rows)
+    def fit_apply(self, df: DataFrame, action, full=None, rows=None, known=None) -> tuple[DataFrame, dict]:
+        learned = self.fit(df, action, full, rows) if known is None else self.fit(df, action, full, rows, known)
         return self.apply(df, action, learned), learned

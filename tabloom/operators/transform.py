@@ -13,6 +13,9 @@ class ConvertToNumber(Step):
     required = ("column", "to_type")
     carries_full = True
 
+    def asks(self, action):
+        return {}
+
     def apply(self, df, action, learned=None):
         for rule in self.rules(action):
             df = cast_numeric(df, {rule["column"]: rule["to_type"]})
@@ -39,7 +42,10 @@ class Transform(Step):
     required = ("column", "transformation_method")
     carries_full = True
 
-    def fit(self, df, action, full=None, rows=None):
+    def asks(self, action):
+        return {}
+
+    def fit(self, df, action, full=None, rows=None, known=None):
         learned = {}
         for i, r in enumerate(self.rules(action)):
             require_numeric(df, [r["column"]])
@@ -71,16 +77,24 @@ class Scale(Step):
             raise ValueError(f"scaler_type must be one of {list(self.scalers)}")
         return rule
 
-    def fit(self, df, action, full=None, rows=None):
+    def asks(self, action):
+        rule = self.rules(action)
+        return {c: list(self.scalers[rule["scaler_type"]]) for c in rule["columns"]}
+
+    def changes(self, action):
+        return set(self.rules(action)["columns"])
+
+    def fit(self, df, action, full=None, rows=None, known=None):
         rule = self.rules(action)
         require_columns(df, rule["columns"])
         how = rule["scaler_type"]
         if how == "none":
             return {}
         require_numeric(df, rule["columns"])
-        stats = column_stats(df, {c: list(self.scalers[how]) for c in rule["columns"]}, rows)
+        stats = column_stats(df, self.asks(action), rows) if known is None else known
         learned = {}
-        for c, s in stats.items():
+        for c in dict.fromkeys(rule["columns"]):
+            s = stats[c]
             if how == "standard":
                 center, spread = s["mean"], s["std_pop"]
             elif how == "robust":

@@ -81,13 +81,16 @@ def missing(df: DataFrame, name):
     return col(name).isNull()
 
 
-def check_ready(df: DataFrame) -> None:
-    """Raise if a column of prepared data still misses values or is not numeric. One job."""
-    found = missing_and_non_numeric(df).filter("n_missing > 0 or not is_numeric").collect()
+def check_ready(*parts: DataFrame) -> None:
+    """Raise if a column of prepared data still misses values or is not numeric. One job for all parts."""
+    found = parts[0].limit(0).select(F.lit("").alias("column"), F.lit(0).cast("long").alias("n_missing"), F.lit(True).alias("is_numeric"))
+    for df in parts:
+        found = found.unionByName(missing_and_non_numeric(df))
+    found = found.filter("n_missing > 0 or not is_numeric").collect()
     if found:
         raise ValueError(
-            f"columns with missing values: {[r['column'] for r in found if r['n_missing']]}; "
-            f"non-numeric columns: {[r['column'] for r in found if not r['is_numeric']]}")
+            f"columns with missing values: {sorted({r['column'] for r in found if r['n_missing']})}; "
+            f"non-numeric columns: {sorted({r['column'] for r in found if not r['is_numeric']})}")
 
 
 def check_same_columns(train: DataFrame, test: DataFrame) -> None:

@@ -3,7 +3,9 @@
 import json
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tabloom.functions.stats import column_stats
 from tabloom.operators.encode import OneHot, Ordinal, TargetEncode, WoeEncode
 from tabloom.operators.fill import FillNumeric, FillText, FillZero
 from tabloom.operators.outliers import RemoveOutliers, ReplaceOutliers
@@ -11,7 +13,7 @@ from tabloom.operators.profile import correlation_matrix
 from tabloom.operators.sample import Resample, split, split_exact
 from tabloom.operators.transform import ConvertToNumber, Scale, Transform
 from tabloom.operators.validate import check_ready, check_same_columns, keep_columns, order_columns
-from tabloom.session import materialize, with_row_id
+from tabloom.session import materialize, scratch_path, with_row_id
 from tabloom.sources.state import PipelineState, StepState, save_state
 from tabloom.sources.tables import read_table, write_split
 
@@ -40,30 +42,61 @@ def configured_steps(config):
     return found
 
 
-def fit_pipeline(train: DataFrame, config: dict, full: DataFrame) -> tuple[DataFrame, PipelineState]:
+def fit_pipeline(train: DataFrame, config: dict, full: DataFrame, written=False) -> tuple[DataFrame, PipelineState]:
     """Run the configured steps over ``train``, learning as they go. Returns the lazy result and what was learned.
 
     Statistics come from ``train``; one-hot categories and bin ranges from ``full``, which passes through the fill,
-    outlier, cast and transform steps with statistics of its own.
+    outlier, cast and transform steps with statistics of its own. Both are written once, with the configured columns only,
+    unless the caller has done so (``written``); every statistic reads these tables. Consecutive steps that ask for statistics
+    of columns that no step among them has changed yet get them from one gathering.
     """
     steps = configured_steps(config)
-    train = keep_columns(train, config["columns"])
-    if any(step.carries_full or step.kind in FULL_READERS for _, step, _ in steps):
-        full = keep_columns(full, config["columns"])
+    train, full = keep_columns(train, config["columns"]), keep_columns(full, config["columns"])
     later_full = last_full_use(steps)
-    rows = full.count()     # bounds the rows of train and full at every later step but oversampling
-    states = []
-    for position, (name, step, action) in enumerate(steps):
-        train, learned = step.fit_apply(train, action, full, rows)
-        if step.carries_full and position < later_full:
-            full, _ = step.fit_apply(full, action, full, rows)
-        if step.kind == Resample.kind:
-            rows = 2 * rows
-        states.append(StepState(name, step.kind, learned))
+    if not written:
+        train = materialize(train, "train")
+        full = materialize(full, "full") if later_full >= 0 else train
+    rows = full.count()     # of a written table; bounds the rows of train and full at every later step but oversampling
+    states, position = [], 0
+    while position < len(steps):
+        size, asked = gathered(steps[position:])
+        batch = steps[position:position + size]
+        known = column_stats(train, asked, rows) if asked else {}
+        carried = [s for p, s in enumerate(batch, position) if s[1].carries_full and p < later_full]
+        full_asked = merged(step.asks(action) or {} for _, step, action in carried) if size else {}
+        full_known = column_stats(full, full_asked, rows) if full_asked else {}
+        for name, step, action in batch or steps[position:position + 1]:
+            train, learned = step.fit_apply(train, action, full, rows, known if size else None)
+            if step.carries_full and position < later_full:
+                full, _ = step.fit_apply(full, action, full, rows, full_known if size else None)
+            if step.kind == Resample.kind:
+                rows = 2 * rows
+            states.append(StepState(name, step.kind, learned))
+            position += 1
     state = PipelineState(tuple(states))
     return order_columns(train, config["columns"], state.one_hot()), state
 
 
+def merged(requests) -> dict[str, list]:
+    asked = {}
+    for wants in requests:
+        for c, names in wants.items():
+            asked.setdefault(c, []).extend(n for n in names if n not in asked[c])
+    return asked
+
+
+def gathered(steps) -> tuple[int, dict[str, list]]:
+    """How many of the next steps can learn from one gathering of statistics, and what they ask for together."""
+    requests, changed = [], set()
+    for _, step, action in steps:
+        wants = step.asks(action)
+        if wants is None or changed & set(wants):
+            break
+        requests.append(wants)
+        changed |= step.changes(action)
+    return len(requests), merged(requests)
+
+
 FULL_READERS = (OneHot.kind, TargetEncode.kind, WoeEncode.kind)
 
 
@@ -94,30 +127,46 @@ def split_configured(data: DataFrame, config: dict) -> tuple[DataFrame, DataFram
     return train.drop("__id"), test.drop("__id")
 
 
+def written_parts(data: DataFrame, config: dict) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(full, train, test) with the configured columns, from one table that holds a folder for each part."""
+    parts = split_configured(data, config)
+    needed = keep_columns(data, config["columns"], config.get("target_column")).columns
+    flagged = [keep_columns(p, needed).withColumn(PART, F.lit(number)) for number, p in enumerate(parts)]
+    both = flagged[0].unionByName(flagged[1])
+    path = scratch_path(data.sparkSession, "parts")
+    both.write.partitionBy(PART).parquet(path)
+    table = data.sparkSession.read.schema(both.schema).parquet(path)
+    return (table.drop(PART), *[table.filter(F.col(PART) == number).drop(PART) for number in (0, 1)])
+
+
+PART = "__part"
+
+
 def prepare(spark: SparkSession, config: dict, data: DataFrame | str, output: str | None = None, delimiter=",",
             schema=None, file_format="parquet", check=True) -> dict:
     """Read, split, fit on train, replay on test, check, correlate and optionally write.
 
-    A text file is first turned into Parquet in the shared folder, so that every later statistic reads only the
-    columns it needs. Returns train, test, correlation, state and, with ``output``, the written paths.
+    The configured columns of both parts are written once, in a folder each, and all else reads these: nothing after the split
+    reads the source. Prepared data is checked before anything is put out. Returns train, test, correlation, state and, with
+    ``output``, the written paths.
     """
+    configured_steps(config)
     if isinstance(data, str):
         text = not data.rstrip("/").endswith(".parquet")
         data = read_table(spark, data, delimiter, schema)
         data = materialize(data, "input") if text else data
-    train, test = split_configured(data, config)
-    train_ready, state = fit_pipeline(train, config, data)
+    full, train, test = written_parts(data, config)
+    train_ready, state = fit_pipeline(train, config, full, written=True)
     test_ready = apply_pipeline(test, config, state)
     check_same_columns(train_ready, test_ready)
+    if check:
+        check_ready(train_ready, test_ready)
     paths = {}
     if output:
         paths = write_split(train_ready, test_ready, output, config["tag"], file_format)
         if file_format == "parquet":
             train_ready, test_ready = spark.read.parquet(paths["train"]), spark.read.parquet(paths["test"])
         paths["state"] = save_state(spark, state, f"{output}/state_{config['tag']}")
-    if check:
-        check_ready(train_ready)
-        check_ready(test_ready)
     correlation = correlation_matrix(train_ready, config["target_column"], check)
     if output:
         correlation.write.parquet(f"{output}/correlation_{config['tag']}")

@@ -3,10 +3,10 @@ import copy
 import pytest
 from pyspark.sql import functions as F
 
-from tabloom.plans.pipeline import apply_pipeline, fit_pipeline, prepare
+from tabloom.plans.pipeline import apply_pipeline, configured_steps, fit_pipeline, prepare
 from tabloom.operators.sample import split
 from tabloom.session import scratch_path
-from tabloom.sources.state import PipelineState, load_state, save_state
+from tabloom.sources.state import PipelineState, load_state, path_exists, save_state
 from tabloom.sources.tables import read_table, write_table
 from tabloom.streaming.scoring import apply_to_stream, read_stream
 
@@ -187,3 +187,47 @@ def test_read_table_types_tokens_and_delimiter(spark, tmp_path):
     assert [f.dataType.simpleString() for f in df.schema.fields] == ["bigint", "double", "string", "boolean", "double"]
     got = [tuple(r) for r in df.collect()]
     assert got == [(1, 2.5, "a;b", True, None), (2, None, None, False, None), (None, None, 'say "x"', True, None)]
+
+
+FUSED = {"columns": ["a", "b", "c", "s", "y"], "target_column": "y", "preprocessing": {
+    "steps": ["fill", "text", "cap", "log", "scale", "late"], "actions": {
+        "fill": {"filling_missing_numeric_values_with_stats_method": [{"column": "a", "fill_missing_values_method": "median"}]},
+        "text": {"filling_missing_text_values": [{"column": "s", "fill_missing_values_method": "placeholder", "placeholder": "x"}]},
+        "cap": {"replacing_outliers": [{"column": "b", "search_method": "iqr", "replacement_method": "clip"}]},
+        "log": {"transformation": [{"column": "b", "transformation_method": "log"}]},
+        "scale": {"scaling": {"scaler_type": "robust", "columns": ["c"]}},
+        "late": {"scaling": {"scaler_type": "standard", "columns": ["a"]}}}}}
+
+
+def test_consecutive_steps_learn_from_one_gathering(spark, mixed, actions):
+    """Six steps take two gatherings, as the last one asks for a column that the first has filled; results are those of single steps."""
+    with actions() as seen:
+        fitted, state = fit_pipeline(mixed, FUSED, mixed)
+    assert seen.count == 4       # written, counted, gathered twice
+    apart = mixed.select(*FUSED["columns"])
+    for name, step, action in configured_steps(FUSED):
+        apart, learned = step.fit_apply(apart, action, apart, 600)
+        assert learned == state.step(name).learned
+    assert rows(apart) == rows(fitted)
+
+
+def test_nothing_after_the_split_reads_the_source(spark, visits, actions):
+    source = scratch_path(spark, "the-source") + ".parquet"
+    visits.write.parquet(source)
+    bus, store = spark.sparkContext._jsc.sc().listenerBus(), spark._jsparkSession.sharedState().statusStore()
+    with actions() as seen:
+        prepare(spark, CONFIG, source, output=scratch_path(spark, "out"))
+    bus.waitUntilEmpty()
+    listed = store.executionsList()
+    plans = [listed.apply(i).physicalPlanDescription() for i in range(listed.size() - seen.count, listed.size())]
+    assert sum("the-source" in plan for plan in plans) == 1
+    assert seen.count <= 20
+
+
+def test_unready_data_is_not_put_out(spark, visits):
+    out = scratch_path(spark, "unready")
+    config = copy.deepcopy(CONFIG)
+    config["preprocessing"]["steps"] = config["preprocessing"]["steps"][1:]
+    with pytest.raises(ValueError):
+        prepare(spark, config, visits, output=out)
+    assert not path_exists(spark, out)
