@@ -6,8 +6,9 @@ chance below ``MISSED`` (14 of 32 places at 85 percent). Signatures are split in
 principle, two signatures within the distance have a chunk with at most distance // ``CHUNKS`` differing places, so the
 chunk with every choice of so many places left out is a key, and all pairs within the distance share one. Buckets are not
 expanded: in each of ``TURNS`` turns a text is compared with one representative of its buckets that is not in its component
-yet, so a turn makes at most one pair a text; after them, all pairs of members still in different components are compared.
-Links are confirmed on the full sets, and components come from alternating large and small stars on written tables.
+yet, so a turn makes at most one pair a text. After them, members of buckets that still hold several components are split by their rarest
+shingles: two similar sets share one of them, near enough to the front of both. A pair under such a shingle is held to the distance, which means a
+shared bucket. Links are confirmed on the full sets, and components come from alternating large and small stars on written tables.
 
 Defined results: null, empty and blank texts have an empty set and are components of their own; shorter texts are one
 shingle; a null key is left out of the smallest key of its component, and is not kept; repeated rows are members of one
@@ -19,6 +20,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,6 +31,7 @@ from tabloom.session import materialize
 
 HASHES, BITS, CHUNKS, MISSED = 32, 15, 5, 2e-5
 SALTS = 8
+SLOTS = 1 << 20          # counts of shingles, sent to all tasks: 8 MB
 TURNS = 3
 SKETCH = "n long, digest binary, signature array<short>"
 FACTORS = mix(np.arange(1, HASHES + 1, dtype=np.uint64)) | np.uint64(1)
@@ -130,11 +133,12 @@ def near_duplicates(docs: DataFrame, key="doc_id", text="text", width=3, percent
         for side in ("a", "b"):
             pairs = pairs.join(signed_as(signed, side), side)
         links, parts = grow(links, confirmed(pairs.filter(close(percent, distance)), heads, percent))
-    left = open_buckets(with_component(shared, parts)).join(signed.withColumnRenamed(ROW, "id"), "id")
-    left = materialize(left, "open")
-    sides = [left.select("bucket", *[F.col(c).alias(f"{c}_{side}") for c in ("part", "signature", "n")], F.col("id").alias(side)) for side in ("a", "b")]
-    near = sides[0].join(sides[1], "bucket").filter((F.col("a") < F.col("b")) & (F.col("part_a") != F.col("part_b")) & close(percent, distance))
-    links, parts = grow(links, confirmed(near, heads, percent))
+    left = open_buckets(with_component(shared, parts)).groupBy("id").agg(F.first("part").alias("part"))
+    rare = materialize(rare_shingles(heads.join(left, heads[ROW] == left["id"]).select("id", "part", "items"), percent), "rare")
+    near = under_rare_shingles(rare, percent)
+    for side in ("a", "b"):
+        near = near.join(signed_as(signed, side), side)
+    links, parts = grow(links, confirmed(near.filter(close(percent, distance)), heads, percent))
     labelled = classes.join(parts, "id", "left").withColumn("part", F.coalesce("part", "id"))
     least = labelled.groupBy("part").agg(F.min("least").alias("component"))
     labelled = labelled.select("digest", "part").join(least, "part").select("digest", "component")
@@ -169,6 +173,46 @@ def close(percent: int, distance: int):
     return (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")) & (differing <= distance)
 
 
+def rare_shingles(members: DataFrame, percent: int) -> DataFrame:
+    """(item, id, part, place, n): of each member the shingles that a similar one must share one of, by place from the rarest on.
+
+    All sets are put in one order, by how often a shingle's slot is used, then by hash. A set of n shingles shares ceil(``percent`` * n / 100)
+    with a similar one, so one of its first n - that + 1. The ``SLOTS`` counts, sent to all tasks, only choose the order: any one loses nothing.
+    """
+    spark = members.sparkSession
+    slots = members.select(F.explode("items").alias("item")).groupBy(F.col("item").bitwiseAND(F.lit(SLOTS - 1)).alias("slot")).count().toArrow()
+    used = np.zeros(SLOTS, np.int64)
+    used[slots.column("slot").to_numpy()] = slots.column("count").to_numpy()
+    sent = spark.sparkContext.broadcast(used)
+
+    def run(batches):
+        for batch in batches:
+            items, n = batch.column(2).flatten().to_numpy(), pc.list_value_length(batch.column(2)).to_numpy().astype(np.int64)
+            if not len(items):
+                continue
+            row = np.repeat(np.arange(len(n)), n)
+            uses = sent.value[items & (SLOTS - 1)]
+            order = np.lexsort((items, uses, row))
+            row, items, uses = row[order], items[order], uses[order]
+            place = np.arange(len(row)) - (np.cumsum(n) - n)[row]
+            kept = np.flatnonzero((place <= n[row] - -(-percent * n[row] // 100)) & (uses > 1))
+            at = pa.array(row[kept])
+            yield pa.RecordBatch.from_arrays([pa.array(items[kept]), batch.column(0).take(at), batch.column(1).take(at), pa.array(place[kept]), pa.array(n[row[kept]])],
+                                             names=["item", "id", "part", "place", "n"])
+
+    return members.mapInArrow(run, "item long, id long, part long, place long, n long")
+
+
+def under_rare_shingles(rare: DataFrame, percent: int) -> DataFrame:
+    """(a, b): members of different components with a rare shingle in common, from which on both have enough shingles left.
+
+    The first shingle that a similar pair has in common is such a one, as all that they share stands behind it in both.
+    """
+    sides = [rare.select("item", *[F.col(c).alias(f"{c}_{side}") for c in ("part", "place", "n")], F.col("id").alias(side)) for side in ("a", "b")]
+    enough = F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b")) * (100 + percent) >= percent * (F.col("n_a") + F.col("n_b"))
+    return sides[0].join(sides[1], "item").filter((F.col("a") < F.col("b")) & (F.col("part_a") != F.col("part_b")) & enough).select("a", "b").distinct()
+
+
 def confirmed(near: DataFrame, heads: DataFrame, percent: int) -> DataFrame:
     """The distinct pairs whose full sets are similar enough."""
     near = materialize(near.select("a", "b", "n_a", "n_b").distinct(), "near")

@@ -282,3 +282,34 @@ def test_decontamination_mixing_and_secrets_on_edges(spark, docs):
     verdicts = {r.doc_id: [f.verdict for f in r.secrets] for r in secrets.scan_secrets(keys).collect()}
     assert verdicts == {0: ["example"], 1: ["example"], 2: ["example"], 3: ["live"], 4: [], 5: []}
     assert secrets.scan_secrets(empty(docs)).count() == 0
+
+
+def test_near_copies_that_never_link_make_no_pairs(spark):
+    """Texts that share four fifths of their words with all others, and pairs among them that do link: only those meet."""
+    rng = random.Random(8)
+    base = [f"b{i}" for i in range(300)]
+    rows = []
+    for i in range(60):
+        words = list(base)
+        for at in rng.sample(range(300), 22):
+            words[at] = f"own{i}-{at}"
+        rows.append((i, " ".join(words)))
+        if i % 6 == 0:
+            words[rng.randrange(300)] = f"more{i}"
+            rows.append((1000 + i, " ".join(words)))
+    found = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.component_id) for r in found} == {(k, k - 1000 if k >= 1000 else k) for k, _ in rows}
+    sets = spark.createDataFrame([(k, k, sorted(hash(s) for s in shingles(t, 3))) for k, t in rows], "id long, part long, items array<long>")
+    pairs = near_dedup.under_rare_shingles(near_dedup.rare_shingles(sets, 85), 85).collect()
+    assert {(i, 1000 + i) for i in range(0, 60, 6)} <= set(map(tuple, pairs)) and len(pairs) < 200
+
+
+@pytest.mark.parametrize("percent", [60, 85, 100])
+def test_rare_shingles_lose_no_similar_pair(spark, percent):
+    rng = random.Random(percent)
+    sets = [set(rng.sample(range(60), rng.randint(1, 40))) for _ in range(80)]
+    sets += [{x + (x % 9 == 0) * 1000 for x in s} for s in sets[:40]] + [set(s) for s in sets[:10]]
+    table = spark.createDataFrame([(i, i, [x * 7919 for x in sorted(s)]) for i, s in enumerate(sets)], "id long, part long, items array<long>").repartition(3)
+    pairs = set(map(tuple, near_dedup.under_rare_shingles(near_dedup.rare_shingles(table, percent), percent).collect()))
+    want = {(a, b) for b in range(len(sets)) for a in range(b) if 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])}
+    assert want <= pairs and len(want) >= 10
