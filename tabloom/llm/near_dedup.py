@@ -5,8 +5,8 @@ minima cut to ``BITS`` bits; the distance allowed is such that two sets just sim
 chance below ``MISSED`` (14 of 32 places at 85 percent). Signatures are split into ``CHUNKS`` chunks: by the pigeonhole
 principle, two signatures within the distance have a chunk with at most distance // ``CHUNKS`` differing places, so the
 chunk with every choice of so many places left out is a key, and all pairs within the distance share one. Buckets are not
-expanded: in each of ``TURNS`` turns a text is compared with one representative of its buckets that is not in its component
-yet, so a turn makes at most one pair a text. After them, members of buckets that still hold several components are split by their rarest
+expanded: in each turn a text is compared with one or a few (``TURNS``) representatives of its buckets that are not in its component
+yet, so a turn makes at most so many pairs a text. After them, members of buckets that still hold several components are split by their rarest
 shingles: two similar sets share one of them, near enough to the front of both. A pair under such a shingle is held to the distance, which means a
 shared bucket. Links are confirmed on the full sets, and components come from alternating large and small stars on written tables.
 
@@ -32,7 +32,7 @@ from tabloom.session import materialize
 HASHES, BITS, CHUNKS, MISSED = 32, 15, 5, 2e-5
 SALTS = 8
 SLOTS = 1 << 20          # counts of shingles, sent to all tasks: 8 MB
-TURNS = 3
+TURNS = (1, 1, 1, 8, 8)  # representatives that a text is compared with in each turn
 SKETCH = "n long, digest binary, signature array<short>"
 FACTORS = mix(np.arange(1, HASHES + 1, dtype=np.uint64)) | np.uint64(1)
 
@@ -124,11 +124,12 @@ def near_duplicates(docs: DataFrame, key="doc_id", text="text", width=3, percent
     heads = materialize(members.select(ROW, "s.items"), "sets")
     signed = sizes.join(ids, ROW, "left_semi")
     links, parts = None, None
-    for turn in range(TURNS):
+    for turn, several in enumerate(TURNS):
         members = open_buckets(with_component(shared, parts))
         lead = F.min(F.struct(F.xxhash64("id", F.lit(turn)).alias("h"), "id", "part")).over(Window.partitionBy("bucket"))
         leads = members.withColumn("lead", lead).filter(F.col("part") != F.col("lead.part")).groupBy("id", "lead").agg(F.count("*").alias("buckets"))
-        leads = leads.groupBy("id").agg(F.max_by("lead", F.struct("buckets", "lead.h")).alias("lead"))      # most buckets: likely the nearest
+        best = F.sort_array(F.collect_list(F.struct("buckets", "lead.h", "lead.id")), asc=False)        # most buckets: likely the nearest
+        leads = leads.groupBy("id").agg(F.slice(best, 1, several).alias("leads")).select("id", F.explode("leads").alias("lead"))
         pairs = leads.select(F.least("id", "lead.id").alias("a"), F.greatest("id", "lead.id").alias("b"))
         for side in ("a", "b"):
             pairs = pairs.join(signed_as(signed, side), side)
