@@ -32,7 +32,7 @@ from tabloom.session import materialize
 HASHES, BITS, CHUNKS, MISSED = 32, 15, 5, 2e-5
 SALTS = 8
 SLOTS = 1 << 20          # counts of shingles, sent to all tasks: 8 MB
-TURNS = (1, 8, 16)  # representatives that a text is compared with in each turn
+TURNS = (1, 1, 16)  # representatives that a text is compared with in each turn
 SKETCH = "n long, digest binary, signature array<short>"
 FACTORS = mix(np.arange(1, HASHES + 1, dtype=np.uint64)) | np.uint64(1)
 
