@@ -268,6 +268,25 @@ def test_toxicity_pairs_by_definition(spark):
     assert value["rare"].evidence > value["unseen words here"].evidence + 0.1              # two documents in all
 
 
+def test_toxicity_counts_the_sample_of_each_class(spark):
+    """The first keys of each class in md5 order are counted, and no others; every text is scored, parts or not."""
+    random.seed(21)
+    rows = [(i, " ".join(random.choices(WORDS, k=12))) for i in range(90)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    marks = [(i, int(i % 3 == 0)) for i in range(90)]
+    labels = spark.createDataFrame(marks, "doc_id long, toxic int")
+    first = lambda k: sorted((i for i, y in marks if y == k and i % 5), key=lambda i: hashlib.md5(str(i).encode()).hexdigest())[:7]
+    some = labels.filter(F.col("doc_id").isin(first(0) + first(1)) | (F.col("doc_id") % 5 == 0))
+    curve = F.col("doc_id") % 5 == 0
+    bounded = toxicity.fit_models(docs, labels, curve, sample=7)
+    curved = sorted((i for i, _ in marks if i % 5 == 0), key=lambda i: hashlib.md5(str(i).encode()).hexdigest())[:7]
+    some = some.filter((F.col("doc_id") % 5 != 0) | F.col("doc_id").isin(curved))
+    whole = toxicity.fit_models(docs, some, curve, part_rows=4)
+    got, want = ({r.doc_id: tuple(r.t) for r in toxicity.score_toxicity(docs, m, into="t").collect()} for m in (bounded, whole))
+    assert got.keys() == want.keys() and all(np.allclose(got[k], want[k]) for k in got)
+    assert toxicity.score_toxicity(docs.filter("false"), bounded, into="t").collect() == []
+
+
 def test_decontamination_mixing_and_secrets_on_edges(spark, docs):
     bench = spark.createDataFrame([(1, "w1 w2 W3"), (1, None), (None, ""), (2, "one two")], "item_id long, text string")
     marked = {r.doc_id: r.overlap for r in decontaminate.mark_contaminated(docs, bench).collect()}
