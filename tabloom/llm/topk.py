@@ -1,15 +1,20 @@
 """Exact top-k inner products by no-random-access aggregation over sorted lists.
 
-Each Arrow batch of vectors is a shard. It sorts its rows by every component, one list per component. A query reads its lists
+Each Arrow batch of vectors is a shard. It keeps one list of (value, row) per component, sorted by value. A query reads its lists
 sequentially in their best direction (from the top for a positive weight, from the bottom for a negative one), all to the
-same depth. What it has read gives every row a lower score bound (unread components at the worst end of their list) and
-an upper bound (at the last value read). Rows, seen or not, whose upper bound is below the k-th best lower bound are out; reading goes on
-until the lists end or only k rows are left; the remaining rows' scores are then resolved. Spark keeps k rows per query and task
-before the last shuffle. Queries travel in parts of at most ``part_rows``, with a pass over the shards for each part.
+same depth; what lists of a direction have given is shared by the queries of a block. Entries read since the last depth are added to the known
+part of each row's score; unread components lie between the worst end of their list (lower bound) and the last value read (upper
+bound). Rows, seen or not, whose upper bound is below the k-th best lower bound are out, and nothing more is read for them; reading stops
+when no query has more than k rows left, or, at the latest, at the last depth; the remaining rows' scores are then resolved from their vectors.
+Spark keeps k rows per query and task before the last shuffle. Queries travel in parts of at most ``part_rows``, with a pass over
+the shards for each part.
+
+How soon reading stops depends on the data: skewed components stop it at the first depth, components without skew (all alike in spread,
+many of them) hardly before the last.
 
 Defined results: null vectors, vectors with null or non-finite components and rows with a null key take no part; only vectors of
 the same length are compared; empty vectors score 0; ties go to the smaller key; rows with equal keys are rows of their own, and a query
-leaves out only its own row; other columns are not read.
+leaves out only its own row; an empty table, or one without queries, gives no rows; other columns are not read.
 """
 
 import numpy as np
@@ -21,7 +26,7 @@ from pyspark.sql import functions as F
 from tabloom.llm.rows import column, partitions
 from tabloom.session import materialize
 
-DEPTHS = (0.125, 0.25, 0.5, 0.75, 1.0)      # shares of the lists read before bounds are compared again
+DEPTHS = (0.03125, 0.125, 0.375, 0.625, 0.8125)      # shares of the lists read before bounds are compared again
 EXACT = 1 << 53
 SCHEMA = "query_row long, query_id long, row long, vec_id long, score long"
 PART_ROWS = 50_000       # queries sent to every task at once: 25 MB at 64 components
@@ -29,36 +34,55 @@ BLOCK = 256              # queries whose bounds are held together
 
 
 class Lists:
-    """Sorted lists of a shard: for a depth, the bounds that rows get from reading so far."""
+    """Sorted lists of (value, row) of a shard, one per component, read from both ends."""
 
     def __init__(self, vectors: np.ndarray):
         self.vectors = vectors
-        self.sorted = np.sort(vectors, axis=0)
-
-    def bounds(self, queries: np.ndarray, depth: int, rows=slice(None)):
-        """(lower, upper) score bounds of the rows for each query after reading ``depth`` entries of every list."""
-        n, x = len(self.vectors), self.vectors[rows]
-        up, down = np.maximum(queries, 0), np.minimum(queries, 0)
-        top, bottom = self.sorted[n - depth], self.sorted[depth - 1]
-        first, last = self.sorted[0], self.sorted[-1]
-        upper = up @ np.maximum(x, top).T + down @ np.minimum(x, bottom).T
-        lower = up @ np.where(x >= top, x, first).T + down @ np.where(x <= bottom, x, last).T
-        return lower, upper
+        self.rows = np.argsort(vectors, axis=0, kind="stable")
+        self.values = np.take_along_axis(vectors, self.rows, axis=0)
+        self.entries = 0          # entries read so far, over all blocks of queries
+
+    def read(self, begin: int, end: int, left: np.ndarray):
+        """The entries from depth ``begin`` to ``end`` of the lists' tops and of their bottoms: for each a matrix of the values of the rows
+        ``left`` and one of flags, both 0 where nothing was read."""
+        n, d = self.vectors.shape
+        place = np.full(n, -1)
+        place[left] = np.arange(len(left))
+        out = []
+        for part in (slice(n - end, n - begin), slice(begin, end)):
+            at = place[self.rows[part]]
+            kept = at >= 0
+            value, flag = np.zeros((2, len(left), d), self.values.dtype)
+            component = np.broadcast_to(np.arange(d), at.shape)[kept]
+            value[at[kept], component] = self.values[part][kept]
+            flag[at[kept], component] = 1
+            self.entries += int(kept.sum())
+            out.append((value, flag))
+        return out
 
     def top(self, queries: np.ndarray, keys: np.ndarray, own: np.ndarray, k: int):
         """(query numbers, row numbers, scores) of each query's k best rows; ``own`` is a query's row here or -1."""
         n = len(self.vectors)
+        up, down = np.maximum(queries, 0), np.minimum(queries, 0)
         left = np.arange(n)                          # rows that may still qualify for some query of the block
         alive = np.ones((len(queries), n), bool)
         alive[np.flatnonzero(own >= 0), own[own >= 0]] = False
-        for share in DEPTHS[:-1]:
-            lower, upper = self.bounds(queries, max(1, int(n * share)), left)
+        known = np.zeros((len(queries), n), queries.dtype)       # score of the components read, by rows left
+        unread = list(np.ones((2, *self.vectors.shape), self.values.dtype))
+        begin = 0
+        for end in sorted({max(1, int(n * share)) for share in DEPTHS}):
+            if not len(left) or alive.sum(1).max(initial=0) <= k:
+                break
+            tops, bottoms = self.read(begin, end, left)
+            known += up @ tops[0].T + down @ bottoms[0].T
+            unread = [before - now[1] for before, now in zip(unread, (tops, bottoms))]
+            upper = known + (up * self.values[n - end]) @ unread[0].T + (down * self.values[end - 1]) @ unread[1].T
+            lower = known + (up * self.values[0]) @ unread[0].T + (down * self.values[-1]) @ unread[1].T
             lower = np.where(alive[:, left], lower, -np.inf)
             bar = np.partition(lower, -k, axis=1)[:, -k] if len(left) > k else np.full(len(queries), -np.inf)
             alive[:, left] &= upper >= bar[:, None]
-            left = left[alive[:, left].any(0)]
-            if not len(left) or alive.sum(1).max() <= k:
-                break
+            stays = alive[:, left].any(0)
+            left, known, unread, begin = left[stays], known[:, stays], [u[stays] for u in unread], end
         query, row = np.nonzero(alive)
         scores = np.concatenate([np.einsum("ij,ij->i", queries[query[a:a + (1 << 16)]], self.vectors[row[a:a + (1 << 16)]])
                                  for a in range(0, len(query), 1 << 16)] or [np.zeros(0)])

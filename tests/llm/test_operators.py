@@ -287,6 +287,26 @@ def test_toxicity_counts_the_sample_of_each_class(spark):
     assert toxicity.score_toxicity(docs.filter("false"), bounded, into="t").collect() == []
 
 
+def test_lists_are_read_only_as_far_as_needed():
+    """Skewed lists stop at the first depths, with the answer of all scores; lists without skew are read on."""
+    rng = np.random.default_rng(5)
+    for spread, some in ((3.0, True), (0.0, False)):
+        vectors = np.floor(np.exp(rng.normal(0, 1, (2000, 12)) + spread * rng.normal(0, 1, (2000, 1))) * 10)
+        queries, keys = np.floor(rng.random((9, 12)) * 50), rng.permutation(2000)
+        lists = topk.Lists(vectors)
+        query, row, score = lists.top(queries, keys, np.full(9, -1), 5)
+        whole = queries @ vectors.T
+        for q in range(9):
+            want = np.lexsort((keys, -whole[q]))[:5]
+            assert row[query == q].tolist() == want.tolist() and score[query == q].tolist() == whole[q][want].tolist()
+        assert lists.entries < vectors.size * (0.1 if some else 2)
+    signed = np.floor(rng.normal(0, 40, (300, 6)))
+    query, row, _ = topk.Lists(signed).top(signed[:20], np.arange(300), np.arange(20), 3)
+    whole = signed[:20] @ signed.T
+    whole[np.arange(20), np.arange(20)] = -np.inf
+    assert [row[query == q].tolist() for q in range(20)] == [np.lexsort((np.arange(300), -whole[q]))[:3].tolist() for q in range(20)]
+
+
 def test_decontamination_mixing_and_secrets_on_edges(spark, docs):
     bench = spark.createDataFrame([(1, "w1 w2 W3"), (1, None), (None, ""), (2, "one two")], "item_id long, text string")
     marked = {r.doc_id: r.overlap for r in decontaminate.mark_contaminated(docs, bench).collect()}
