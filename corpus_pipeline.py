@@ -2,7 +2,8 @@
 
 Every stage works on the rows its predecessor kept and returns the columns of ``documents``, but the last, which returns the
 mixture: a row for each document with the number of times it is taken. Stages that carry decisions back to rows number them first, so null and
-repeated doc_ids are rows like others.
+repeated doc_ids are rows like others. Extra columns pass through whatever their names, ``n_chars`` may be missing, null and empty texts are
+rejected by the first stage only, texts of any length are read whole, and empty tables stay empty.
 """
 
 from pyspark.sql import functions as F
@@ -13,36 +14,56 @@ from tabloom.session import materialize, with_row_id
 
 CERTAIN = 0.75      # least mean probability of the words' likeliest languages: texts in languages or scripts not learned stay below
 
+
+def free(docs, name):
+    """A name near ``name`` that no column of ``docs`` has."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
+def columns(docs):
+    return [F.col(f"`{c}`") for c in docs.columns]
+
+
 def language_stage(spark, docs, sf_dir):
     """Rejects texts without a language: null, empty, without any letter, or of words that the field cannot tell (``CERTAIN``)."""
+    into = free(docs, "__language")
     field = language.fit_languages(docs.filter(remainder("doc_id", 3) != 1))
-    found = language.label_languages(docs, field, into="__language")
-    return found.filter((F.col("__language.lang") != "und") & (F.col("__language.certainty") >= CERTAIN)).drop("__language")
+    found = language.label_languages(docs, field, into=into)
+    return found.filter((F.col(into)["lang"] != "und") & (F.col(into)["certainty"] >= CERTAIN)).select(*columns(docs))
 
 
 def near_dedup_stage(spark, docs, sf_dir):
     """Keeps one document of each group of near-duplicates of five-word shingles at a similarity of 0.8: the least doc_id, nulls last."""
-    rows = with_row_id(docs, "__id")
-    key = F.struct(F.col("doc_id").isNull().alias("missing"), F.col("doc_id"), F.col("__id"))
+    row = free(docs, "__id")
+    rows = with_row_id(docs, row)
+    key = F.struct(F.col("doc_id").isNull().alias("missing"), F.col("doc_id"), F.col(row).alias("row"))
     found = near_dedup.near_duplicates(rows.select("text", key.alias("key")), key="key", width=5, percent=80)
-    return rows.join(found.filter("kept").select("key.__id"), "__id", "left_semi").select(*docs.columns)
+    kept = found.filter("kept").select(F.col("key")["row"].alias(row))
+    return rows.join(kept, row, "left_semi").select(*columns(docs))
 
 
 def decontaminate_stage(spark, docs, sf_dir):
     """Rejects documents that the contamination rule marks."""
+    into = free(docs, "__overlap")
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    marked = decontaminate.mark_contaminated(docs, benchmark, into="__overlap")
-    return marked.filter(~F.col("__overlap.contaminated")).drop("__overlap")
+    marked = decontaminate.mark_contaminated(docs, benchmark, into=into)
+    return marked.filter(~F.col(into)["contaminated"]).select(*columns(docs))
 
 
 def secrets_stage(spark, docs, sf_dir):
     """Blanks out owner-specific secrets; widely copied examples stay."""
-    rows = with_row_id(docs, "__id")
-    found = secrets.scan_secrets(rows.select("__id", "doc_id", "text", "source"), into="__secrets")
-    found = found.filter(F.exists("__secrets", lambda f: f["verdict"] != "example")).select("__id", "__secrets")
-    text = F.when(F.col("__secrets").isNull(), F.col("text")).otherwise(secrets.redact(F.col("text"), F.col("__secrets")))
-    redacted = rows.join(found, "__id", "left").withColumn("text", text)
-    return redacted.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+    row, into = free(docs, "__id"), free(docs, "__secrets")
+    rows = with_row_id(docs, row)
+    found = secrets.scan_secrets(rows.select(row, "doc_id", "text", "source"), into=into)
+    found = found.filter(F.exists(into, lambda f: f["verdict"] != "example")).select(row, into)
+    text = F.when(F.col(into).isNull(), F.col("text")).otherwise(secrets.redact(F.col("text"), F.col(into)))
+    redacted = rows.join(found, row, "left").withColumn("text", text)
+    if "n_chars" in docs.columns:
+        redacted = redacted.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return redacted.select(*columns(docs))
 
 
 def mix_stage(spark, docs, sf_dir):
