@@ -7,7 +7,9 @@ value in a third of all documents costs one row per task. A value that ``shared_
 the rest is weak. Mixed tokens are reported only where live.
 
 Defined results: null and empty texts hold nothing; null owners are one owner, null repositories one repository; repeated
-rows are rows of their own but add no owner; other columns are not read. Values leave the scan only as hashes.
+rows are rows of their own but add no owner; an empty table gives no rows; a very long text is looked at as a whole, with about 20 bytes of
+memory a byte; other columns pass through, whatever their names, and one named like the new array is replaced. Values leave the scan
+only as hashes.
 """
 
 import hashlib
@@ -102,20 +104,24 @@ def scan_secrets(docs: DataFrame, text="text", owner="source", repository="doc_i
 
     Spans are code point ranges, by start and kind.
     """
-    rows = docs.withColumn(ROW, F.monotonically_increasing_id())
-    found = materialize(annotate(rows, lambda: lambda texts: [scan(texts)], FOUND, into, text, keep=[c for c in rows.columns if c != text]), "finds")
-    finds = found.select(ROW, column(found, owner).alias("owner"), column(found, repository).alias("repository"),
-                         F.explode(f"`{into}`.found").alias("f")).select(ROW, "owner", "repository", "f.*")
+    names = docs.columns
+    kept = [i for i, n in enumerate(names) if n not in (text, into)]
+    place = {n: F.col(f"c{i}") for i, n in enumerate(names)}
+    rows = docs.toDF(*[f"c{i}" for i in range(len(names))])
+    rows = rows.select(*[f"c{i}" for i in kept], F.monotonically_increasing_id().alias(ROW), place[owner].alias("owner"),
+                       place[repository].alias("repository"), place[text].alias("text"))
+    found = materialize(annotate(rows, lambda: lambda texts: [scan(texts)], FOUND, "finds", keep=[c for c in rows.columns if c != "text"]), "finds")
+    finds = found.select(ROW, "owner", "repository", F.explode("finds.found").alias("f")).select(ROW, "owner", "repository", "f.*")
     shared = ownership(finds)
     judged = finds.select(ROW, "kind", "start", "end", "hash", "random").join(shared, "hash")
     copied = (F.col("owners") >= shared_owners) | (F.col("repositories") >= shared_repositories)
     verdict = (F.when(copied, "example").when(F.col("random"), "live").otherwise("weak"))
     judged = judged.withColumn("verdict", verdict).filter((F.col("kind") < 3) | (F.col("verdict") == "live"))
     one = F.struct("start", "kind", "end", "owners", "repositories", "verdict")
-    lists = judged.groupBy(ROW).agg(F.sort_array(F.collect_list(one)).alias("__finds"))
+    lists = judged.groupBy(ROW).agg(F.sort_array(F.collect_list(one)).alias("finds"))
     empty = F.array().cast("array<struct<start:int,kind:int,end:int,owners:bigint,repositories:bigint,verdict:string>>")
-    joined = found.drop(into).join(lists, ROW, "left")
-    return joined.withColumn(into, F.coalesce("__finds", empty)).drop("__finds")
+    joined = found.drop("finds").join(lists, ROW, "left")
+    return joined.select(*[f"c{i}" for i in kept], F.coalesce("finds", empty).alias("finds")).toDF(*[names[i] for i in kept], into)
 
 
 def ownership(finds: DataFrame) -> DataFrame:

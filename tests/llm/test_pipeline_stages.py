@@ -5,6 +5,7 @@ import re
 
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tabloom.llm import secrets
@@ -109,3 +110,37 @@ def test_base_secrets_by_plain_expressions(spark):
     for r in secrets.scan_secrets(docs).collect():
         want = sorted((m.start(), n, m.end()) for n, (_, e, group, least) in enumerate(kinds) for m in e.finditer(texts[r.doc_id] or "") if len(m[group]) >= least)
         assert [(f.start, f.kind, f.end) for f in r.secrets if f.kind < 3] == want
+
+
+CLASHING = ["__id", "__row", "__finds", "__language", "__overlap", "__secrets", "row", "finds", "owner", "c0", "key", "a.b"]
+
+
+def test_columns_that_clash_pass_through(spark):
+    docs = spark.createDataFrame([(1, "password=Zx81qPl0vK é", "s", "en"), (2, None, None, "en"), (3, "lorna tisk " * 4, "s", "en")],
+                                 "doc_id long, text string, source string, lang string")
+    for i, name in enumerate(CLASHING):
+        docs = docs.withColumn(name, F.concat(F.lit(f"v{i}-"), F.col("doc_id").cast("string")))
+    found = secrets.scan_secrets(docs)
+    assert found.columns == [c for c in docs.columns if c != "text"] + ["secrets"]
+    for r in found.collect():
+        assert [r[c] for c in CLASHING] == [f"v{i}-{r.doc_id}" for i in range(len(CLASHING))] and len(r.secrets) == (r.doc_id == 1)
+    path = scratch_path(spark, "tables")
+    spark.createDataFrame([(1, "nothing of it here")], "item_id long, text string").write.parquet(f"{path}/benchmark.parquet")
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        out = stage(spark, docs, path)
+        assert out.columns == docs.columns, name
+        rows = out.collect()
+        assert sorted(r.doc_id for r in rows) == ([1, 3] if name == "language" else [1, 2, 3]), name
+        for r in rows:
+            assert [r[c] for c in CLASHING] == [f"v{i}-{r.doc_id}" for i in range(len(CLASHING))], name
+
+
+def test_stages_on_empty_tables_and_a_very_long_text(spark):
+    docs = spark.createDataFrame([(1, "lorna tisk velm " * 700_000 + "token: Qw7Er5Ty3Uu9", "s", "en", 5), (3, "lorna tisk", "s", "en", 5)],
+                                 "doc_id long, text string, source string, lang string, n_chars long")
+    path = scratch_path(spark, "tables")
+    spark.createDataFrame([(1, "nothing of it here")], "item_id long, text string").write.parquet(f"{path}/benchmark.parquet")
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs.filter("false"), path).collect() == [], name
+        kept = stage(spark, docs, path)
+        assert sorted(r.doc_id for r in kept.select("doc_id").collect()) == [1, 3] or name == "mix", name
