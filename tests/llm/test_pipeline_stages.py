@@ -136,11 +136,11 @@ def test_columns_that_clash_pass_through(spark):
 
 
 def test_stages_on_empty_tables_and_a_very_long_text(spark):
-    docs = spark.createDataFrame([(1, "lorna tisk velm " * 700_000 + "token: Qw7Er5Ty3Uu9", "s", "en", 5), (3, "lorna tisk", "s", "en", 5)],
+    docs = spark.createDataFrame([(1, "lorna tisk velm " * 250_000 + "token: Qw7Er5Ty3Uu9", "s", "en", 5), (7, "lorna tisk", "s", "en", 5)],
                                  "doc_id long, text string, source string, lang string, n_chars long")
     path = scratch_path(spark, "tables")
     spark.createDataFrame([(1, "nothing of it here")], "item_id long, text string").write.parquet(f"{path}/benchmark.parquet")
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs.filter("false"), path).collect() == [], name
         kept = stage(spark, docs, path)
-        assert sorted(r.doc_id for r in kept.select("doc_id").collect()) == [1, 3] or name == "mix", name
+        assert sorted(r.doc_id for r in kept.select("doc_id").collect()) == [1, 7] or name == "mix", name
