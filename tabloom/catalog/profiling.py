@@ -88,6 +88,12 @@ def v04(spark, sf_dir):
     return label.groupBy("y").agg(F.count(F.lit(1)).alias("n"), F.lit(len(features.columns)).cast("bigint").alias("n_features"))
 
 
+@query("v04_features", f"SELECT o_orderkey, o_custkey, o_orderstatus, price_n, prio_n FROM {FX_ORDERS}")
+def v04_features(spark, sf_dir):
+    data = fx_orders(spark, sf_dir).select("o_orderkey", "o_custkey", "o_orderstatus", "price_n", "prio_n", "y")
+    return V.split_features_label(data, "y")[0]
+
+
 @query("v05_missing_and_non_numeric", union(
     f"SELECT '{c}' AS \"column\", count(*) - count({c}) AS n_missing, {str(c in ('o_orderkey', 'o_custkey', 'o_totalprice', 'price_n', 'y')).lower()} AS is_numeric FROM {FX_ORDERS}"
     for c in ORDER_COLUMNS))
@@ -239,15 +245,16 @@ def p11(spark, sf_dir):
 
 @query("p12_example_value", union(
     f"SELECT '{c}' AS \"column\", {f'min({c})::DOUBLE' if c in EVENT_NUMBERS else 'CAST(NULL AS DOUBLE)'} AS lo_num, "
-    f"{'CAST(NULL AS VARCHAR)' if c in EVENT_NUMBERS else f'min({c})'} AS lo_str FROM events" for c in ("event_id", "user_id", "value", "props")))
+    f"{'CAST(NULL AS VARCHAR)' if c in EVENT_NUMBERS else f'min({c})'} AS lo_str FROM events" for c in ("event_id", "user_id", "value", "props")) + """ UNION ALL
+    SELECT 'ts', CAST(NULL AS DOUBLE), CAST(min(ts) AS VARCHAR) FROM events""")
 def p12(spark, sf_dir):
-    return P.example_value(table(spark, sf_dir, "events").drop("ts"))
+    return P.example_value(table(spark, sf_dir, "events"))
 
 
 def profile_sql():
     parts = []
-    for c, numeric in (("event_id", True), ("user_id", True), ("event_type", False), ("value", True), ("props", False)):
-        mode = f"(SELECT {c} FROM events GROUP BY {c} ORDER BY count(*) DESC, {c} LIMIT 1)"
+    for c, numeric in (("event_id", True), ("user_id", True), ("event_type", False), ("value", True), ("props", False), ("ts", False)):
+        mode = f"(SELECT {c if numeric else f'CAST({c} AS VARCHAR)'} FROM events GROUP BY {c} ORDER BY count(*) DESC, {c} LIMIT 1)"
         none = "CAST(NULL AS DOUBLE)"
 
         def number(x, digits=4):
@@ -257,7 +264,7 @@ def profile_sql():
             return f"count(*) FILTER ({x})" if numeric else "CAST(NULL AS BIGINT)"
 
         q = f"(SELECT avg({c}) AS m, stddev_samp({c}) AS s, quantile_cont({c}, 0.25) AS q1, quantile_cont({c}, 0.75) AS q3 FROM events)" if numeric else "(SELECT 1 AS m)"
-        kind = {"event_id": "bigint", "user_id": "bigint", "value": "double"}.get(c, "string")
+        kind = {"event_id": "bigint", "user_id": "bigint", "value": "double", "ts": "timestamp_ntz"}.get(c, "string")
         parts.append(f"""SELECT '{c}' AS "column", '{kind}' AS type, count(DISTINCT {c}) AS n_distinct, count(*) - count({c}) AS n_missing,
             {r(f'(count(*) - count({c})) * 100.0 / count(*)', 4)} AS missing_pct,
             {f'{mode}::DOUBLE' if numeric else none} AS mode_num, {'CAST(NULL AS VARCHAR)' if numeric else mode} AS mode_str,
@@ -273,7 +280,7 @@ def profile_sql():
             {whole(f'{c} < q1 - 3.0::DOUBLE * (q3 - q1) OR {c} > q3 + 3.0::DOUBLE * (q3 - q1)')} AS tukey_outliers,
             {whole(f'{c} < q1 - 3.0::DOUBLE * (q3 - q1)')} AS tukey_below, {whole(f'{c} > q3 + 3.0::DOUBLE * (q3 - q1)')} AS tukey_above,
             {f'min({c})::DOUBLE' if numeric else none} AS example_num,
-            {'CAST(NULL AS VARCHAR)' if numeric or c == 'event_type' else f'min({c})'} AS example_str,
+            {'CAST(NULL AS VARCHAR)' if numeric or c == 'event_type' else f'CAST(min({c}) AS VARCHAR)'} AS example_str,
             CAST({'5' if c == 'event_type' else 'NULL'} AS INTEGER) AS n_listed
             FROM events, {q}""")
     return union(parts)
@@ -281,10 +288,60 @@ def profile_sql():
 
 @query("p14_profile", profile_sql())
 def p14(spark, sf_dir):
-    _, columns = P.profile(table(spark, sf_dir, "events").drop("ts"))
+    _, columns = P.profile(table(spark, sf_dir, "events"))
     return rounded(columns.withColumn("n_listed", F.expr("size(distribution)")).drop("distribution"), 4)
 
 
+@query("p14_profile_shape", """SELECT CAST(6 AS BIGINT) AS n_columns, count(*) AS n_rows, count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM events)) AS n_duplicates,
+    round((count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM events))) * 100.0::DOUBLE / count(*), 6) AS duplicate_pct FROM events""")
+def p14_shape(spark, sf_dir):
+    return rounded(P.profile(table(spark, sf_dir, "events"))[0])
+
+
+@query("p14_profile_distribution", f"""SELECT 'event_type' AS "column", CAST(NULL AS DOUBLE) AS v_num, event_type AS v_str, count(*) AS n,
+    {r('count(*) * 100.0 / (SELECT count(*) FROM events)')} AS pct FROM events GROUP BY event_type""")
+def p14_distribution(spark, sf_dir):
+    _, columns = P.profile(table(spark, sf_dir, "events"))
+    return rounded(columns.select("column", F.explode("distribution").alias("d")).select("column", "d.*"))
+
+
+# Whole numbers beyond 2^53, where neighbours are the same double.
+LARGE = "(SELECT 9007199254740993 + o_orderkey AS id, 9007199254740993 + o_custkey % 5 AS code, o_custkey - 9007199254740993 AS below FROM orders)"
+
+
+def large(spark, sf_dir):
+    start = F.lit(9007199254740993)
+    return table(spark, sf_dir, "orders").select((start + F.col("o_orderkey")).alias("id"), (start + F.col("o_custkey") % 5).alias("code"),
+                                                 (F.col("o_custkey") - start).alias("below"))
+
+
+@query("p02_whole_number_profile", union(
+    f"""SELECT '{c}' AS "column", count({c}) AS n, min({c}) AS min, max({c}) AS max, CAST(max({c}) - min({c}) AS VARCHAR) AS range,
+    CAST(sum(CAST({c} AS HUGEINT)) AS VARCHAR) AS sum FROM {LARGE}""" for c in ("id", "code", "below")))
+def p02_whole(spark, sf_dir):
+    found = P.whole_number_profile(large(spark, sf_dir))
+    return found.withColumns({c: F.col(c).cast("string") for c in ("range", "sum")})     # decimals as text, which every reader compares exactly
+
+
+@query("p09_mode_whole", union(
+    f"""SELECT * FROM (SELECT '{c}' AS "column", {c} AS mode_long, CAST({c} AS DOUBLE) AS mode_num, CAST(NULL AS VARCHAR) AS mode_str, count(*) AS n
+    FROM {LARGE} GROUP BY {c} ORDER BY n DESC, {c} LIMIT 1)""" for c in ("id", "code", "below")))
+def p09_whole(spark, sf_dir):
+    return P.mode(large(spark, sf_dir), whole=True)
+
+
+@query("p11_value_distribution_whole", f"""SELECT 'code' AS "column", code AS v_long, CAST(code AS DOUBLE) AS v_num, CAST(NULL AS VARCHAR) AS v_str, count(*) AS n,
+    {r('count(*) * 100.0 / (SELECT count(*) FROM orders)')} AS pct FROM {LARGE} GROUP BY code""")
+def p11_whole(spark, sf_dir):
+    return rounded(P.value_distribution(large(spark, sf_dir), whole=True))
+
+
+@query("p12_example_value_whole", union(
+    f"""SELECT '{c}' AS "column", min({c}) AS lo_long, CAST(min({c}) AS DOUBLE) AS lo_num, CAST(NULL AS VARCHAR) AS lo_str FROM {LARGE}""" for c in ("id", "below")))
+def p12_whole(spark, sf_dir):
+    return P.example_value(large(spark, sf_dir), whole=True)
+
+
 @query("p15_correlation_matrix", union(
     f"SELECT '{a}' AS \"row\", '{b}' AS col, {r(f'corr({a}, {b})') if a != b else 'max(1.0::DOUBLE)'} AS r FROM lineitem"
     for a in LINE_NUMBERS[1:] for b in LINE_NUMBERS[1:]))

@@ -47,10 +47,10 @@ def is_missing():
     return F.coalesce(F.col("v_long").cast("string"), F.col("v_num").cast("string"), F.col("v_str")).isNull()
 
 
-def mode_order():
-    """Most frequent first, then the smallest value: the smallest struct is the mode."""
-    return F.when(~is_missing(), F.struct((-F.col("n")).alias("neg_n"), F.col("v_num"), F.col("v_long"),
-                                          F.col("v_str")))
+def mode_order(whole=False):
+    """Most frequent first, then the smallest value: the smallest struct is the mode. ``whole`` compares whole numbers before doubles."""
+    values = [F.col("v_long"), F.col("v_num")] if whole else [F.col("v_num"), F.col("v_long")]
+    return F.when(~is_missing(), F.struct((-F.col("n")).alias("neg_n"), *values, F.col("v_str")))
 
 
 def modes(df: DataFrame, columns) -> dict:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabloom.functions.expressions import (
-    col, double_array, num, numeric_columns, require_numeric, row_fingerprint,
+    INTEGRAL, col, double_array, num, numeric_columns, require_numeric, row_fingerprint,
 )
 from tabloom.functions.frequencies import is_missing, mode_order, value_counts
 from tabloom.functions.quantiles import exact_quantiles, long_numbers, quantiles_and_more
@@ -164,44 +164,76 @@ def zero_negative_profile(df: DataFrame, columns=None) -> DataFrame:
         F.coalesce("neg", F.lit(0)).alias("n_negative"), percent(F.col("neg"), F.col("rows")).alias("negative_pct"))
 
 
-def mode(df: DataFrame, columns=None) -> DataFrame:
-    """(column, mode_num, mode_str, n): most frequent value, the smallest on ties."""
-    best = value_counts(df, columns or df.columns).groupBy("column").agg(F.min(mode_order()).alias("m"))
-    return best.select("column", F.col("m.v_num").alias("mode_num"), F.col("m.v_str").alias("mode_str"),
-                       (-F.col("m.neg_n")).alias("n"))
+def of_every_column(df: DataFrame, names, found: DataFrame) -> DataFrame:
+    """One row per column name beside what was found for it, also for the columns of an empty table."""
+    labels = df.sparkSession.createDataFrame([(c,) for c in names], "`column` string")
+    return labels.join(F.broadcast(found), "column", "left")
+
+
+def mode(df: DataFrame, columns=None, whole=False) -> DataFrame:
+    """(column, mode_num, mode_str, n): most frequent value, the smallest on ties; nulls without values.
+
+    ``whole`` adds mode_long, the exact value in columns of whole numbers, which a double holds up to 2^53 only.
+    """
+    names = list(columns or df.columns)
+    best = value_counts(df, names).groupBy("column").agg(F.min(mode_order(whole)).alias("m"))
+    exact = [F.col("m.v_long").alias("mode_long")] if whole else []
+    return of_every_column(df, names, best).select(
+        "column", *exact, F.col("m.v_num").alias("mode_num"), F.col("m.v_str").alias("mode_str"), (-F.col("m.neg_n")).alias("n"))
 
 
 def distinct_count(df: DataFrame, columns=None, approx=False) -> DataFrame:
-    """(column, n_distinct), null counted as one value; ``approx`` uses a bounded sketch and no shuffle."""
-    names = columns or df.columns
+    """(column, n_distinct), null counted as one value; 0 for an empty table; ``approx`` uses a bounded sketch and no shuffle."""
+    names = list(columns or df.columns)
     if approx:
         values = df.select(*[col(c).cast("string").alias(f"c{i}") for i, c in enumerate(names)])
         wide = values.agg(*[
-            (F.coalesce(F.hll_sketch_estimate(F.hll_sketch_agg(f"c{i}", 14)), F.lit(0)) + F.max(F.col(f"c{i}").isNull().cast("int"))).alias(f"d{i}")
+            (F.coalesce(F.hll_sketch_estimate(F.hll_sketch_agg(f"c{i}", 14)), F.lit(0)) + F.coalesce(F.max(F.col(f"c{i}").isNull().cast("int")), F.lit(0))).alias(f"d{i}")
             for i in range(len(names))])
         return tidy(wide, [[("column", F.lit(c)), ("n_distinct", F.col(f"d{i}"))] for i, c in enumerate(names)])
-    return value_counts(df, names).groupBy("column").agg(F.count(F.lit(1)).alias("n_distinct"))
+    counted = value_counts(df, names).groupBy("column").agg(F.count(F.lit(1)).alias("n_distinct"))
+    return of_every_column(df, names, counted).select("column", F.coalesce("n_distinct", F.lit(0)).alias("n_distinct"))
 
 
-def value_distribution(df: DataFrame, columns=None, threshold=10) -> DataFrame:
+def value_distribution(df: DataFrame, columns=None, threshold=10, whole=False) -> DataFrame:
     """(column, v_num, v_str, n, pct) of the columns with at most ``threshold`` distinct values, null included.
 
-    The per-column totals come from the same shuffled counts, so the table is read and shuffled once.
+    The per-column totals come from the same shuffled counts, so the table is read and shuffled once. ``whole`` adds v_long, the
+    exact value in columns of whole numbers. An empty table has no values, so no rows.
     """
     counts = value_counts(df, columns or df.columns)
     totals = counts.groupBy("column").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("rows"))
     few = totals.filter(F.col("k") <= threshold).select("column", "rows")
+    exact = ["v_long"] if whole else []
     return (counts.join(F.broadcast(few), "column")
-            .select("column", "v_num", "v_str", "n", percent(F.col("n"), F.col("rows")).alias("pct"))
-            .orderBy("column", F.desc("n"), "v_num", "v_str"))
+            .select("column", *exact, "v_num", "v_str", "n", percent(F.col("n"), F.col("rows")).alias("pct"))
+            .orderBy("column", F.desc("n"), *exact, "v_num", "v_str"))
+
 
+def example_value(df: DataFrame, columns=None, threshold=10, whole=False) -> DataFrame:
+    """(column, lo_num, lo_str): the smallest value of the columns with more than ``threshold`` distinct values.
 
-def example_value(df: DataFrame, columns=None, threshold=10) -> DataFrame:
-    """(column, example): the smallest value, as text, of the columns with more than ``threshold`` distinct values."""
+    ``whole`` adds lo_long, the exact value in columns of whole numbers.
+    """
     counts = value_counts(df, columns or df.columns)
     per = counts.groupBy("column").agg(F.count(F.lit(1)).alias("k"), F.min("v_num").alias("lo_num"),
-                                       F.min("v_str").alias("lo_str"))
-    return per.filter(F.col("k") > threshold).select("column", "lo_num", "lo_str")
+                                       F.min("v_str").alias("lo_str"), F.min("v_long").alias("lo_long"))
+    return per.filter(F.col("k") > threshold).select("column", *(["lo_long"] if whole else []), "lo_num", "lo_str")
+
+
+def whole_number_profile(df: DataFrame, columns=None) -> DataFrame:
+    """(column, n, min, max, range, sum) of the columns of whole numbers, exact over all of bigint: range and sum are decimal(38, 0)."""
+    names = list(columns or [f.name for f in df.schema.fields if isinstance(f.dataType, INTEGRAL)])
+    wrong = [c for c in names if not isinstance(df.schema[c].dataType, INTEGRAL)]
+    if wrong:
+        raise ValueError(f"not columns of whole numbers: {wrong}")
+    long = df.select(F.posexplode(F.array(*[col(c).cast("bigint") for c in names])).alias("slot", "x")) if names else None
+    if long is None:
+        return df.sparkSession.createDataFrame([], "`column` string, n bigint, min bigint, max bigint, range decimal(38,0), sum decimal(38,0)")
+    x, wide = F.col("x"), "decimal(38,0)"
+    seen = long.groupBy("slot").agg(F.count(x).alias("n"), F.min(x).alias("min"), F.max(x).alias("max"), F.sum(x.cast("decimal(28,0)")).cast(wide).alias("sum"))
+    return named(df, names, seen).select("column", F.coalesce("n", F.lit(0)).alias("n"), "min", "max",
+                                         (F.col("max").cast("decimal(20,0)") - F.col("min").cast("decimal(20,0)")).cast(wide).alias("range"), "sum")
 
 
 PROFILE_SCHEMA = T.StructType(

@@ -12,6 +12,9 @@ NA_TOKENS = [
     "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 ]
 
+# Number texts; Spark's own cast would also take Java's suffixes, as in 1d or 2f.
+NUMBER = r"(?i)^\s*[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf|infinity|nan)\s*$"
+
 
 def read_table(spark: SparkSession, path: str, delimiter=",", schema: T.StructType | None = None,
                na_tokens=NA_TOKENS, multi_line=False) -> DataFrame:
@@ -43,7 +46,7 @@ def infer_types(raw: DataFrame) -> dict[str, T.DataType]:
         checks += [
             F.count_if(present).alias(f"n{i}"),
             F.count_if(present & (~col(c).rlike(r"^\s*[+-]?\d+\s*$") | F.expr(f"try_cast(`{c.replace('`', '``')}` as bigint)").isNull())).alias(f"l{i}"),
-            F.count_if(present & F.expr(f"try_cast(`{c.replace('`', '``')}` as double)").isNull()).alias(f"d{i}"),
+            F.count_if(present & (~col(c).rlike(NUMBER) | F.expr(f"try_cast(`{c.replace('`', '``')}` as double)").isNull())).alias(f"d{i}"),
             F.count_if(present & ~F.lower(col(c)).isin("true", "false")).alias(f"b{i}"),
         ]
     row = raw.agg(*checks).first()

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tabloom.functions import quantiles as Q
 from tabloom.operators import profile as P
 from tabloom.operators import validate as V
+from tabloom.sources.tables import infer_types
 
 
 @pytest.fixture(scope="module")
@@ -165,3 +166,32 @@ def test_cast_numeric_strict_and_lenient(spark):
         V.cast_numeric(df.withColumn("i", F.lit(None).cast("string")), {"i": "int"}).collect()
     with pytest.raises(ValueError, match="to_type"):
         V.cast_numeric(df, {"i": "text"})
+
+
+def test_columns_of_an_empty_table_have_rows(spark):
+    none = spark.createDataFrame([], "a bigint, b string")
+    assert sorted(tuple(r) for r in P.mode(none).collect()) == [("a", None, None, None), ("b", None, None, None)]
+    assert sorted(tuple(r) for r in P.distinct_count(none).collect()) == [("a", 0), ("b", 0)]
+    assert sorted(tuple(r) for r in P.distinct_count(none, approx=True).collect()) == [("a", 0), ("b", 0)]
+    assert P.value_distribution(none).collect() == []
+    assert [tuple(r) for r in P.whole_number_profile(none).collect()] == [("a", 0, None, None, None, None)]
+
+
+def test_whole_numbers_beyond_doubles(spark):
+    low, high = -(2 ** 63), 2 ** 63 - 1
+    rows = [(low,), (high,), (high,), (2 ** 53 + 1,), (2 ** 53,), (None,)]
+    found = spark.createDataFrame(rows, "a bigint")
+    assert tuple(P.mode(found, whole=True).first())[:2] == ("a", high)
+    r = P.whole_number_profile(found).first()
+    assert (r.n, r.min, r.max, int(r.range), int(r.sum)) == (5, low, high, high - low, sum(v for v, in rows if v is not None))
+    assert P.example_value(found, threshold=1, whole=True).first().lo_long == low
+    assert {(r.v_long, r.n) for r in P.value_distribution(found, whole=True).collect()} == {(low, 1), (high, 2), (2 ** 53 + 1, 1), (2 ** 53, 1), (None, 1)}
+    tied = spark.createDataFrame([(2 ** 53 + 1,), (2 ** 53,)], "a bigint")
+    assert P.mode(tied, whole=True).first().mode_long == 2 ** 53
+    with pytest.raises(ValueError):
+        P.whole_number_profile(spark.createDataFrame([(1.5,)], "x double"), ["x"])
+
+
+def test_inference_takes_no_java_suffixes(spark):
+    raw = spark.createDataFrame([("1d", "1.5", " 2e3 ", "inf", "1.", "7"), ("3D", ".5", "-1E-2", "NaN", "2", "8")], "a string, b string, c string, d string, e string, f string")
+    assert {c: t.simpleString() for c, t in infer_types(raw).items()} == {"a": "string", "b": "double", "c": "double", "d": "double", "e": "double", "f": "bigint"}
