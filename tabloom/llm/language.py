@@ -23,7 +23,8 @@ from tabloom.llm.rows import column
 from tabloom.llm.text import Words, byte_class, mix, pieces, prefix_hash, range_hash, runs, spread
 
 LETTERS = byte_class([*range(0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)])
-SLOTS = 1 << 16          # hashed weights per language
+SLOTS = 1 << 16          # hashed weights per language, numbered by 16 bits
+FIT_BYTES = 1 << 18      # texts of the sample whose features are found side by side
 PIECE_BYTES = 1 << 20    # texts labelled side by side; a longer text is labelled by itself, with about 60 bytes of memory a byte
 FIELDS = "lang string, score double, spans array<struct<start:int,end:int,lang:string>>, certainty double"
 
@@ -123,23 +124,32 @@ class Field:
 def fit(languages: list, texts: list, labels: list, rounds=4, batch=64, rate=0.3, seed=7) -> Field:
     """The field by Adagrad on the log-likelihood of the labels of joined half texts."""
     field, k = Field(languages), len(languages)
-    words = Words(pa.array(texts, pa.large_string()), LETTERS)
-    if not len(words.start):
+    sample = pa.RecordBatch.from_arrays([pa.array(texts, pa.large_string())], ["text"])
+    hashes, counts = zip(*[(w.hashes(), w.counts) for w in (Words(p.column(0), LETTERS) for p in pieces(sample, size=FIT_BYTES))]) if texts else ((), ())
+    if not sum(len(h) for h in hashes):
         return field
+    counts = np.concatenate(counts)
+    bounds_of = np.concatenate([[0], np.cumsum(counts)])
     label = np.array([languages.index(v) for v in labels], np.int64)
-    field.learn_lexicon(words.hashes(), np.repeat(label, words.counts))
-    word, slot, entry = field.features(words)
-    by_word = np.argsort(word, kind="stable")
-    slot, first = slot[by_word], np.searchsorted(word[by_word], np.arange(len(entry) + 1))
+    field.learn_lexicon(np.concatenate(hashes), np.repeat(label, counts))
+    slots, sizes, entries = [], [], []
+    for piece in pieces(sample, size=FIT_BYTES):
+        word, slot, entry = field.features(Words(piece.column(0), LETTERS))
+        slots.append(slot[np.argsort(word, kind="stable")].astype(np.uint16))
+        sizes.append(np.bincount(word, minlength=len(entry)))
+        entries.append(entry)
+    slot, entry = np.concatenate(slots), np.concatenate(entries)
+    first = np.concatenate([[0], np.cumsum(np.concatenate(sizes))])
+    del hashes, slots, sizes, entries, sample
     seen = [np.full(a.shape, 1e-2) for a in (field.weights, field.entries, field.pairs)]
     random = np.random.default_rng(seed)
     for _ in range(rounds):
         order = random.permutation(len(texts))
         for some in np.split(order, range(batch, len(order), batch)):
             other = random.permutation(some)
-            half = words.counts // 2
-            starts = np.stack([words.bounds[some], words.bounds[other] + half[other]], 1).ravel()
-            sizes = np.stack([half[some], words.counts[other] - half[other]], 1).ravel()
+            half = counts // 2
+            starts = np.stack([bounds_of[some], bounds_of[other] + half[other]], 1).ravel()
+            sizes = np.stack([half[some], counts[other] - half[other]], 1).ravel()
             at = spread(starts, sizes)
             if not len(at):
                 continue
