@@ -191,6 +191,38 @@ def test_knn_with_fewer_rows_than_neighbours_and_equal_points(spark):
     assert K.vote(near, "uniform").first()["__p"] == pytest.approx(1 / 3)
 
 
+@pytest.mark.parametrize("metric, p, width, most", [("mahalanobis", 2.0, 4, 0.15), ("chebyshev", 2.0, 3, 0.1), ("minkowski", 3.0, 12, 1.0)])
+def test_a_block_compares_few_pairs_and_finds_the_nearest(monkeypatch, metric, p, width, most):
+    """Copies of a point come in order of place; a limit of infinity or none leaves nothing out."""
+    rng = np.random.default_rng(8)
+    points, asked = rng.normal(size=(6000, width)), rng.normal(size=(300, width))
+    points[50:80], asked[:3] = points[7], points[7]
+    plain, compared = K.distances, []
+
+    def counting(a, b, *rest):
+        compared.append(len(a) * len(b))
+        return plain(a, b, *rest)
+    monkeypatch.setattr(K, "distances", counting)
+    where, best = K.nearest_rows(points, asked, np.where(np.arange(300) % 2, np.inf, np.nan), 4, metric, p)
+    every = plain(asked, points, metric, p)
+    want = np.argsort(every, axis=1, kind="stable")[:, :4]
+    assert (where == want).all() and np.allclose(best, np.take_along_axis(every, want, axis=1), rtol=1e-12)
+    assert where[0].tolist() == [7, 50, 51, 52]
+    assert sum(compared) < most * every.size
+
+
+def test_knn_join_asks_other_cells_and_knows_repeated_queries(spark):
+    """Queries at the edge of a cell, a query asked twice and one without a key."""
+    train = [(i, [float(i % 40), float(i // 40)]) for i in range(1600)]
+    queries = [(1, [19.5, 20.0]), (2, [0.0, 0.0]), (2, [0.0, 0.0]), (None, [39.0, 39.0])]
+    t, q = spark.createDataFrame(train, "id long, x array<double>"), spark.createDataFrame(queries, "qid long, x array<double>")
+    got = K.knn_join(q, t, 4, "manhattan", cells=64).collect()
+    near = {qid: sorted((r["distance"], r["id"]) for r in got if r["qid"] == qid) for qid in (1, 2, None)}
+    assert near[1] == [(0.5, 819), (0.5, 820), (1.5, 779), (1.5, 780)]
+    assert near[2] == [(0.0, 0), (0.0, 0), (1.0, 1), (1.0, 1)]
+    assert near[None] == [(0.0, 1599), (1.0, 1559), (1.0, 1598), (2.0, 1519)]
+
+
 def test_isotonic_calibration_is_monotone_and_calibrated(ready):
     svm = make_model("SVC", N).fit(ready)
     calibrated = calibrate_isotonic(svm, ready)
