@@ -2,6 +2,7 @@
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
@@ -63,9 +64,15 @@ def explain_local(model, rows: DataFrame, reference: DataFrame, features, key, s
         z[0] = 0.0
         return z
 
-    @F.pandas_udf("array<array<double>>")
-    def perturbed(mark: pd.Series, x: pd.Series) -> pd.Series:
-        return pd.Series([list(np.asarray(v) + noise(m) * spread) for m, v in zip(mark, x)])
+    @F.arrow_udf("array<array<double>>")
+    def perturbed(mark: pa.Array, x: pa.Array) -> pa.Array:
+        # flat numbers with offsets: no object for any of the perturbations
+        rows = x.flatten().to_numpy(zero_copy_only=False).reshape(len(x), d)
+        points = np.empty((len(x), samples, d))
+        for point, m, v in zip(points, mark.to_pylist(), rows):
+            point[:] = v + noise(m) * spread
+        points = pa.ListArray.from_arrays(np.arange(0, points.size + 1, d, dtype=np.int32), points.reshape(-1))
+        return pa.ListArray.from_arrays(np.arange(0, len(points) + 1, samples, dtype=np.int32), points)
 
     def fit(batches):
         for batch in batches:
@@ -83,10 +90,11 @@ def explain_local(model, rows: DataFrame, reference: DataFrame, features, key, s
 
     tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keyed = rows.select(col(key).cast("string").alias("key"), F.xxhash64(col(key).cast("string"), F.lit(seed)).alias("mark"),
-                        F.array(*[col(f).cast("double") for f in features]).alias("x")).repartition(tasks, "key", "mark")
+                        F.array(*[col(f).cast("double") for f in features]).alias("x")).repartition(tasks, "key", "mark").sortWithinPartitions("mark", "key")
     points = keyed.select("key", "mark", F.posexplode(perturbed("mark", "x")).alias("place", "x"))
     scored = model.transform(points.withColumn("features", array_to_vector("x")))
     scored = scored.select("key", "mark", "place", vector_to_array(F.col("probability"))[1].alias("p"))
-    lists = scored.groupBy("key", "mark").agg(F.array_sort(F.collect_list(F.struct("place", "p"))).alias("s"))
+    # the rows come in this order, so that sorting them for the groups, and in the lists, only passes over them
+    lists = scored.groupBy("mark", "key").agg(F.sort_array(F.collect_list(F.struct("place", "p"))).alias("s"))
     return lists.select("key", "mark", F.col("s.p").alias("p")).mapInPandas(
         fit, "key string, feature string, weight double, intercept double, r2 double")

@@ -320,6 +320,25 @@ def test_feature_importance_and_local_explanation(spark, ready):
     assert np.allclose(again.sort_values(["key", "feature"])["weight"], told.sort_values(["key", "feature"])["weight"])
 
 
+def test_explanation_sorts_scores_by_their_places_without_a_lambda(spark, ready, capsys):
+    """Weights are those of the definition, and no list is compared by an interpreted function a pair."""
+    model = make_model("LogisticRegression", N).fit(ready)
+    told = explain_local(model, ready.filter("id = 7"), ready, ["a", "b", "c"], "id", samples=150, seed=3)
+    told.explain()
+    assert "lambda" not in capsys.readouterr().out.lower()
+    told = {r["feature"]: r for r in told.collect()}
+    row = ready.filter("id = 7").selectExpr("a", "b", "c", "xxhash64(cast(id as string), 3) AS mark").first()
+    spread = ready.agg(*[F.stddev_pop(c) for c in "abc"]).first()
+    z = np.random.default_rng(abs(row["mark"])).normal(size=(150, 3))
+    z[0] = 0.0
+    x = np.array(row[:3]) + z * np.array(spread)
+    p = 1 / (1 + np.exp(-(x @ model.coefficients.toArray() + model.intercept)))
+    w = np.sqrt(np.exp(-(z ** 2).sum(axis=1) / (0.75 ** 2 * 3)))
+    zc, pc = z - np.average(z, axis=0, weights=w), p - np.average(p, weights=w)
+    want = np.linalg.solve((zc * w[:, None]).T @ zc + np.eye(3), (zc * w[:, None]).T @ pc)
+    assert np.allclose([told[c]["weight"] for c in "abc"], want)
+
+
 def test_training_run_individual_then_stacking(spark, planted):
     df = spark.createDataFrame(planted)
     train, test = df.filter("id % 4 <> 0"), df.filter("id % 4 = 0")
