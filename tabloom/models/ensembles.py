@@ -40,6 +40,26 @@ class VoteModel(Model, Columns, DefaultParamsReadable, DefaultParamsWritable):
         return scored.drop("__margin", *names, *[f"__raw{i}" for i in range(len(alphas))], *[f"__prob{i}" for i in range(len(alphas))])
 
 
+def with_x(rows):
+    return rows.withColumn("x", vector_to_array(F.col("features")))
+
+
+def tree_label(node, x):
+    """The class that a fitted tree gives, as one expression over the feature array ``x``.
+
+    Each round reads the rows several times and weighs them by all rounds since the last table, which MLlib's own columns
+    (three functions over vectors a tree) would make the work of."""
+    if node.subtreeDepth() == 0:
+        return F.lit(float(node.prediction()))
+    cut = node.split()
+    value = F.get(x, F.lit(cut.featureIndex()))
+    if cut.getClass().getSimpleName() == "ContinuousSplit":
+        left = value <= F.lit(float(cut.threshold()))
+    else:
+        left = value.isin([float(c) for c in cut.leftCategories()])
+    return F.when(left, tree_label(node.leftChild(), x)).otherwise(tree_label(node.rightChild(), x))
+
+
 class AdaBoost(BinaryEstimator, HasWeightCol):
     """Stumps fitted one after another, each on weights raised where the last one erred (SAMME)."""
 
@@ -59,15 +79,15 @@ class AdaBoost(BinaryEstimator, HasWeightCol):
         start = F.col(self.getWeightCol()) if self.isSet("weightCol") else F.lit(1.0)
         rows = materialize(df.select(F.col(features).alias("features"), F.col(label).cast("double").alias("label"),
                                      start.cast("double").alias("w")), "boost")
+        rows = with_x(rows)
         trees, alphas = [], []
         for i in range(self.getOrDefault("numTrees")):
             stump = DecisionTreeClassifier(
                 featuresCol="features", labelCol="label", weightCol="w", maxDepth=self.getOrDefault("maxDepth"),
                 seed=self.getOrDefault("seed"), predictionCol=f"__tree{i}", rawPredictionCol=f"__raw{i}", probabilityCol=f"__prob{i}")
             tree = stump.fit(rows)
-            judged = tree.transform(rows)
-            wrong = F.col(f"__tree{i}") != F.col("label")
-            totals = judged.agg(F.sum("w").alias("all"), F.coalesce(F.sum(F.when(wrong, F.col("w"))), F.lit(0.0)).alias("bad")).first()
+            wrong = tree_label(tree._java_obj.rootNode(), F.col("x")) != F.col("label")
+            totals = rows.agg(F.sum("w").alias("all"), F.coalesce(F.sum(F.when(wrong, F.col("w"))), F.lit(0.0)).alias("bad")).first()
             error = totals["bad"] / totals["all"]
             if error >= 0.5:
                 if not trees:
@@ -80,9 +100,9 @@ class AdaBoost(BinaryEstimator, HasWeightCol):
                 break
             # Raised where wrong, and brought back to a total of one row each on average.
             scale = totals["all"] / (totals["all"] - totals["bad"] + totals["bad"] * math.exp(alpha))
-            rows = judged.select("features", "label", (F.col("w") * F.when(wrong, math.exp(alpha)).otherwise(1.0) * scale).alias("w"))
+            rows = rows.select("features", "x", "label", (F.col("w") * F.when(wrong, math.exp(alpha)).otherwise(1.0) * scale).alias("w"))
             if (i + 1) % ROUNDS_PER_TABLE == 0:
-                rows = materialize(rows, "boost")
+                rows = with_x(materialize(rows.drop("x"), "boost"))
         for tree in trees:
             tree.setFeaturesCol(features)
         vote = VoteModel()

@@ -339,6 +339,15 @@ def test_explanation_sorts_scores_by_their_places_without_a_lambda(spark, ready,
     assert np.allclose([told[c]["weight"] for c in "abc"], want)
 
 
+@pytest.mark.parametrize("depth", [1, 3])
+def test_a_trees_label_as_an_expression_is_its_prediction(ready, depth):
+    from pyspark.ml.classification import DecisionTreeClassifier
+    from tabloom.models.ensembles import tree_label, with_x
+    tree = DecisionTreeClassifier(maxDepth=depth).fit(ready)
+    both = tree.transform(with_x(ready)).withColumn("mine", tree_label(tree._java_obj.rootNode(), F.col("x")))
+    assert both.filter("NOT mine <=> prediction").count() == 0 and both.select("mine").distinct().count() == 2
+
+
 def test_training_run_individual_then_stacking(spark, planted):
     df = spark.createDataFrame(planted)
     train, test = df.filter("id % 4 <> 0"), df.filter("id % 4 = 0")
