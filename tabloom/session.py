@@ -7,6 +7,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def local_session(cores="8", app="tabloom", driver_memory="8g", shuffle_partitions=None) -> SparkSession:
     """A local session for tests and the bench; a cluster brings its own."""
@@ -52,11 +54,17 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back.
 
-    Unlike a cache it survives lost executors, and later scans read only the columns they need.
+    Unlike a cache it survives lost executors, and later scans read only the columns they need. The shuffle files of the write are of no use
+    after it: Spark is told to delete them then, so a chain of tables needs the disk of one shuffle at a time.
     """
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, label)
+    before = spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def with_row_id(df: DataFrame, name="__id") -> DataFrame:
