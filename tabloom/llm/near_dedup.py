@@ -8,7 +8,8 @@ chunk with every choice of so many places left out is a key, and all pairs withi
 expanded: in each turn a text is compared with one or a few (``TURNS``) representatives of its buckets that are not in its component
 yet, so a turn makes at most so many pairs a text. After them, members of buckets that still hold several components are split by their rarest
 shingles: two similar sets share one of them, near enough to the front of both. A pair under such a shingle is held to the distance, which means a
-shared bucket. Links are confirmed on the full sets, and components come from alternating large and small stars on written tables.
+shared bucket, and to a lower bound of how many shingles the two sets differ by, from the parity of the shingles in each of ``PARITY`` slots.
+Links are confirmed on the full sets, and components come from alternating large and small stars on written tables.
 
 Defined results: null, empty and blank texts have an empty set and are components of their own; shorter texts are one
 shingle; a null key is left out of the smallest key of its component, and is not kept; repeated rows are members of one
@@ -32,7 +33,8 @@ from tabloom.session import materialize
 HASHES, BITS, CHUNKS, MISSED = 32, 15, 5, 2e-5
 SALTS = 8
 SLOTS = 1 << 20          # counts of shingles, sent to all tasks: 8 MB
-TURNS = (1, 1, 16)  # representatives that a text is compared with in each turn
+PARITY = 1024            # slots whose parities travel with a rare shingle: 128 bytes
+TURNS = (1, 1, 4)  # representatives that a text is compared with in each turn
 SKETCH = "n long, digest binary, signature array<short>"
 FACTORS = mix(np.arange(1, HASHES + 1, dtype=np.uint64)) | np.uint64(1)
 
@@ -175,7 +177,7 @@ def close(percent: int, distance: int):
 
 
 def rare_shingles(members: DataFrame, percent: int) -> DataFrame:
-    """(item, id, part, place, n): of each member the shingles that a similar one must share one of, by place from the rarest on.
+    """(item, id, part, place, n, parity): of each member the shingles that a similar one must share one of, by place from the rarest on.
 
     All sets are put in one order, by how often a shingle's slot is used, then by hash. A set of n shingles shares ceil(``percent`` * n / 100)
     with a similar one, so one of its first n - that + 1. The ``SLOTS`` counts, sent to all tasks, only choose the order: any one loses nothing.
@@ -198,19 +200,37 @@ def rare_shingles(members: DataFrame, percent: int) -> DataFrame:
             place = np.arange(len(row)) - (np.cumsum(n) - n)[row]
             kept = np.flatnonzero((place <= n[row] - -(-percent * n[row] // 100)) & (uses > 1))
             at = pa.array(row[kept])
-            yield pa.RecordBatch.from_arrays([pa.array(items[kept]), batch.column(0).take(at), batch.column(1).take(at), pa.array(place[kept]), pa.array(n[row[kept]])],
-                                             names=["item", "id", "part", "place", "n"])
+            words = parities(items, row, len(n))[row[kept]]
+            yield pa.RecordBatch.from_arrays([pa.array(items[kept]), batch.column(0).take(at), batch.column(1).take(at), pa.array(place[kept]), pa.array(n[row[kept]]),
+                                              nested(words.ravel(), np.full(len(kept), words.shape[1]), pa.int64())],
+                                             names=["item", "id", "part", "place", "n", "parity"])
 
-    return members.mapInArrow(run, "item long, id long, part long, place long, n long")
+    return members.mapInArrow(run, "item long, id long, part long, place long, n long, parity array<long>")
+
+
+def parities(items: np.ndarray, row: np.ndarray, rows: int) -> np.ndarray:
+    """For each row, in ``PARITY`` bits, whether an odd number of its items fall into a slot.
+
+    An item that only one of two sets has changes one bit, one of both changes none: the bits that differ are at most the items that do.
+    """
+    slot = (mix(items.view(np.uint64)) % np.uint64(PARITY)).astype(np.int64)
+    out = np.zeros(rows * PARITY // 64, np.uint64)
+    np.bitwise_xor.at(out, row * (PARITY // 64) + slot // 64, np.uint64(1) << (slot % 64).astype(np.uint64))
+    return out.view(np.int64).reshape(rows, -1)
 
 
 def under_rare_shingles(rare: DataFrame, percent: int) -> DataFrame:
-    """(a, b): members of different components with a rare shingle in common, from which on both have enough shingles left.
+    """(a, b): members of different components with a rare shingle in common, from which on both have enough shingles left, and whose
+    parities do not show them to differ in too many.
 
-    The first shingle that a similar pair has in common is such a one, as all that they share stands behind it in both.
+    The first shingle that a similar pair has in common is such a one, as all that they share stands behind it in both. Similar sets differ
+    in at most (100 - ``percent``) / (100 + ``percent``) of the sum of their sizes.
     """
-    sides = [rare.select("item", *[F.col(c).alias(f"{c}_{side}") for c in ("part", "place", "n")], F.col("id").alias(side)) for side in ("a", "b")]
-    enough = F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b")) * (100 + percent) >= percent * (F.col("n_a") + F.col("n_b"))
+    sides = [rare.select("item", *[F.col(c).alias(f"{c}_{side}") for c in ("part", "place", "n", "parity")], F.col("id").alias(side)) for side in ("a", "b")]
+    total = F.col("n_a") + F.col("n_b")
+    enough = F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b")) * (100 + percent) >= percent * total
+    differing = sum(F.bit_count(F.col("parity_a")[k].bitwiseXOR(F.col("parity_b")[k])) for k in range(PARITY // 64))
+    enough &= differing * (100 + percent) <= (100 - percent) * total
     return sides[0].join(sides[1], "item").filter((F.col("a") < F.col("b")) & (F.col("part_a") != F.col("part_b")) & enough).select("a", "b").distinct()
 
 

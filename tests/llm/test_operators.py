@@ -343,6 +343,18 @@ def test_near_copies_that_never_link_make_no_pairs(spark):
     assert {(i, 1000 + i) for i in range(0, 60, 6)} <= set(map(tuple, pairs)) and len(pairs) < 200
 
 
+def test_sets_a_little_too_far_apart_make_no_pairs(spark):
+    """A large group of sets just below the similarity, all with rare shingles in common: pairs grow with the links, not with the square."""
+    rng = random.Random(4)
+    base = rng.sample(range(1 << 60), 110)
+    sets = [[x for x in base if x not in set(rng.sample(base, 9))] + rng.sample(range(1 << 60), 2) for _ in range(120)]
+    sets += [s[1:] for s in sets[:10]]
+    table = spark.createDataFrame([(i, i, s) for i, s in enumerate(sets)], "id long, part long, items array<long>").repartition(3)
+    pairs = set(map(tuple, near_dedup.under_rare_shingles(near_dedup.rare_shingles(table, 85), 85).collect()))
+    links = {(a, b) for b in range(len(sets)) for a in range(b) if 100 * len(set(sets[a]) & set(sets[b])) >= 85 * len(set(sets[a]) | set(sets[b]))}
+    assert links <= pairs and {(i, 120 + i) for i in range(10)} <= links and len(pairs) < 120 * 119 / 2 / 4
+
+
 @pytest.mark.parametrize("percent", [60, 85, 100])
 def test_rare_shingles_lose_no_similar_pair(spark, percent):
     rng = random.Random(percent)
