@@ -287,6 +287,24 @@ def test_toxicity_counts_the_sample_of_each_class(spark):
     assert toxicity.score_toxicity(docs.filter("false"), bounded, into="t").collect() == []
 
 
+def test_toxicity_counts_every_labelled_row(spark):
+    """More rows of a class than the former sample: the last of them in md5 order teaches the one word that tells; the table of words and pairs that are
+    not sent gives the same scores."""
+    order = sorted(range(8_300), key=lambda i: hashlib.md5(str(i).encode()).hexdigest())
+    told = set(order[8_200:])
+    rows = [(i, f"plain w{i % 7} " + ("grim" if i in told else "calm"), 1) for i in range(8_300)] + [(9_000 + i, f"plain w{i % 7} calm", 0) for i in range(300)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    asked = spark.createDataFrame([(0, "grim"), (1, "calm"), (2, "calm w1 unseen grim"), (3, None), (4, "")], "doc_id long, text string")
+    got = []
+    for part_rows in (1_000_000, 6):
+        models = toxicity.fit_models(docs, labels, F.col("doc_id") % 50 == 1, part_rows=part_rows)
+        assert (models.rest is not None) == (part_rows == 6)
+        got.append({r.doc_id: tuple(r.t) for r in toxicity.score_toxicity(asked, models, into="t").collect()})
+    assert got[0][0][2] > got[0][1][2] + 0.3
+    assert got[0].keys() == got[1].keys() and all(np.allclose(got[0][k], got[1][k]) for k in got[0])
+
+
 def test_lists_are_read_only_as_far_as_needed():
     """Skewed lists stop at the first depths, with the answer of all scores; lists without skew are read on."""
     rng = np.random.default_rng(5)
