@@ -17,7 +17,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabloom.llm.annotate import annotate
@@ -219,14 +219,14 @@ def remove_repeats(docs: DataFrame, key="doc_id", text="text", length=200, bucke
     found = annotate(rows, lambda: lambda texts: find_anchors(texts, length), ANCHORS, "a", keep=[ROW])
     anchors = materialize(found.select(F.col(ROW).alias("row"), F.explode("a.anchors").alias("x")).select("row", "x.*"), "anchors")
     contexts = anchors.groupBy("anchor", "context").agg(F.count("*").alias("n"), F.min(F.struct("row", "pos")).alias("first"))
-    contexts = materialize(contexts, "contexts")
-    several = contexts.groupBy("anchor").agg(F.count("*").alias("different")).filter("different > 1")
+    contexts = contexts.withColumn("different", F.count("*").over(Window.partitionBy("anchor")))
+    contexts = materialize(contexts.filter("n > 1 OR different > 1"), "contexts")      # most anchors occur once and are not written again
     whole = anchors.join(contexts.filter("n > 1").select("anchor", "context"), ["anchor", "context"], "left_semi")
     sizes = rows.select(F.col(ROW).alias("row"), F.octet_length("text").alias("size"))
     left, right = F.greatest(F.col("pos") + GRAM - length, F.lit(0)), F.least(F.col("pos") + length, "size")
-    whole = whole.join(sizes, "row").select("row", left.cast("int").alias("start"), right.cast("int").alias("end"))
+    whole = materialize(whole.join(sizes, "row").select("row", left.cast("int").alias("start"), right.cast("int").alias("end")), "whole")
     blocks = F.ceil(F.col("different") / bucket)
-    wanted = contexts.join(several, "anchor").select(
+    wanted = contexts.filter("different > 1").select(
         "first.row", F.struct("anchor", F.xxhash64("anchor", F.pmod(F.xxhash64("context"), blocks)).alias("bucket"), (blocks > 1).alias("split"), "first.pos").alias("w"))
     wanted = materialize(wanted, "wanted")
     buckets = F.pmod("bucket", F.lit(max(1, wanted.count() // bucket)))
@@ -239,7 +239,7 @@ def remove_repeats(docs: DataFrame, key="doc_id", text="text", length=200, bucke
     across = strings.filter("NOT repeated").groupBy("hash").agg(F.min(place).alias("low"), F.max(place).alias("high")).filter("low != high").select("hash")
     more = strings.filter("NOT repeated").join(across, "hash", "left_semi")
     spans = whole.union(strings.filter("repeated").select("row", "start", "end")).union(more.select("row", "start", "end")).distinct()
-    spans = spans.groupBy("row").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    spans = materialize(spans.groupBy("row").agg(F.collect_list(F.struct("start", "end")).alias("spans")), "spans")
     joined = rows.select(F.col(ROW).alias("row"), "key", "text").join(spans, "row", "left").select("key", "text", "spans")
     kind = rows.schema["key"].dataType.simpleString()
     return joined.mapInArrow(rewritten, f"key {kind}, n_bytes long, n_removed long, removed array<struct<start:int,end:int>>, kept_sha256 string, kept binary").withColumnRenamed("key", key)

@@ -341,6 +341,19 @@ def test_decontamination_mixing_and_secrets_on_edges(spark, docs):
     assert secrets.scan_secrets(empty(docs)).count() == 0
 
 
+def test_repeats_write_no_anchor_that_occurs_once(spark, monkeypatch, tmp_path):
+    """Texts of their own beside a passage in two of them: only contexts around the passage are written again; no write leaves shuffle files."""
+    rng, seen = random.Random(3), {}
+    text = lambda n: "".join(rng.choices("abcdefgh ", k=n))
+    passage = text(400)
+    docs = spark.createDataFrame([(i, text(3000)) for i in range(20)] + [(100 + i, text(600) + passage + text(600)) for i in range(2)], "doc_id long, text string")
+    write = repeats.materialize
+    monkeypatch.setattr(repeats, "materialize", lambda df, label: seen.setdefault(label, write(df, label)))
+    got = {r.doc_id: r.n_removed for r in repeats.remove_repeats(docs).collect()}
+    assert all(n >= 400 for k, n in got.items() if k >= 100) and not any(n for k, n in got.items() if k < 100)
+    assert 0 < seen["contexts"].count() < 40 < 500 < seen["anchors"].count()
+
+
 def test_near_copies_that_never_link_make_no_pairs(spark):
     """Texts that share four fifths of their words with all others, and pairs among them that do link: only those meet."""
     rng = random.Random(8)
