@@ -14,7 +14,7 @@ from tabloom.models.stacking import stack_features, stack_fit
 from tabloom.models.tuning import SCORING, fold_rows, search, search_folded
 from tabloom.operators.sample import split
 from tabloom.plans.training import evaluate, predict, run_training
-from tabloom.session import scratch_path
+from tabloom.session import materialize, scratch_path
 from tabloom.sources.models import load_model, save_model
 
 FEATURES = ["price", "month", "customer", "is_open"]
@@ -221,6 +221,7 @@ def register_stack(key, how, **params):
     @query(key)
     def stack(spark, sf_dir):
         train, test = learning_parts(spark, sf_dir)
+        train = materialize(train.select("features", "label"), "train")      # a dozen passes of the models read it
         return evaluate(how, stack_fit(base_models(train), train, how, 42, **params), train, test)
 
 
