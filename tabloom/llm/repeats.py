@@ -5,8 +5,9 @@ among its grams. So every such string lies in the context of an anchor, a gram t
 Anchors that occur once in the corpus are dropped. Contexts that occur more than once are repeated as a whole. Of
 the others, one for each different context of an anchor, the suffixes are put in order by linear grouping (``suffix_order``); neighbours
 with the same first ``length`` bytes are repeated strings, if they stand at different places. An anchor with very many
-different contexts is cut into blocks, whose strings are compared once more by hash over all blocks. Before the order, contexts are cut down to
-the bytes that repeated strings can lie in, and of equal ones one is ordered. Documents are rewritten last.
+different contexts is cut into blocks; a string that is repeated in its block is told once, and those that are not are compared once more by
+hash over all blocks. Before the order, contexts are cut down to the bytes that repeated strings can lie in, of equal ones one is ordered, and
+what all strings of an anchor's contexts hold around it is one symbol. Documents are rewritten last.
 
 Defined results: null and empty texts have no bytes and keep the hash of nothing; texts shorter than ``length`` lose nothing; a repeat inside
 one text counts, overlapping itself too; repeated rows remove each other, as all occurrences go; null keys are keys like others;
@@ -29,6 +30,7 @@ from tabloom.session import materialize
 GRAM = 64
 BUCKET = 2048            # contexts whose suffixes are ordered together, on average; more of one anchor are cut into blocks
 PIECE_BYTES = 1 << 20    # texts searched for anchors together; a longer text by itself, with about 80 bytes of memory a byte
+PACK = 6                 # bytes a symbol behind the core: 9 bits each, so that the end of a range is less than any byte
 STEP = 4                 # bytes by which the tests of a context's strings are apart
 LOW = np.uint64((1 << 32) - 1)
 ANCHORS = "anchors array<struct<anchor:long,context:long,pos:int>>"
@@ -92,7 +94,7 @@ def cut_contexts(length: int):
 
 
 def order_bucket(length: int):
-    """Repeated strings of a bucket's contexts as (row, start, end); every string of a split anchor with its hash, for the other blocks."""
+    """Repeated strings of a bucket's contexts as (row, start, end); each different string of a split anchor with its hash, for the other blocks."""
     def run(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
         pick = lambda c: table.column(c).to_numpy(zero_copy_only=False)
@@ -102,25 +104,21 @@ def order_bucket(length: int):
         first, last = extents(prefix, offsets, at, anchor, length)
         first, last = np.where(split, offsets[:-1], first), np.where(split, offsets[1:], last)
         hopeful = last - first >= length
-        first, last, row, split = first[hopeful], last[hopeful], row[hopeful], split[hopeful]
+        gram = (offsets[:-1] + at)[hopeful]
+        first, last, row, split, anchor = first[hopeful], last[hopeful], row[hopeful], split[hopeful], anchor[hopeful]
         start = start[hopeful] + first - offsets[:-1][hopeful]
         same, alone = copies(data, first, last, row, start, split)
         copied = result(np.zeros(len(same), np.int64), row[same], start[same], start[same] + (last - first)[same], np.ones(len(same), bool))
-        texts = [data[a:b] for a, b in zip(first[alone].tolist(), last[alone].tolist())]
-        row, start, split = row[alone], start[alone], split[alone]
-        sizes = np.array([len(t) for t in texts], np.int64)
-        if not len(texts):
+        if not len(alone):
             return copied
-        symbols = np.zeros(int(sizes.sum()) + len(texts) + 1, np.int64)     # each context ends in a 1, the whole in a 0
-        begin = np.cumsum(sizes + 1) - sizes - 1
-        symbols[spread(begin, sizes)] = np.concatenate(texts).astype(np.int64) + 2
-        symbols[begin + sizes] = 1
+        first, row, start, split = first[alone], row[alone], start[alone], split[alone]
+        symbols, begin, left = core_symbols(data, prefix, first, last[alone], gram[alone], anchor[alone], length)
         order = np.array(suffix_order(symbols.tolist()), np.int64)
-        owner = np.minimum(np.searchsorted(begin, order, "right") - 1, len(texts) - 1)
+        owner = np.searchsorted(begin, order, "right") - 1
         inside = order - begin[owner]
-        whole = inside + length <= sizes[owner]
-        order, owner, inside = order[whole], owner[whole], inside[whole]
-        hashes = range_hash(prefix_hash(symbols.astype(np.uint8)), order, order + length)
+        whole = (inside <= left[owner]) & (inside + length <= (last[alone] - first)[owner])     # what begins behind a core holds none
+        owner, inside = owner[whole], inside[whole]
+        hashes = range_hash(prefix, first[owner] + inside, first[owner] + inside + length)
         row, where, split = row[owner], start[owner] + inside, split[owner]
         firsts, lengths = runs(hashes)
         number = np.repeat(np.arange(len(firsts)), lengths)
@@ -132,12 +130,42 @@ def order_bucket(length: int):
         first = np.flatnonzero(fresh)
         last = np.concatenate([first[1:], [len(at)]])[:len(first)] - 1      # overlapping strings as one span
         none = np.zeros(len(first), np.int64)
-        ordered = result(np.concatenate([none, hashes[split].view(np.int64)]), np.concatenate([own[first], row[split]]), np.concatenate([at[first], where[split]]),
-                         np.concatenate([at[last], where[split]]) + length, np.concatenate([none == 0, np.zeros(int(split.sum()), bool)]))
+        told = split & (~repeated | (np.arange(len(split)) == firsts[number]))      # a string repeated here is told once, as an empty span
+        end = np.where(repeated, where, where + length)
+        ordered = result(np.concatenate([none, hashes[told].view(np.int64)]), np.concatenate([own[first], row[told]]), np.concatenate([at[first], where[told]]),
+                         np.concatenate([at[last] + length, end[told]]), np.concatenate([none == 0, np.zeros(int(told.sum()), bool)]))
         return pa.concat_tables([copied, ordered])
     return run
 
 
+def core_symbols(data, prefix, first, last, gram, anchor, length: int):
+    """(symbols to order, where each range begins in them, symbols of each range before its core).
+
+    Strings that repeat hold their anchor's gram at the same place, so they hold what all strings in the anchor's ranges hold around it, too. This
+    core is one symbol, one for each different core of an anchor. The bytes before it are symbols as they are. Those behind it are compared from the
+    core on only, so ``PACK`` of them are one symbol, whose order is theirs: strings that end inside a symbol are neighbours all the same.
+    """
+    _, group = np.unique(anchor, return_inverse=True)
+    low, high = np.full(group.max() + 1, GRAM - length), np.full(group.max() + 1, length)
+    np.maximum.at(low, group, last - gram - length)
+    np.minimum.at(high, group, first - gram + length)
+    core, after = gram + low[group], gram + high[group]
+    _, number = np.unique(mix(range_hash(prefix, core, after) + anchor.view(np.uint64)), return_inverse=True)
+    left, right = core - first, last - after
+    packed = -(-right // PACK)
+    sizes = left + 1 + packed
+    begin = np.cumsum(sizes + 1) - sizes - 1
+    symbols = np.zeros(int(sizes.sum()) + len(sizes) + 1, np.int64)     # each range ends in a 1, the whole in a 0
+    symbols[spread(begin, left)] = data[spread(first, left)].astype(np.int64) + 2
+    symbols[begin + left] = number + 258
+    behind, ends, value = np.repeat(after, packed) + PACK * spread(np.zeros_like(packed), packed), np.repeat(last, packed), np.zeros(int(packed.sum()), np.int64)
+    for k in range(PACK):
+        value = value << 9 | np.where(behind + k < ends, data[np.minimum(behind + k, len(data) - 1)].astype(np.int64) + 1, 0)
+    symbols[spread(begin + left + 1, packed)] = value
+    symbols[begin + sizes] = 1
+    return symbols, begin, left
+
+
 def flat_bytes(chunked):
     array = (pa.concat_arrays(chunked.chunks) if chunked.num_chunks else pa.array([], pa.binary())).cast(pa.large_binary())
     _, offsets, data = array.buffers()
@@ -237,7 +265,7 @@ def remove_repeats(docs: DataFrame, key="doc_id", text="text", length=200, bucke
     strings = materialize(strings, "strings")
     place = F.struct("row", "start")
     across = strings.filter("NOT repeated").groupBy("hash").agg(F.min(place).alias("low"), F.max(place).alias("high")).filter("low != high").select("hash")
-    more = strings.filter("NOT repeated").join(across, "hash", "left_semi")
+    more = strings.filter("NOT repeated AND end > start").join(across, "hash", "left_semi")
     spans = whole.union(strings.filter("repeated").select("row", "start", "end")).union(more.select("row", "start", "end")).distinct()
     spans = materialize(spans.groupBy("row").agg(F.collect_list(F.struct("start", "end")).alias("spans")), "spans")
     joined = rows.select(F.col(ROW).alias("row"), "key", "text").join(spans, "row", "left").select("key", "text", "spans")

@@ -395,3 +395,51 @@ def test_rare_shingles_lose_no_similar_pair(spark, percent):
     pairs = set(map(tuple, near_dedup.under_rare_shingles(near_dedup.rare_shingles(table, percent), percent).collect()))
     want = {(a, b) for b in range(len(sets)) for a in range(b) if 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])}
     assert want <= pairs and len(want) >= 10
+
+
+def test_repeats_order_what_an_anchors_strings_share_as_one_symbol(monkeypatch):
+    """Two near copies of a context: few symbols are ordered, and the repeated strings are those of the bytes."""
+    rng, ordered = random.Random(5), []
+    text = lambda n: "".join(rng.choices("abcdefgh ", k=n)).encode()
+    shared = text(232)
+    contexts = [text(46) + shared + text(58), text(46) + shared + text(58)]      # the gram is at 136, the shared bytes are 46 to 278
+    order = repeats.suffix_order
+    monkeypatch.setattr(repeats, "suffix_order", lambda s: ordered.append(len(s)) or order(s))
+    got = repeats.order_bucket(200)(bucket_of(contexts, split=False)).to_pylist()
+    assert sorted((r["row"], r["start"], r["end"]) for r in got) == [(0, 46, 278), (1, 46, 278)]
+    assert sum(ordered) < 120
+
+
+def bucket_of(contexts, split):
+    n = len(contexts)
+    kinds = {"anchor": pa.int64(), "bucket": pa.int64(), "split": pa.bool_(), "row": pa.int64(), "start": pa.int32(), "at": pa.int32(), "data": pa.binary()}
+    values = [[7] * n, [7] * n, [split] * n, list(range(n)), [0] * n, [136] * n, contexts]
+    return pa.table([pa.array(v, t) for v, t in zip(values, kinds.values())], names=list(kinds))
+
+
+def test_repeats_of_a_block_are_told_once():
+    """Contexts of a split anchor: other blocks learn a string that is repeated in its block from one row, the others from theirs."""
+    rng = random.Random(6)
+    text = lambda n: "".join(rng.choices("abcdefgh ", k=n)).encode()
+    shared = text(236)
+    contexts = [text(99) + b"%d" % i + shared for i in range(6)]
+    told = [r for r in repeats.order_bucket(200)(bucket_of(contexts, split=True)).to_pylist() if not r["repeated"]]
+    once = [r for r in told if r["end"] == r["start"]]
+    assert len(once) == 37 and sum(r["end"] > r["start"] for r in told) == 6 * 100 and len({r["hash"] for r in told}) == 637
+
+
+@pytest.mark.parametrize("bucket", [2, 2048])
+def test_repeats_around_passages_in_many_surroundings(spark, bucket):
+    """Passages, near copies and periods among texts of their own, against brute force."""
+    rng, rows = random.Random(9), []
+    text = lambda n, letters="abcdefgh ": "".join(rng.choices(letters, k=n))
+    passage = text(500)
+    for i in range(30):
+        at, changed = rng.randint(0, 499), passage
+        if i % 3:
+            changed = passage[:at] + "#" * (i % 3) + passage[at + 1:]
+        rows.append((i, text(rng.randint(0, 90)) + changed[rng.randint(0, 80):] + text(rng.randint(0, 90)) + text(i % 4, "x") * 70))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    count = Counter(t[i:i + 200] for _, t in rows for i in range(len(t) - 199))
+    want = {k: len({x for i in range(len(t) - 199) if count[t[i:i + 200]] > 1 for x in range(i, i + 200)}) for k, t in rows}
+    assert {r.doc_id: r.n_removed for r in repeats.remove_repeats(docs, bucket=bucket).collect()} == want
