@@ -47,31 +47,34 @@ class Windows:
 
     def hits(self, texts: pa.Array):
         """(words per text, flags of all words, text and item numbers of the hits, without repeats)."""
-        counts, symbols = [], []
+        counts, sequence, places, n_words = [], [], [], 0
         for piece in pieces(pa.RecordBatch.from_arrays([texts], ["text"])):
             words = Words(piece.column(0), LETTERED)
             hashes = words.hashes()
             found = np.minimum(np.searchsorted(self.alphabet, hashes), max(0, len(self.alphabet) - 1))
-            symbols.append(np.where(self.alphabet[found] == hashes, found + 1, 0) if len(self.alphabet) else np.zeros(len(hashes), np.int64))
+            symbols = np.where(self.alphabet[found] == hashes, found + 1, 0) if len(self.alphabet) else np.zeros(len(hashes), np.int64)
+            where = self.stretches(symbols, words.row())     # of a piece only what can hold a window is kept
+            sequence.append(np.where(where >= 0, symbols[where], 0) if len(where) else where)
+            places.append(np.where(where >= 0, where + n_words, -1))
             counts.append(words.counts)
-        counts, symbols = np.concatenate(counts), np.concatenate(symbols)
-        rows = np.repeat(np.arange(len(counts)), counts)
-        marks = np.zeros(len(symbols) + 1, np.int64)
+            n_words += len(symbols)
+        counts, sequence, where = np.concatenate(counts), np.concatenate(sequence), np.concatenate(places)
+        bounds = np.concatenate([[0], np.cumsum(counts)])
+        marks = np.zeros(n_words + 1, np.int32)
         pairs = np.zeros((0, 2), np.int64)
-        where = self.stretches(symbols, rows)
         if len(where):
-            index = FMIndex(np.where(where >= 0, symbols[where], 0))
+            index = FMIndex(sequence)
             for n, matrix in self.matrices.items():
                 low, high = index.search(matrix)
                 each = high - low
                 at = where[index.locate(spread(low, each))]
                 np.add.at(marks, at, 1)
                 np.add.at(marks, at + n, -1)
-                window = np.unique(np.repeat(np.arange(len(matrix)), each) + len(matrix) * rows[at])
+                window = np.unique(np.repeat(np.arange(len(matrix)), each) + len(matrix) * (np.searchsorted(bounds, at, "right") - 1))
                 sizes = np.array([len(self.owners[n][w]) for w in window % len(matrix)], np.int64)
                 items = np.concatenate([self.owners[n][w] for w in window % len(matrix)] or [np.zeros(0, np.int64)])
                 pairs = np.concatenate([pairs, np.stack([np.repeat(window // len(matrix), sizes), items], 1).astype(np.int64)])
-        return counts, np.cumsum(marks[:-1]) > 0, np.unique(pairs, axis=0)
+        return counts, np.cumsum(marks[:-1], dtype=np.int32) > 0, np.unique(pairs, axis=0)
 
     def stretches(self, symbols, rows) -> np.ndarray:
         """Word numbers of the stretches of test words that can hold a window, each followed by -1."""

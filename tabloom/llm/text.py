@@ -6,7 +6,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 
-PIECE = 4 << 20          # bytes of text looked at together; a longer text is a piece of its own
+PIECE = 1_000_000        # bytes of text looked at together, whose tables of powers have 2**20 numbers; a longer text is a piece of its own
 BASE = np.uint64(0x9E3779B97F4A7C15)
 
 

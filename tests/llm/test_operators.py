@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -443,3 +444,15 @@ def test_repeats_around_passages_in_many_surroundings(spark, bucket):
     count = Counter(t[i:i + 200] for _, t in rows for i in range(len(t) - 199))
     want = {k: len({x for i in range(len(t) - 199) if count[t[i:i + 200]] > 1 for x in range(i, i + 200)}) for k, t in rows}
     assert {r.doc_id: r.n_removed for r in repeats.remove_repeats(docs, bucket=bucket).collect()} == want
+
+
+def test_decontamination_holds_little_beside_its_texts():
+    """A batch of texts with few test words takes less than 12 bytes of memory a byte of text beside the pieces."""
+    texts = pa.array(["abcde fg " * 1000] * 2000)
+    windows = decontaminate.Windows(["1"], ["one two three"], 13)
+    windows.hits(texts.slice(0, 200))
+    tracemalloc.start()
+    counts, hit, pairs = windows.hits(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert counts.tolist() == [2000] * 2000 and not hit.any() and not len(pairs) and peak < 12 * texts.nbytes
