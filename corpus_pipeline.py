@@ -40,7 +40,7 @@ def near_dedup_stage(spark, docs, sf_dir):
     row = free(docs, "__id")
     rows = with_row_id(docs, row)
     key = F.struct(F.col("doc_id").isNull().alias("missing"), F.col("doc_id"), F.col(row).alias("row"))
-    found = near_dedup.near_duplicates(rows.select("text", key.alias("key")), key="key", width=5, percent=80)
+    found = near_dedup.near_duplicates(rows.select("text", key.alias("key"), F.col(row).alias("row")), key="key", width=5, percent=80, row="row")
     kept = found.filter("kept").select(F.col("key")["row"].alias(row))
     return rows.join(kept, row, "left_semi").select(*columns(docs))
 
@@ -55,12 +55,9 @@ def decontaminate_stage(spark, docs, sf_dir):
 
 def secrets_stage(spark, docs, sf_dir):
     """Blanks out owner-specific secrets; widely copied examples stay."""
-    row, into = free(docs, "__id"), free(docs, "__secrets")
-    rows = with_row_id(docs, row)
-    found = secrets.scan_secrets(rows.select(row, "doc_id", "text", "source"), into=into)
-    found = found.filter(F.exists(into, lambda f: f["verdict"] != "example")).select(row, into)
-    text = F.when(F.col(into).isNull(), F.col("text")).otherwise(secrets.redact(F.col("text"), F.col(into)))
-    redacted = rows.join(found, row, "left").withColumn("text", text)
+    into = free(docs, "__secrets")
+    found = secrets.scan_secrets(docs, into=into, with_text=True)
+    redacted = found.withColumn("text", secrets.redact(F.col("text"), F.col(into)))
     if "n_chars" in docs.columns:
         redacted = redacted.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return redacted.select(*columns(docs))

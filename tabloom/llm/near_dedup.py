@@ -104,13 +104,18 @@ def full_sets(texts: pa.Array, width: int):
     return [pa.concat_arrays(out)]
 
 
-def near_duplicates(docs: DataFrame, key="doc_id", text="text", width=3, percent=85) -> DataFrame:
+def near_duplicates(docs: DataFrame, key="doc_id", text="text", width=3, percent=85, row=None) -> DataFrame:
     """One row per document: key, n_shingles, component_id (smallest key reachable by links), kept.
 
-    Two documents are linked where 100 * common shingles >= ``percent`` * all shingles of both.
+    Two documents are linked where 100 * common shingles >= ``percent`` * all shingles of both. ``row`` names a long column with a number of
+    each row's own in a written table (``with_row_id``), which is then read as it is; without it rows are numbered in a copy of the texts.
     """
     distance = allowed_distance(percent)
-    texts = numbered(docs, {"key": column(docs, key), "text": column(docs, text)}, "texts")
+    columns = {"key": column(docs, key), "text": column(docs, text)}
+    if row is None:
+        texts = numbered(docs, columns, "texts")
+    else:
+        texts = docs.select(column(docs, row).alias(ROW), *[c.alias(n) for n, c in columns.items()])
     sets = materialize(annotate(texts, lambda: lambda batch: sketch(batch, width), SKETCH, "s", keep=[ROW, "key"]).select(ROW, "key", "s.*"), "sketches")
     full = sets.filter("n > 0")
     classes = materialize(full.groupBy("digest").agg(

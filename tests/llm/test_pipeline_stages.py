@@ -1,5 +1,6 @@
 """The whole chain against plain Python on a small table, and secret spans against plain regular expressions."""
 
+import os
 import random
 import re
 
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tabloom.llm import secrets
-from tabloom.session import scratch_path
+from tabloom.session import scratch_path, shared_dir
 
 WORDS = [f"{a}{b}" for a in ("lor", "tis", "vel", "ork", "dub", "wex", "pim") for b in ("na", "ka", "mo", "tu", "re", "si")]
 
@@ -112,6 +113,30 @@ def test_base_secrets_by_plain_expressions(spark):
         assert [(f.start, f.kind, f.end) for f in r.secrets if f.kind < 3] == want
 
 
+def test_texts_without_finds_are_written_once_and_not_dealt_again(spark):
+    text = " ".join(random.Random(12).choices(WORDS, k=40))
+    rows = [(i, text, "s") for i in range(20)] + [(20, text + " token: Qw7Er5Ty3Uu9", "s"), (21, None, "s")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    written = set(os.listdir(shared_dir(spark)))
+    done = corpus_pipeline.secrets_stage(spark, docs, None)
+    assert sorted(n.split("-")[0] for n in set(os.listdir(shared_dir(spark))) - written) == ["finds"]
+    plan = done._jdf.queryExecution().optimizedPlan()
+    while plan.nodeName() != "Union":
+        assert plan.children().size() == 1, plan.nodeName()     # a join of all rows would stand above
+        plan = plan.children().apply(0)
+    assert sorted("Join" in plan.children().apply(k).toString() for k in range(2)) == [False, True]
+    assert {r.doc_id: r.text for r in done.collect()} == {k: t and t.replace("token: Qw7Er5Ty3Uu9", "[secret]") for k, t, _ in rows}
+
+
+def test_near_dedup_writes_texts_once(spark):
+    docs = spark.createDataFrame([(k % 20, f"{WORDS[k % 20]} lorna tisk velm orka {WORDS[k % 20 + 1]}", "s") for k in range(40)], "doc_id long, text string, source string")
+    written = set(os.listdir(shared_dir(spark)))
+    kept = corpus_pipeline.near_dedup_stage(spark, docs, None)
+    new = [os.path.join(shared_dir(spark), n) for n in set(os.listdir(shared_dir(spark))) - written]
+    assert [n for n in new if "text" in spark.read.parquet(n).columns] == [n for n in new if "/numbered-" in n]
+    assert sorted(r.doc_id for r in kept.collect()) == list(range(20))
+
+
 CLASHING = ["__id", "__row", "__finds", "__language", "__overlap", "__secrets", "row", "finds", "owner", "c0", "key", "a.b"]
 
 
